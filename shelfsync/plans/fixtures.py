@@ -30,8 +30,10 @@ WS_PART = workspace_uuid("NATION_1")
 WS_SUPPLIER = workspace_uuid("NATION_2")
 WS_CUSTOMER = workspace_uuid("NATION_3")
 
-# Tenant 1: parts.  Promotion and prescription columns are derived per row.
-PART_MAPPING = ColumnMapping(id="p_partkey", description="p_name", code="p_type",
+# Tenant 1: parts.  The part key doubles as the barcode (one column mapped to
+# two roles is read and hashed once); promotion and prescription columns are
+# derived per row.
+PART_MAPPING = ColumnMapping(id="p_partkey", description="p_name", code="p_partkey",
                              price="p_retailprice", manufactory="p_brand", stock="p_size",
                              promotion_price="p_promo", need_prescription="p_rx")
 # Tenants 2 and 3: suppliers and customers, the four required roles only.
@@ -96,3 +98,34 @@ def prior_state(keyed: DataFrame, as_of: dt.datetime = AS_OF) -> DataFrame:
         "workspace_id", "id",
         F.when(k % 7 == 0, F.lit("x")).otherwise(F.col("fingerprint")).alias("fingerprint"),
         (ts_literal(as_of) - age).alias("updated_at"))
+
+
+WS_TEXT = workspace_uuid("NATION_4")
+WS_LINEITEM = workspace_uuid("LINEITEM")   # UUID-shaped but absent from the dimension
+
+# Order lines as a product source: (part, supplier) is the key, and it
+# repeats across orders — the duplicate-key case.
+LINEITEM_MAPPING = ColumnMapping(id="li_key", description="li_desc", code="l_orderkey",
+                                 price="l_extendedprice", stock="l_quantity")
+
+
+def lineitem_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    key = F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
+    desc = F.concat(F.lit("Line "), F.col("l_linenumber").cast("string"), F.lit(" "),
+                    F.col("l_returnflag"), F.col("l_linestatus"))
+    return li.withColumn("li_key", key).withColumn("li_desc", desc)
+
+
+def prior_target(keyed: DataFrame, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """Target rows a previous run would have written: known keys except
+    ``key % 3 = 0`` (those become orphan updates), with an older price, a
+    promotion that updates must clear, and a one-element vector."""
+    from shelfsync.operators.normalize import normalize
+
+    k = F.col("id").cast("bigint")
+    base = keyed.filter((k % 5 != 0) & (k % 3 != 0))
+    return (normalize(base, as_of, keep=("workspace_id", "id"))
+            .withColumn("price", F.col("price") - 1)
+            .withColumn("promotion_price", F.lit(1.0))
+            .withColumn("embedding", F.array(F.col("id").cast("bigint").cast("float"))))

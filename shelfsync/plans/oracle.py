@@ -169,3 +169,56 @@ def title_sql(page: str) -> str:
     stripped = js_trim(f"regexp_replace(regexp_replace({title}, '{TITLE_NOISE_RE}', '', 'g'), '{TITLE_DASH_RE}', '', 'g')")
     return (f"(CASE WHEN {raw} <> '' AND NOT regexp_matches({title}, '{TITLE_REJECT_RE}') "
             f"AND {stripped} <> '' THEN {stripped} END)")
+
+
+LINEITEM_TYPES = {"li_key": "str", "li_desc": "str", "l_orderkey": "int", "l_extendedprice": "dbl",
+                  "l_quantity": "dbl"}
+LINEITEM_SRC = ("SELECT *, CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS li_key, "
+                "'Line ' || CAST(l_linenumber AS VARCHAR) || ' ' || l_returnflag || l_linestatus AS li_desc "
+                "FROM lineitem")
+PAGES_SRC = ("SELECT CAST(page_id AS VARCHAR) AS code, 'Title: ' || "
+             "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) || chr(10) || 'URL Source: ' || "
+             "COALESCE(url, '') || chr(10) AS page FROM pages")
+
+PRODUCT_DATA = ["description", "display_name", "code", "manufactory", "price", "promotion_price",
+                "promotion_start", "promotion_end", "stock", "need_prescription"]
+
+
+def titles_cte() -> str:
+    return (f"pages_t AS ({PAGES_SRC}), titles AS (SELECT code, min(title) AS title FROM "
+            f"(SELECT code, {title_sql('page')} AS title FROM pages_t) WHERE title IS NOT NULL GROUP BY code)")
+
+
+def outcome_ctes(mapping: ColumnMapping, types: dict, mode: str) -> str:
+    """proc → norm → enr → emb → outc, over cls (see classified())."""
+    return (f"proc AS (SELECT *, {STATUS} AS status FROM cls WHERE NOT ({SKIP[mode]})), "
+            f"norm AS ({normalized(mapping, types, 'proc', keep='workspace_id, id, k, fingerprint, status')}), "
+            f"{titles_cte()}, "
+            "enr AS (SELECT norm.* REPLACE (CASE WHEN status = 'new' AND titles.title IS NOT NULL "
+            "AND titles.title <> '' THEN titles.title ELSE display_name END AS display_name), "
+            "CASE WHEN status = 'new' THEN titles.title END AS title FROM norm LEFT JOIN titles ON norm.code = titles.code), "
+            "emb AS (SELECT enr.*, CASE WHEN status = 'new' THEN e.embedding END AS embedding FROM enr "
+            "LEFT JOIN embeddings e ON enr.status = 'new' AND enr.id = CAST(e.vec_id AS VARCHAR)), "
+            "outc AS (SELECT *, CASE WHEN status = 'new' AND embedding IS NOT NULL THEN 'upsert' "
+            "WHEN status = 'new' THEN 'drop' ELSE 'update' END AS action FROM emb)")
+
+
+def prior_target_cte(mapping: ColumnMapping, types: dict) -> str:
+    inner = normalized(mapping, types, "(SELECT * FROM keyed WHERE k % 5 <> 0 AND k % 3 <> 0)",
+                       keep="workspace_id, id")
+    return (f"tgt AS (SELECT * REPLACE (price - 1 AS price, 1.0 AS promotion_price), "
+            f"[CAST(CAST(id AS BIGINT) AS FLOAT)] AS embedding FROM ({inner}))")
+
+
+def merged_sql(changes: str) -> str:
+    cols = ", ".join(f"CASE WHEN c.action IS NOT NULL THEN c.{x} ELSE t.{x} END AS {x}" for x in PRODUCT_DATA)
+    return (f"SELECT COALESCE(t.workspace_id, c.workspace_id) AS workspace_id, COALESCE(t.id, c.id) AS id, {cols}, "
+            "CASE WHEN c.action = 'upsert' THEN c.embedding ELSE t.embedding END AS embedding "
+            f"FROM tgt t FULL OUTER JOIN ({changes}) c ON t.workspace_id = c.workspace_id AND t.id = c.id "
+            "WHERE t.id IS NOT NULL OR c.action = 'upsert'")
+
+
+def target_view(src: str) -> str:
+    cols = ", ".join(PRODUCT_DATA)
+    return (f"SELECT workspace_id, id, {cols}, CAST(len(embedding) AS INTEGER) AS embedding_dim, "
+            f"CAST(embedding[1] AS DOUBLE) AS embedding_head FROM ({src})")

@@ -47,7 +47,7 @@ PART_CTES = (f"src AS ({sql.PART_SRC}), "
 
 # ---------------------------------------------------------------- S1, S2
 
-@register("scan_mapped", "SELECT p_partkey, p_name, p_type, p_retailprice, p_brand, p_size, p_promo, p_rx "
+@register("scan_mapped", "SELECT p_partkey, p_name, p_retailprice, p_brand, p_size, p_promo, p_rx "
                          f"FROM ({sql.PART_SRC})")
 def scan_mapped(spark, sf_dir):
     return mapped_scan(fx.part_source(spark, sf_dir), fx.PART_MAPPING)
@@ -124,3 +124,297 @@ def q_new_rows(spark, sf_dir):
           "FROM m GROUP BY workspace_id")
 def run_summary(spark, sf_dir):
     return report.detection_summary(_part_classified(spark, sf_dir, "quick"))
+
+
+# ---------------------------------------------------------------- P1–P15
+
+from shelfsync.functions.text import TITLE_LINE_RE, extract_title, page_title, sanitize  # noqa: E402
+from shelfsync.operators import embed, enrich, merge, quality  # noqa: E402
+from shelfsync.operators.dedupe import dedupe_keys  # noqa: E402
+from shelfsync.operators.normalize import embedding_text, normalize  # noqa: E402
+from shelfsync.plans.sync import TableEmbedder, FunctionEmbedder, outcome  # noqa: E402
+
+CANON = ["workspace_id", "id", *sql.PRODUCT_DATA]
+
+
+def _norm_part(spark, sf_dir) -> DataFrame:
+    return normalize(_part_keyed(spark, sf_dir), fx.AS_OF, keep=("workspace_id", "id"))
+
+
+def _norm_text(spark, sf_dir) -> DataFrame:
+    keyed = keyed_source(fx.text_source(spark, sf_dir), fx.TEXT_MAPPING, fx.WS_TEXT)
+    return normalize(keyed, fx.AS_OF, keep=("workspace_id", "id"))
+
+
+NORM_PART_SQL = (f"WITH src AS ({sql.PART_SRC}), keyed AS ({sql.keyed(fx.PART_MAPPING, sql.PART_TYPES, fx.WS_PART, 'src')}), "
+                 f"norm AS ({sql.normalized(fx.PART_MAPPING, sql.PART_TYPES, 'keyed')}) ")
+NORM_TEXT_SQL = (f"WITH src AS ({sql.TEXT_SRC}), keyed AS ({sql.keyed(fx.TEXT_MAPPING, sql.TEXT_TYPES, fx.WS_TEXT, 'src')}), "
+                 f"norm AS ({sql.normalized(fx.TEXT_MAPPING, sql.TEXT_TYPES, 'keyed')}) ")
+
+
+@register("sanitize_text", f"SELECT doc_id, {sql.sanitize('text')} AS description FROM documents")
+def sanitize_text(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", sanitize(F.col("text")).alias("description"))
+
+
+@register("price_minor_units", NORM_PART_SQL + "SELECT id, price FROM norm")
+def price_minor_units(spark, sf_dir):
+    return _norm_part(spark, sf_dir).select("id", "price")
+
+
+@register("promo_rules", NORM_PART_SQL + "SELECT id, price, promotion_price FROM norm")
+def promo_rules(spark, sf_dir):
+    return _norm_part(spark, sf_dir).select("id", "price", "promotion_price")
+
+
+@register("promo_window", NORM_PART_SQL + "SELECT id, promotion_start, promotion_end FROM norm")
+def promo_window(spark, sf_dir):
+    return _norm_part(spark, sf_dir).select("id", "promotion_start", "promotion_end")
+
+
+@register("normalize_part", NORM_PART_SQL + f"SELECT {', '.join(CANON)} FROM norm")
+def normalize_part(spark, sf_dir):
+    return _norm_part(spark, sf_dir).select(*CANON)
+
+
+@register("coerce_scalars", NORM_TEXT_SQL + f"SELECT {', '.join(CANON)} FROM norm")
+def coerce_scalars(spark, sf_dir):
+    return _norm_text(spark, sf_dir).select(*CANON)
+
+
+@register("embedding_text", NORM_TEXT_SQL + "SELECT id, display_name, description, "
+          "CASE WHEN display_name <> '' THEN display_name ELSE description END AS embed_text FROM norm")
+def q_embedding_text(spark, sf_dir):
+    n = _norm_text(spark, sf_dir)
+    return n.select("id", "display_name", "description", embedding_text(n).alias("embed_text"))
+
+
+# ---------------------------------------------------------------- P16–P18, E1–E4
+
+def _lookup(spark, sf_dir) -> DataFrame:
+    return enrich.pages_from_html(fx.table(spark, sf_dir, "pages"))
+
+
+@register("title_extract", f"WITH p AS ({sql.PAGES_SRC}) SELECT code, CASE WHEN regexp_extract(page, '{TITLE_LINE_RE}', 1) <> '' "
+          f"THEN {sql.js_trim(f"regexp_extract(page, '{TITLE_LINE_RE}', 1)")} END AS raw_title FROM p")
+def title_extract(spark, sf_dir):
+    return _lookup(spark, sf_dir).select("code", extract_title(F.col("page")).alias("raw_title"))
+
+
+@register("title_clean", f"WITH p AS ({sql.PAGES_SRC}) SELECT code, {sql.title_sql('page')} AS title FROM p")
+def title_clean(spark, sf_dir):
+    return _lookup(spark, sf_dir).select("code", page_title(F.col("page")).alias("title"))
+
+
+def _part_outcome(spark, sf_dir, mode: str = "quick") -> DataFrame:
+    cls = _part_classified(spark, sf_dir, mode)
+    proc = normalize(detect.to_process(cls), fx.AS_OF)
+    titles = enrich.title_table(_lookup(spark, sf_dir))
+    return outcome(proc, titles, TableEmbedder(fx.table(spark, sf_dir, "embeddings"), "id", "vec_id"))
+
+
+OUTCOME_SQL = f"WITH {PART_CTES}, {sql.outcome_ctes(fx.PART_MAPPING, sql.PART_TYPES, 'quick')} "
+
+
+@register("title_enrich", OUTCOME_SQL + "SELECT id, status, code, title, display_name FROM outc")
+def title_enrich(spark, sf_dir):
+    return _part_outcome(spark, sf_dir).select("id", "status", "code", "title", "display_name")
+
+
+# ---------------------------------------------------------------- M1–M5, D9
+
+def _vec_cols(df: DataFrame) -> list:
+    return [F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("embedding_dim"),
+            F.try_element_at("embedding", F.lit(1)).cast("double").alias("embedding_head")]
+
+
+@register("embed_join", OUTCOME_SQL + "SELECT id, status, action, CAST(len(embedding) AS INTEGER) AS embedding_dim, "
+          "CAST(embedding[1] AS DOUBLE) AS embedding_head FROM outc")
+def embed_join(spark, sf_dir):
+    out = _part_outcome(spark, sf_dir)
+    return out.select("id", "status", "action", *_vec_cols(out))
+
+
+@register("embed_batched")
+def embed_batched(spark, sf_dir):
+    """New rows embedded by a batch function in ``mapInPandas`` (50 texts per
+    call); every new row gets a 64-wide vector."""
+    cls = _part_classified(spark, sf_dir, "quick")
+    proc = normalize(detect.to_process(cls), fx.AS_OF)
+    out = outcome(proc, None, FunctionEmbedder(embed.hashing_embedder(64), 50))
+    return out.select("id", "status", "action", *_vec_cols(out))
+
+
+# ---------------------------------------------------------------- G1–G5
+
+def _prior_target(spark, sf_dir) -> DataFrame:
+    return fx.prior_target(_part_keyed(spark, sf_dir))
+
+
+def _target_view(df: DataFrame) -> DataFrame:
+    return df.select(*CANON, *_vec_cols(df))
+
+
+MERGE_SQL = OUTCOME_SQL + f", {sql.prior_target_cte(fx.PART_MAPPING, sql.PART_TYPES)} "
+
+
+@register("upsert_products", MERGE_SQL + sql.target_view(sql.merged_sql("SELECT * FROM outc WHERE action = 'upsert'")))
+def upsert_products(spark, sf_dir):
+    out = _part_outcome(spark, sf_dir).filter(F.col("action") == "upsert")
+    return _target_view(merge.merge_products(_prior_target(spark, sf_dir), out))
+
+
+@register("update_data_only", MERGE_SQL + sql.target_view(sql.merged_sql("SELECT * FROM outc WHERE action = 'update'")))
+def update_data_only(spark, sf_dir):
+    out = _part_outcome(spark, sf_dir).filter(F.col("action") == "update")
+    return _target_view(merge.merge_products(_prior_target(spark, sf_dir), out))
+
+
+@register("update_orphans", MERGE_SQL + "SELECT workspace_id, id FROM outc WHERE action = 'update' AND NOT EXISTS "
+          "(SELECT 1 FROM tgt WHERE tgt.workspace_id = outc.workspace_id AND tgt.id = outc.id)")
+def update_orphans(spark, sf_dir):
+    return merge.orphan_updates(_prior_target(spark, sf_dir), _part_outcome(spark, sf_dir)).select("workspace_id", "id")
+
+
+@register("sync_end_to_end", MERGE_SQL + sql.target_view(sql.merged_sql("SELECT * FROM outc")))
+def sync_end_to_end(spark, sf_dir):
+    """The whole chain in quick mode: detect, normalise, look up titles,
+    embed from the vector table, merge into the prior target."""
+    keyed = dedupe_keys(_part_keyed(spark, sf_dir))
+    cls = detect.classify(keyed, fx.prior_state(keyed), "quick", fx.AS_OF, fx.STALE_MINUTES)
+    proc = normalize(detect.to_process(cls), fx.AS_OF)
+    titles = enrich.title_table(_lookup(spark, sf_dir))
+    out = outcome(proc, titles, TableEmbedder(fx.table(spark, sf_dir, "embeddings"), "id", "vec_id"))
+    return _target_view(merge.merge_products(fx.prior_target(keyed), out))
+
+
+@register("state_merge", OUTCOME_SQL +
+          ", w AS (SELECT workspace_id, id, fingerprint AS w_fp FROM outc WHERE action IN ('upsert', 'update')) "
+          "SELECT COALESCE(s.workspace_id, w.workspace_id) AS workspace_id, COALESCE(s.id, w.id) AS id, "
+          "CASE WHEN w.w_fp IS NOT NULL THEN w.w_fp ELSE s.s_fp END AS fingerprint, "
+          f"CASE WHEN w.w_fp IS NOT NULL THEN {sql.AS_OF_SQL} ELSE s.s_at END AS updated_at "
+          "FROM state s FULL OUTER JOIN w ON s.workspace_id = w.workspace_id AND s.id = w.id")
+def state_merge(spark, sf_dir):
+    keyed = _part_keyed(spark, sf_dir)
+    return merge.merge_state(fx.prior_state(keyed), _part_outcome(spark, sf_dir), fx.AS_OF)
+
+
+# ---------------------------------------------------------------- G4
+
+LI_KEYED_SQL = (f"WITH src AS ({sql.LINEITEM_SRC}), "
+                f"keyed AS ({sql.keyed(fx.LINEITEM_MAPPING, sql.LINEITEM_TYPES, fx.WS_LINEITEM, 'src')}) ")
+
+
+def _li_keyed(spark, sf_dir) -> DataFrame:
+    return keyed_source(fx.lineitem_source(spark, sf_dir), fx.LINEITEM_MAPPING, fx.WS_LINEITEM)
+
+
+@register("dedupe_keys", LI_KEYED_SQL + "SELECT workspace_id, id, max(fingerprint) AS fingerprint, "
+          "arg_max(r_price, fingerprint) AS price_raw, count(*) AS copies FROM keyed GROUP BY workspace_id, id")
+def q_dedupe_keys(spark, sf_dir):
+    d = dedupe_keys(_li_keyed(spark, sf_dir), count_col="copies")
+    return d.select("workspace_id", "id", "fingerprint", F.col("_r_price").alias("price_raw"), "copies")
+
+
+# ---------------------------------------------------------------- U1
+
+TENANTS = [(fx.part_source, fx.PART_MAPPING, fx.WS_PART, sql.PART_SRC, sql.PART_TYPES),
+           (lambda s, d: fx.table(s, d, "supplier"), fx.SUPPLIER_MAPPING, fx.WS_SUPPLIER, "supplier", sql.SUPPLIER_TYPES),
+           (lambda s, d: fx.table(s, d, "customer"), fx.CUSTOMER_MAPPING, fx.WS_CUSTOMER, "customer", sql.CUSTOMER_TYPES)]
+
+
+def _tenant_union(spark, sf_dir) -> DataFrame:
+    parts = [normalize(keyed_source(load(spark, sf_dir), m, ws), fx.AS_OF, keep=("workspace_id", "id"))
+             for load, m, ws, _, _ in TENANTS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _tenant_union_sql() -> str:
+    blocks = []
+    for _, m, ws, src, types in TENANTS:
+        k = f"({sql.keyed(m, types, ws, '(' + src + ')' if src.startswith('SELECT') else src)})"
+        blocks.append(f"SELECT {', '.join(CANON)} FROM ({sql.normalized(m, types, k)})")
+    return " UNION ALL ".join(blocks)
+
+
+@register("tenant_union", _tenant_union_sql())
+def tenant_union(spark, sf_dir):
+    return _tenant_union(spark, sf_dir).select(*CANON)
+
+
+# ---------------------------------------------------------------- S7, A2, Q1–Q3, S8
+
+WS_SQL = ("SELECT regexp_replace(md5(n_name), '(.{8})(.{4})(.{4})(.{4})(.{12})', '\\1-\\2-\\3-\\4-\\5') AS id, "
+          "n_name AS name FROM nation")
+
+
+@register("workspaces_sorted", WS_SQL + " ORDER BY name")
+def workspaces_sorted(spark, sf_dir):
+    return quality.workspaces(fx.table(spark, sf_dir, "nation"))
+
+
+@register("workspace_check",
+          f"WITH u AS ({_tenant_union_sql()} UNION ALL SELECT workspace_id, id, NULL, NULL, NULL, NULL, NULL, NULL, "
+          f"NULL, NULL, NULL, NULL FROM (SELECT '{fx.WS_LINEITEM}' AS workspace_id, li_key AS id FROM ({sql.LINEITEM_SRC}))), "
+          f"d AS ({WS_SQL}) SELECT workspace_id, count(*) AS n_rows, "
+          f"regexp_matches(workspace_id, '{quality.UUID_RE}') AS valid_uuid, "
+          "bool_or(d.id IS NOT NULL) AS known FROM u LEFT JOIN d ON u.workspace_id = d.id GROUP BY workspace_id")
+def workspace_check(spark, sf_dir):
+    rows = _tenant_union(spark, sf_dir).select("workspace_id", "id").unionByName(
+        fx.lineitem_source(spark, sf_dir).select(F.lit(fx.WS_LINEITEM).alias("workspace_id"), F.col("li_key").alias("id")))
+    return quality.workspace_check(rows, quality.workspaces(fx.table(spark, sf_dir, "nation")))
+
+
+def _dq_sql(mapping, types, ws, src) -> str:
+    t = {r: types[c] for r, c in mapping.roles()}
+    price = sql.js_number(mapping.price, t["price"])
+    if mapping.stock:
+        st = sql.js_number(mapping.stock, t["stock"])
+        frac = f"(NOT isnan({st}) AND abs({st}) < 2147483648 AND {st} % 1.0 <> 0)"
+        big = f"(NOT isnan({st}) AND abs({st}) >= 2147483648)"
+    else:
+        frac = big = "false"
+    desc = sql.sanitize(mapping.description, t["description"])
+    inner = (f"SELECT {mapping.id} AS _id, count(*) AS _n, "
+             f"sum(CASE WHEN isnan({price}) THEN 1 ELSE 0 END) AS _nan, sum(CASE WHEN {frac} THEN 1 ELSE 0 END) AS _fr, "
+             f"sum(CASE WHEN {big} THEN 1 ELSE 0 END) AS _bg, sum(CASE WHEN {desc} = '' THEN 1 ELSE 0 END) AS _em "
+             f"FROM ({src}) GROUP BY {mapping.id}")
+    return (f"SELECT '{ws}' AS workspace_id, CAST(sum(_n) AS BIGINT) AS total, "
+            "CAST(COALESCE(sum(CASE WHEN _id IS NULL THEN _n END), 0) AS BIGINT) AS null_ids, "
+            "CAST(COALESCE(sum(CASE WHEN _id IS NOT NULL THEN _n - 1 END), 0) AS BIGINT) AS duplicate_rows, "
+            "CAST(sum(CASE WHEN _id IS NOT NULL AND _n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_keys, "
+            "CAST(sum(_nan) AS BIGINT) AS nan_prices, CAST(sum(_fr) AS BIGINT) AS fractional_stock, "
+            "CAST(sum(_bg) AS BIGINT) AS stock_out_of_range, CAST(sum(_em) AS BIGINT) AS empty_descriptions "
+            f"FROM ({inner})")
+
+
+DQ_SOURCES = [(fx.part_source, fx.PART_MAPPING, fx.WS_PART, sql.PART_SRC, sql.PART_TYPES),
+              (fx.lineitem_source, fx.LINEITEM_MAPPING, fx.WS_LINEITEM, sql.LINEITEM_SRC, sql.LINEITEM_TYPES),
+              (fx.text_source, fx.TEXT_MAPPING, fx.WS_TEXT, sql.TEXT_SRC, sql.TEXT_TYPES)]
+
+
+@register("dq_report", " UNION ALL ".join(_dq_sql(m, t, ws, s) for _, m, ws, s, t in DQ_SOURCES))
+def dq_report(spark, sf_dir):
+    out = None
+    for load, m, ws, _, _ in DQ_SOURCES:
+        d = quality.dq_counts(load(spark, sf_dir), m, ws)
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+# Fixed literal rows: the part source's mapped roles, ordinals and types.
+PROFILE_ROWS = [("id", "p_partkey", 1, "bigint"), ("description", "p_name", 2, "string"),
+                ("code", "p_partkey", 1, "bigint"), ("price", "p_retailprice", 6, "double"),
+                ("manufactory", "p_brand", 3, "string"), ("stock", "p_size", 5, "int"),
+                ("promotion_price", "p_promo", 7, "double"), ("need_prescription", "p_rx", 8, "int")]
+
+
+@register("source_profile", " UNION ALL ".join(
+    f"SELECT '{r}' AS role, '{c}' AS column_name, {o} AS ordinal_position, '{t}' AS data_type, "
+    f"count({c}) AS non_null FROM ({sql.PART_SRC})" for r, c, o, t in PROFILE_ROWS))
+def q_source_profile(spark, sf_dir):
+    return quality.source_profile(fx.part_source(spark, sf_dir), fx.PART_MAPPING)

@@ -33,3 +33,13 @@ STATE = T.StructType([
     T.StructField("fingerprint", T.StringType()),
     T.StructField("updated_at", T.TimestampNTZType()),
 ])
+
+_RUN_FIELDS = [
+    ("run_id", T.StringType()), ("batch_id", T.LongType()), ("stream_id", T.StringType()),
+    ("as_of", T.TimestampNTZType()), ("modes", T.StringType()), ("workspaces", T.StringType()),
+    *[(n, T.LongType()) for n in ("total", "to_process", "skipped", "n_new", "n_changed", "n_hash",
+                                  "n_stale", "lookups_found", "with_embedding", "data_only",
+                                  "embed_failed", "orphans", "processed")],
+    ("duration_s", T.DoubleType()),
+]
+RUNS = T.StructType([T.StructField(n, t) for n, t in _RUN_FIELDS])
