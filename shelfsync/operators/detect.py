@@ -17,7 +17,7 @@ def ts_literal(value: dt.datetime):
 
 
 def classify(keyed: DataFrame, state: DataFrame, mode: str, as_of: dt.datetime,
-             stale_minutes: int = 60) -> DataFrame:
+             stale_minutes: int = 60, keys: list[str] = KEYS) -> DataFrame:
     """Left-join the keyed source with the state and decide, per row, whether
     it is processed.
 
@@ -29,12 +29,16 @@ def classify(keyed: DataFrame, state: DataFrame, mode: str, as_of: dt.datetime,
       age, so quick processes a superset of full); force skips nothing.
     * ``status`` is ``new`` when unknown, else ``changed`` — also for a
       stale-but-identical row.  ``reason`` says why a row is processed.
+
+    ``keys`` = ["id"] joins one tenant against a state already filtered to
+    its workspace, so a preceding aggregate on ``id`` (deduplication) and
+    the join share one shuffle.
     """
     if mode not in MODES:
         raise ValueError(f"unknown sync mode {mode!r}")
-    st = state.select(*KEYS, F.col("fingerprint").alias("_state_fp"),
+    st = state.select(*keys, F.col("fingerprint").alias("_state_fp"),
                       F.col("updated_at").alias("_state_at"), F.lit(True).alias("_known"))
-    j = keyed.join(st, KEYS, "left")
+    j = keyed.join(st, keys, "left")
     known = F.coalesce(F.col("_known"), F.lit(False))
     same = F.coalesce(F.col("_state_fp") == F.col("fingerprint"), F.lit(False))
     threshold = ts_literal(as_of - dt.timedelta(minutes=stale_minutes))

@@ -58,13 +58,19 @@ class FunctionEmbedder:
 
 
 def tenant_changes(tenant: Tenant, state: DataFrame, as_of: dt.datetime, dedupe: bool = True) -> DataFrame:
-    """Classified rows of one tenant (lazy), skipped rows included."""
+    """Classified rows of one tenant (lazy), skipped rows included.
+
+    Within a tenant the workspace is a constant, so deduplication and the
+    state join are keyed on ``id`` alone: the aggregate's hash partitioning
+    is reused by the join and the source is shuffled once.  The state is
+    read only for this workspace (partition pruning on ``workspace_id``).
+    """
     cfg = tenant.config
     keyed = keyed_source(tenant.source, cfg.mapping, cfg.workspace_id)
     if dedupe:
-        keyed = dedupe_keys(keyed)
-    st = state.filter(F.col("workspace_id") == cfg.workspace_id)
-    return detect.classify(keyed, st, cfg.mode, as_of, cfg.stale_minutes)
+        keyed = dedupe_keys(keyed, keys=["id"])
+    st = state.filter(F.col("workspace_id") == cfg.workspace_id).drop("workspace_id")
+    return detect.classify(keyed, st, cfg.mode, as_of, cfg.stale_minutes, keys=["id"])
 
 
 def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, dedupe: bool = True,
