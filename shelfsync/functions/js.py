@@ -36,7 +36,7 @@ def js_trim(c: Column) -> Column:
 def js_number(c: Column, dtype) -> Column:
     """``Number(x)`` as DOUBLE: null → 0, '' → 0, unparsable → NaN."""
     if isinstance(dtype, T.BooleanType):
-        return F.when(c, F.lit(1.0)).otherwise(F.lit(0.0))
+        return F.when(c, F.lit(1.0)).otherwise(F.lit(0.0))  # null → 0 as well
     if isinstance(dtype, T.NumericType):
         return F.coalesce(c.cast("double"), F.lit(0.0))
     if _is_string(dtype):
@@ -82,7 +82,7 @@ def js_string(c: Column, dtype) -> Column:
     if _is_string(dtype):
         return c
     if isinstance(dtype, T.BooleanType):
-        return F.when(c, F.lit("1")).otherwise(F.lit("0"))
+        return F.when(c, F.lit("1")).when(~c, F.lit("0"))
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return c.cast("string")
     if _is_float(dtype):
