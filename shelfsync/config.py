@@ -57,6 +57,9 @@ class SyncConfig:
     num_buckets: int = 16
     repair_orphans: bool = False
     exact_cents: bool = False
+    # Optional source column ordering snapshots of one key (e.g. an event
+    # time): when set, the latest snapshot of a key wins over duplicates.
+    order_by: str | None = None
 
     def __post_init__(self):
         if self.mode not in MODES:

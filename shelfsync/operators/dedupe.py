@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, functions as F
 KEYS = ["workspace_id", "id"]
 
 
-def dedupe_keys(df: DataFrame, keys: list[str] = KEYS, order_by: str = "fingerprint",
+def dedupe_keys(df: DataFrame, keys: list[str] = KEYS, order_by: str | list[str] = "fingerprint",
                 count_col: str | None = None) -> DataFrame:
     """Keep the row with the largest ``order_by`` per key (ties broken by the
     remaining columns), optionally with the number of copies per key."""
-    rest = [c for c in df.columns if c not in keys and c != order_by]
-    best = F.max(F.struct(F.col(order_by), *[F.col(c) for c in rest])).alias("_best")
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    best = F.max(F.struct(*[F.col(c) for c in [*order, *rest]])).alias("_best")
     aggs = [best] + ([F.count(F.lit(1)).alias(count_col)] if count_col else [])
     out = df.groupBy(*keys).agg(*aggs)
-    return out.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in [order_by, *rest]],
+    return out.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in [*order, *rest]],
                       *([count_col] if count_col else []))

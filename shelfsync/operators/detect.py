@@ -36,8 +36,10 @@ def classify(keyed: DataFrame, state: DataFrame, mode: str, as_of: dt.datetime,
     """
     if mode not in MODES:
         raise ValueError(f"unknown sync mode {mode!r}")
+    ordered = "_order" in keyed.columns and "source_order" in state.columns
     st = state.select(*keys, F.col("fingerprint").alias("_state_fp"),
-                      F.col("updated_at").alias("_state_at"), F.lit(True).alias("_known"))
+                      F.col("updated_at").alias("_state_at"), F.lit(True).alias("_known"),
+                      *([F.col("source_order").alias("_state_order")] if ordered else []))
     j = keyed.join(st, keys, "left")
     known = F.coalesce(F.col("_known"), F.lit(False))
     same = F.coalesce(F.col("_state_fp") == F.col("fingerprint"), F.lit(False))
@@ -49,11 +51,18 @@ def classify(keyed: DataFrame, state: DataFrame, mode: str, as_of: dt.datetime,
         skip = known & same
     else:
         skip = F.lit(False)
+    if ordered:
+        # A snapshot older than the one applied never overwrites it; snapshots
+        # compare by (order, fingerprint), a NULL order being the oldest, so
+        # the result does not depend on which batch a snapshot arrives in.
+        o, so = F.col("_order"), F.col("_state_order")
+        older = so.isNotNull() & (o.isNull() | (o < so) | ((o == so) & (F.col("fingerprint") < F.col("_state_fp"))))
+        skip = skip | F.coalesce(older, F.lit(False))
     reason = (F.when(~known, "new").when(~same, "hash").when(~fresh, "stale").otherwise("forced"))
     return (j.withColumn("process", ~skip)
              .withColumn("status", F.when(known, F.lit("changed")).otherwise(F.lit("new")))
              .withColumn("reason", reason)
-             .drop("_state_fp", "_state_at", "_known"))
+             .drop("_state_fp", "_state_at", "_known", "_state_order"))
 
 
 def to_process(classified: DataFrame) -> DataFrame:

@@ -59,13 +59,17 @@ def merge_state(state: DataFrame, changes: DataFrame, as_of: dt.datetime,
                 extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Advance (fingerprint, updated_at = as_of) for written rows only."""
     keys = [*KEYS, *extra_keys]
-    s = state.select(*keys, "fingerprint", "updated_at")
-    w = written(changes).select(*keys, F.col("fingerprint").alias("_w_fp"))
+    has_order = "source_order" in state.columns
+    s = state.select(*keys, "fingerprint", "updated_at", *(["source_order"] if has_order else []))
+    order = F.col("_order") if "_order" in changes.columns else F.lit(None).cast("bigint")
+    w = written(changes).select(*keys, F.col("fingerprint").alias("_w_fp"), order.alias("_w_order"))
     j = s.join(w, keys, "full_outer")
     hit = F.col("_w_fp").isNotNull()
-    return j.select(*keys,
-                    F.when(hit, F.col("_w_fp")).otherwise(F.col("fingerprint")).alias("fingerprint"),
-                    F.when(hit, ts_literal(as_of)).otherwise(F.col("updated_at")).alias("updated_at"))
+    out = [F.when(hit, F.col("_w_fp")).otherwise(F.col("fingerprint")).alias("fingerprint"),
+           F.when(hit, ts_literal(as_of)).otherwise(F.col("updated_at")).alias("updated_at")]
+    if has_order:
+        out.append(F.when(hit, F.col("_w_order")).otherwise(F.col("source_order")).alias("source_order"))
+    return j.select(*keys, *out)
 
 
 def upsert_rows(table: DataFrame, rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:

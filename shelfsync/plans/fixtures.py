@@ -129,3 +129,9 @@ def prior_target(keyed: DataFrame, as_of: dt.datetime = AS_OF) -> DataFrame:
             .withColumn("price", F.col("price") - 1)
             .withColumn("promotion_price", F.lit(1.0))
             .withColumn("embedding", F.array(F.col("id").cast("bigint").cast("float"))))
+
+
+WS_EVENTS = workspace_uuid("NATION_5")
+# Events as a snapshot stream: a user's latest event is its current product.
+EVENTS_MAPPING = ColumnMapping(id="user_id", description="event_type", code="event_type", price="value")
+EVENTS_ORDER = "ts"

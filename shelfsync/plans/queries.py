@@ -418,3 +418,29 @@ PROFILE_ROWS = [("id", "p_partkey", 1, "bigint"), ("description", "p_name", 2, "
     f"count({c}) AS non_null FROM ({sql.PART_SRC})" for r, c, o, t in PROFILE_ROWS))
 def q_source_profile(spark, sf_dir):
     return quality.source_profile(fx.part_source(spark, sf_dir), fx.PART_MAPPING)
+
+
+# ---------------------------------------------------------------- T1–T3
+
+@register("stream_sync",
+          "WITH ev AS (SELECT *, sha256(concat_ws('|', CAST(user_id AS VARCHAR), COALESCE(event_type, ''), "
+          f"{sql.render('value', 'dbl')})) AS fp FROM events WHERE user_id IS NOT NULL), "
+          "latest AS (SELECT * FROM ev QUALIFY row_number() OVER (PARTITION BY user_id "
+          "ORDER BY ts DESC NULLS LAST, fp DESC) = 1) "
+          f"SELECT '{fx.WS_EVENTS}' AS workspace_id, CAST(user_id AS VARCHAR) AS id, fp AS fingerprint, "
+          f"{sql.sanitize('event_type')} AS description, {sql.js_or_empty('event_type', 'str')} AS code, "
+          f"{sql.js_number('value', 'dbl')} * 100.0 AS price FROM latest")
+def stream_sync(spark, sf_dir):
+    """Events replayed as a snapshot stream (4 files, any order) through the
+    streaming sync; the final state and target equal the latest snapshot of
+    every key."""
+    from shelfsync.config import SyncConfig
+    from shelfsync.session import scratch_path
+    from shelfsync.streaming.stream import run_stream_to_end
+
+    cfg = SyncConfig(fx.WS_EVENTS, fx.EVENTS_MAPPING, mode="full", order_by=fx.EVENTS_ORDER)
+    store = run_stream_to_end(spark, fx.table(spark, sf_dir, "events"), scratch_path(spark, "stream"), cfg,
+                              embedder=FunctionEmbedder(embed.hashing_embedder(16), 50))
+    state = store.read("state").select("workspace_id", "id", "fingerprint")
+    target = store.read("target").select("workspace_id", "id", "description", "code", "price")
+    return state.join(target, ["workspace_id", "id"])

@@ -67,7 +67,10 @@ def tenant_changes(tenant: Tenant, state: DataFrame, as_of: dt.datetime, dedupe:
     """
     cfg = tenant.config
     keyed = keyed_source(tenant.source, cfg.mapping, cfg.workspace_id)
-    if dedupe:
+    if cfg.order_by:
+        keyed = keyed_source(tenant.source, cfg.mapping, cfg.workspace_id, extra={"_order": cfg.order_by})
+        keyed = dedupe_keys(keyed, keys=["id"], order_by=["_order", "fingerprint"])
+    elif dedupe:
         keyed = dedupe_keys(keyed, keys=["id"])
     st = state.filter(F.col("workspace_id") == cfg.workspace_id).drop("workspace_id")
     return detect.classify(keyed, st, cfg.mode, as_of, cfg.stale_minutes, keys=["id"])
@@ -91,8 +94,9 @@ def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, de
             obs = Observation(f"detect_{uuid.uuid4().hex}")
             cls = cls.observe(obs, *report.detection_exprs())
             observations.append((t.config.workspace_id, obs))
-        parts.append(normalize(detect.to_process(cls), as_of, t.config.exact_cents))
-    processed = reduce(lambda a, b: a.unionByName(b), parts)
+        keep = ("workspace_id", "id", "fingerprint", "status", "reason", "_order")
+        parts.append(normalize(detect.to_process(cls), as_of, t.config.exact_cents, keep=keep))
+    processed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return processed, observations
 
 

@@ -32,6 +32,8 @@ STATE = T.StructType([
     T.StructField("id", T.StringType(), False),
     T.StructField("fingerprint", T.StringType()),
     T.StructField("updated_at", T.TimestampNTZType()),
+    # order value of the snapshot last applied (NULL when unordered)
+    T.StructField("source_order", T.LongType()),
 ])
 
 _RUN_FIELDS = [

@@ -42,7 +42,24 @@ def source_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"))
 
 
-def keyed_source(df: DataFrame, mapping: ColumnMapping, workspace_id: str) -> DataFrame:
+def order_value(c, dtype):
+    """A snapshot order column as BIGINT: timestamps in microseconds, dates
+    in days, integers as they are."""
+    from pyspark.sql import types as T
+
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.unix_micros(c.cast("timestamp"))
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return c.cast("bigint")
+    raise TypeError(f"order column must be a timestamp, date or integer, not {dtype.simpleString()}")
+
+
+def keyed_source(df: DataFrame, mapping: ColumnMapping, workspace_id: str,
+                 extra: dict[str, str] | None = None) -> DataFrame:
     """The mapped scan keyed for a sync.
 
     Columns: ``workspace_id``, ``id`` (the source id as text), ``fingerprint``
@@ -53,6 +70,7 @@ def keyed_source(df: DataFrame, mapping: ColumnMapping, workspace_id: str) -> Da
     validate_mapping(df, mapping)
     types = {f.name: f.dataType for f in df.schema.fields}
     roles = [F.col(c).alias(f"_r_{r}") for r, c in mapping.roles()]
+    roles += [order_value(F.col(c), types[c]).alias(name) for name, c in (extra or {}).items()]
     return (df.select(F.lit(workspace_id).alias("workspace_id"),
                       js_string(F.col(mapping.id), types[mapping.id]).alias("id"),
                       fingerprint(df, mapping.source_columns()).alias("fingerprint"),
