@@ -108,6 +108,22 @@ def outcome(processed: DataFrame, titles: DataFrame | None, embedder) -> DataFra
     return embed.with_action(rows)
 
 
+def repair_orphans(store: TableStore, rows: DataFrame, workspaces: list[str]) -> DataFrame:
+    """Changed rows of ``workspaces`` whose key is missing from the target
+    become ``new`` (reason ``orphan``): they are embedded and upserted
+    instead of updating nothing.  Only target partitions touched by changed
+    rows are read."""
+    b = store.with_bucket(rows)
+    changed = b.filter((F.col("status") == "changed") & F.col("workspace_id").isin(workspaces))
+    present = store.touched("target", changed).select(*KEYS, "bucket", F.lit(True).alias("_in_target"))
+    j = b.join(present, [*KEYS, "bucket"], "left")
+    orphan = ((F.col("status") == "changed") & F.col("_in_target").isNull()
+              & F.col("workspace_id").isin(workspaces))
+    return (j.withColumn("status", F.when(orphan, F.lit("new")).otherwise(F.col("status")))
+             .withColumn("reason", F.when(orphan, F.lit("orphan")).otherwise(F.col("reason")))
+             .drop("_in_target", "bucket"))
+
+
 DETECT_KEYS = ("total", "to_process", "skipped", "n_new", "n_changed", "n_hash", "n_stale")
 OUTCOME_KEYS = ("lookups_found", "with_embedding", "data_only", "embed_failed")
 
@@ -143,6 +159,9 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
               **detected, **dict.fromkeys(OUTCOME_KEYS, 0), "orphans": 0}
     if detected["to_process"] > 0:
         staged = spark.read.parquet(stage1)
+        repair = [t.config.workspace_id for t in tenants if t.config.repair_orphans]
+        if repair:
+            staged = repair_orphans(store, staged, repair)
         stage2 = scratch_path(spark, "runs", run_id, "outcome")
         store.with_bucket(outcome(staged, titles, embedder)).write.parquet(stage2)
         done = spark.read.parquet(stage2)

@@ -102,3 +102,26 @@ def test_replay_after_crash_before_state(spark, tmp_path):
     assert crashed.read("state").count() == 0 and crashed.read("target").count() > 0
     run_sync(spark, crashed, tenants(spark, "full"), embedder=emb, as_of=T1)
     assert snapshot(crashed) == snapshot(clean)
+
+
+def test_orphan_updates_counted_or_repaired(spark, tmp_path):
+    """A changed row missing from the target updates nothing and its state
+    advances; with repair_orphans it is embedded and inserted instead."""
+    emb = FunctionEmbedder(hashing_embedder(8), 10)
+    src = fx.table(spark, SF001, "supplier")
+    for repair in (False, True):
+        cfg = SyncConfig(fx.WS_SUPPLIER, fx.SUPPLIER_MAPPING, mode="quick", repair_orphans=repair)
+        first = TableStore(spark, str(tmp_path / f"a{repair}"), 4)
+        run_sync(spark, first, [Tenant(src, cfg)], embedder=emb, as_of=T1)
+        # a second store whose target lost the odd ids (state intact)
+        store = TableStore(spark, str(tmp_path / f"b{repair}"), 4)
+        store.replace_partitions("state", first.read("state"))
+        store.replace_partitions("target", first.read("target").filter(F.col("id").cast("int") % 2 == 0))
+        lost = src.count() - store.read("target").count()
+        assert lost > 0
+        r = run_sync(spark, store, [Tenant(src, cfg)], embedder=emb, as_of=T1 + dt.timedelta(hours=2))
+        if repair:
+            assert r["orphans"] == 0 and r["with_embedding"] == lost
+            assert store.read("target").count() == src.count()
+        else:
+            assert r["orphans"] == lost and store.read("target").count() == src.count() - lost
