@@ -139,6 +139,13 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
     (8) run record appended.  With nothing to process, only (1) and (8) run.
     """
     started = time.time()
+    phases: dict[str, float] = {}
+
+    def mark(name: str, t0: list = [started]) -> None:
+        now = time.time()
+        phases[name] = round(now - t0[0], 3)
+        t0[0] = now
+
     as_of = as_of or as_of_now()
     run_id = uuid.uuid4().hex
     if embedder is None:
@@ -148,6 +155,7 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
     processed, observations = plan_changes(tenants, state, as_of, dedupe, observe=True)
     stage1 = scratch_path(spark, "runs", run_id, "processed")
     processed.write.parquet(stage1)
+    mark("detect")
     detected = dict.fromkeys(DETECT_KEYS, 0)
     for _, obs in observations:
         for k, v in obs.get.items():
@@ -163,18 +171,25 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
         if repair:
             staged = repair_orphans(store, staged, repair)
         stage2 = scratch_path(spark, "runs", run_id, "outcome")
-        store.with_bucket(outcome(staged, titles, embedder)).write.parquet(stage2)
+        counts = Observation(f"outcome_{run_id}")
+        store.with_bucket(outcome(staged, titles, embedder)).observe(counts, *report.outcome_exprs()) \
+            .write.parquet(stage2)
+        record.update({k: int(v or 0) for k, v in counts.get.items()})
+        mark("enrich_embed")
         done = spark.read.parquet(stage2)
-        record.update({k: int(v or 0) for k, v in done.agg(*report.outcome_exprs()).first().asDict().items()})
         live = done.filter(F.col("action").isin("upsert", "update"))
         orphans = Observation(f"orphans_{run_id}")
         merged = merge.merge_products(store.touched("target", live), live, ("bucket",), orphans)
         store.replace_partitions("target", merged)
         record["orphans"] = int(orphans.get.get("orphans") or 0)
+        mark("merge_target")
         store.replace_partitions("state", merge.merge_state(store.touched("state", live), live, as_of, ("bucket",)))
+        mark("merge_state")
     record["processed"] = record["to_process"]
     record["duration_s"] = round(time.time() - started, 3)
     store.append("runs", spark.createDataFrame([_run_row(record)], RUNS))
+    mark("log")
+    record["phases"] = phases
     return record
 
 

@@ -15,6 +15,8 @@ replay idempotent, so the effect is at-least-once with exact results.
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfsync.schema import KEYS, PRODUCT, RUNS, STATE
@@ -34,10 +36,12 @@ def _with_bucket_field(schema: T.StructType) -> T.StructType:
 class TableStore:
     """Partitioned tables of one sync deployment under ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, num_buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, num_buckets: int = 16,
+                 max_static_partitions: int = 20000):
         self.spark = spark
         self.root = root.rstrip("/")
         self.num_buckets = num_buckets
+        self.max_static_partitions = max_static_partitions
         self.schemas = {"target": _with_bucket_field(PRODUCT), "state": _with_bucket_field(STATE),
                         "runs": RUNS}
         self._ready: set[str] = set()
@@ -68,11 +72,27 @@ class TableStore:
 
     def touched(self, name: str, keys: DataFrame) -> DataFrame:
         """Rows of the live table in the partitions named by ``keys``
-        (workspace_id, bucket).  ``keys`` holds at most one row per
-        (workspace, bucket) — bounded by tenants × buckets — so it is
-        broadcast and drives partition pruning of the scan."""
+        (workspace_id, bucket).
+
+        The distinct partition list is bounded by tenants × buckets — never
+        by the data — so it is fetched (at most ``max_static_partitions``
+        tuples) and turned into a static partition predicate: the scan lists
+        and reads only those directories.  Beyond that bound the list stays
+        distributed and a broadcast semi-join lets dynamic partition pruning
+        do the same at run time.
+        """
         parts = keys.select(*PARTITIONS).distinct()
-        return self.read(name).join(F.broadcast(parts), PARTITIONS, "left_semi")
+        pairs = parts.limit(self.max_static_partitions + 1).collect()
+        table = self.read(name)
+        if len(pairs) > self.max_static_partitions:
+            return table.join(F.broadcast(parts), PARTITIONS, "left_semi")
+        by_ws: dict[str, list[int]] = defaultdict(list)
+        for ws, b in pairs:
+            by_ws[ws].append(b)
+        cond = F.lit(False)
+        for ws, buckets in sorted(by_ws.items()):
+            cond = cond | ((F.col("workspace_id") == ws) & F.col("bucket").isin(sorted(buckets)))
+        return table.filter(cond)
 
     def replace_partitions(self, name: str, df: DataFrame) -> None:
         """Overwrite exactly the partitions present in ``df``."""
