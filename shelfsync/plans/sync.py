@@ -87,6 +87,9 @@ def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, de
     stage of whatever job consumes the result, so the skipped rows are
     counted without a second scan.
     """
+    workspaces = [t.config.workspace_id for t in tenants]
+    if len(set(workspaces)) != len(workspaces):
+        raise ValueError("each tenant needs its own workspace_id; union the sources of one workspace first")
     parts, observations = [], []
     for t in tenants:
         cls = tenant_changes(t, state, as_of, dedupe)
@@ -178,12 +181,14 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
         mark("enrich_embed")
         done = spark.read.parquet(stage2)
         live = done.filter(F.col("action").isin("upsert", "update"))
+        pairs = store.touched_partitions(live)
         orphans = Observation(f"orphans_{run_id}")
-        merged = merge.merge_products(store.touched("target", live), live, ("bucket",), orphans)
+        merged = merge.merge_products(store.read_partitions("target", pairs), live, ("bucket",), orphans)
         store.replace_partitions("target", merged)
         record["orphans"] = int(orphans.get.get("orphans") or 0)
         mark("merge_target")
-        store.replace_partitions("state", merge.merge_state(store.touched("state", live), live, as_of, ("bucket",)))
+        store.replace_partitions("state", merge.merge_state(store.read_partitions("state", pairs), live, as_of,
+                                                            ("bucket",)))
         mark("merge_state")
     record["processed"] = record["to_process"]
     record["duration_s"] = round(time.time() - started, 3)

@@ -48,7 +48,8 @@ def order_value(c, dtype):
     from pyspark.sql import types as T
 
     if isinstance(dtype, T.TimestampNTZType):
-        return F.unix_micros(c.cast("timestamp"))
+        # microseconds since the epoch of the wall-clock value, whatever the session time zone
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dtype, T.DateType):

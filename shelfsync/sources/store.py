@@ -70,22 +70,25 @@ class TableStore:
     def with_bucket(self, df: DataFrame) -> DataFrame:
         return df.withColumn("bucket", bucket_of(F.col("id"), self.num_buckets))
 
-    def touched(self, name: str, keys: DataFrame) -> DataFrame:
-        """Rows of the live table in the partitions named by ``keys``
-        (workspace_id, bucket).
-
-        The distinct partition list is bounded by tenants × buckets — never
-        by the data — so it is fetched (at most ``max_static_partitions``
-        tuples) and turned into a static partition predicate: the scan lists
-        and reads only those directories.  Beyond that bound the list stays
-        distributed and a broadcast semi-join lets dynamic partition pruning
-        do the same at run time.
+    def touched_partitions(self, keys: DataFrame) -> list[tuple[str, int]] | DataFrame:
+        """The distinct (workspace_id, bucket) pairs of ``keys``.
+
+        The list is bounded by tenants × buckets — never by the data — so up
+        to ``max_static_partitions`` pairs are fetched to build a static
+        partition predicate.  Beyond that bound the pairs stay a DataFrame.
         """
         parts = keys.select(*PARTITIONS).distinct()
-        pairs = parts.limit(self.max_static_partitions + 1).collect()
+        pairs = [(r[0], r[1]) for r in parts.limit(self.max_static_partitions + 1).collect()]
+        return parts if len(pairs) > self.max_static_partitions else pairs
+
+    def read_partitions(self, name: str, pairs: list[tuple[str, int]] | DataFrame) -> DataFrame:
+        """Rows of the live table in the given partitions only: a static
+        predicate on the partition columns, so the scan lists and reads just
+        those directories; for a very long list, a broadcast semi-join lets
+        dynamic partition pruning do it at run time."""
         table = self.read(name)
-        if len(pairs) > self.max_static_partitions:
-            return table.join(F.broadcast(parts), PARTITIONS, "left_semi")
+        if isinstance(pairs, DataFrame):
+            return table.join(F.broadcast(pairs), PARTITIONS, "left_semi")
         by_ws: dict[str, list[int]] = defaultdict(list)
         for ws, b in pairs:
             by_ws[ws].append(b)
@@ -94,6 +97,10 @@ class TableStore:
             cond = cond | ((F.col("workspace_id") == ws) & F.col("bucket").isin(sorted(buckets)))
         return table.filter(cond)
 
+    def touched(self, name: str, keys: DataFrame) -> DataFrame:
+        """Rows of the live table in the partitions named by ``keys``."""
+        return self.read_partitions(name, self.touched_partitions(keys))
+
     def replace_partitions(self, name: str, df: DataFrame) -> None:
         """Overwrite exactly the partitions present in ``df``."""
         schema = self.schemas[name]
