@@ -10,10 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfsync.operators import detect, report
+from shelfsync.config import SyncConfig
+from shelfsync.functions.fingerprint import fingerprint, row_text
+from shelfsync.functions.text import TITLE_LINE_RE, extract_title, page_title, sanitize
+from shelfsync.operators import detect, embed, enrich, merge, quality, report
+from shelfsync.operators.dedupe import dedupe_keys
+from shelfsync.operators.normalize import embedding_text, normalize
 from shelfsync.plans import fixtures as fx
 from shelfsync.plans import oracle as sql
+from shelfsync.plans.sync import FunctionEmbedder, TableEmbedder, outcome
+from shelfsync.session import scratch_path
 from shelfsync.sources.scan import keyed_source, mapped_scan, source_count
+from shelfsync.streaming.stream import run_stream_to_end
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,7 +73,6 @@ def q_source_count(spark, sf_dir):
           f"concat_ws('|', {', '.join(sql.render(c, sql.PART_TYPES[c]) for c in fx.PART_MAPPING.source_columns())}) AS row_text, "
           f"{sql.fingerprint(fx.PART_MAPPING, sql.PART_TYPES)} AS fingerprint FROM src")
 def row_fingerprint(spark, sf_dir):
-    from shelfsync.functions.fingerprint import fingerprint, row_text
     src = fx.part_source(spark, sf_dir)
     cols = fx.PART_MAPPING.source_columns()
     return src.select(F.col("p_partkey").cast("string").alias("id"),
@@ -128,11 +135,6 @@ def run_summary(spark, sf_dir):
 
 # ---------------------------------------------------------------- P1–P15
 
-from shelfsync.functions.text import TITLE_LINE_RE, extract_title, page_title, sanitize  # noqa: E402
-from shelfsync.operators import embed, enrich, merge, quality  # noqa: E402
-from shelfsync.operators.dedupe import dedupe_keys  # noqa: E402
-from shelfsync.operators.normalize import embedding_text, normalize  # noqa: E402
-from shelfsync.plans.sync import TableEmbedder, FunctionEmbedder, outcome  # noqa: E402
 
 CANON = ["workspace_id", "id", *sql.PRODUCT_DATA]
 
@@ -236,14 +238,20 @@ def embed_join(spark, sf_dir):
     return out.select("id", "status", "action", *_vec_cols(out))
 
 
-@register("embed_batched")
+@register("embed_batched",
+          f"WITH {PART_CTES} SELECT id, {sql.STATUS} AS status, "
+          "CASE WHEN known THEN 'update' ELSE 'upsert' END AS action, "
+          "CAST(CASE WHEN known THEN NULL ELSE 64 END AS INTEGER) AS embedding_dim "
+          f"FROM cls WHERE NOT ({sql.SKIP['quick']})")
 def embed_batched(spark, sf_dir):
     """New rows embedded by a batch function in ``mapInPandas`` (50 texts per
-    call); every new row gets a 64-wide vector."""
+    call, distinct texts only); every new row gets a 64-wide vector and is
+    upserted, changed rows are data-only updates.  The vector values are
+    checked against a plain-Python computation in the tests."""
     cls = _part_classified(spark, sf_dir, "quick")
     proc = normalize(detect.to_process(cls), fx.AS_OF)
     out = outcome(proc, None, FunctionEmbedder(embed.hashing_embedder(64), 50))
-    return out.select("id", "status", "action", *_vec_cols(out))
+    return out.select("id", "status", "action", _vec_cols(out)[0])
 
 
 # ---------------------------------------------------------------- G1–G5
@@ -434,10 +442,6 @@ def stream_sync(spark, sf_dir):
     """Events replayed as a snapshot stream (4 files, any order) through the
     streaming sync; the final state and target equal the latest snapshot of
     every key."""
-    from shelfsync.config import SyncConfig
-    from shelfsync.session import scratch_path
-    from shelfsync.streaming.stream import run_stream_to_end
-
     cfg = SyncConfig(fx.WS_EVENTS, fx.EVENTS_MAPPING, mode="full", order_by=fx.EVENTS_ORDER)
     store = run_stream_to_end(spark, fx.table(spark, sf_dir, "events"), scratch_path(spark, "stream"), cfg,
                               embedder=FunctionEmbedder(embed.hashing_embedder(16), 50))

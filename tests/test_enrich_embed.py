@@ -63,3 +63,24 @@ def test_hashing_embedder_is_deterministic_and_normalised():
     f = embed.hashing_embedder(32)
     a, b = f(["red widget", ""]), f(["red widget", ""])
     assert np.allclose(a, b) and abs(np.linalg.norm(a[0]) - 1) < 1e-6 and not a[1].any()
+
+
+def test_batched_vectors_equal_brute_force(spark):
+    """The mapInPandas path gives, per row, exactly what the embedder gives
+    when called on that row's text alone."""
+    import numpy as np
+
+    from shelfsync.operators import detect
+    from shelfsync.plans import fixtures as fx
+    from shelfsync.plans.sync import FunctionEmbedder, outcome
+    from conftest import SF001
+
+    keyed = keyed_source(fx.part_source(spark, SF001), fx.PART_MAPPING, fx.WS_PART)
+    cls = detect.classify(keyed, fx.prior_state(keyed), "quick", fx.AS_OF)
+    proc = normalize(detect.to_process(cls), fx.AS_OF)
+    f = embed.hashing_embedder(64)
+    out = outcome(proc, None, FunctionEmbedder(f, 7)).filter(F.col("status") == "new")
+    rows = out.select("embed_text", "embedding").collect()
+    assert rows
+    for r in rows:
+        assert np.allclose(np.asarray(r.embedding, dtype=np.float32), f([r.embed_text])[0])
