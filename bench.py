@@ -11,7 +11,6 @@ import datetime as dt
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,7 +23,7 @@ HEADLINE = ["detect_quick", "normalize_part", "coerce_scalars", "sanitize_text",
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    from shelfsync.session import get_spark, work_dir
+    from shelfsync.session import get_spark, scratch_path, work_dir
     from shelfsync.plans import queries as q
     from shelfsync.plans import fixtures as fx
     from shelfsync.plans.sync import Tenant, TableEmbedder, run_sync
@@ -45,8 +44,7 @@ def main():
         times[name] = round(time.time() - t0, 3)
 
     # Real runs: three tenants into one store, then an incremental quick run.
-    root = tempfile.mkdtemp(prefix="bench-store-", dir=os.environ.get("BENCH_TMP", "/tmp"))
-    store = TableStore(spark, root, num_buckets=8)
+    store = TableStore(spark, scratch_path(spark, "bench-store"), num_buckets=8)
     pages = title_table(pages_from_html(fx.table(spark, sf_dir, "pages")))
     emb = TableEmbedder(fx.table(spark, sf_dir, "embeddings"), "id", "vec_id")
 

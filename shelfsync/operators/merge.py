@@ -15,7 +15,7 @@ from shelfsync.schema import KEYS, UPDATE_COLUMNS
 
 
 def merge_products(target: DataFrame, changes: DataFrame, extra_keys: tuple[str, ...] = (),
-                   orphans: Observation | None = None) -> DataFrame:
+                   orphans: Observation | None = None, with_vectors: bool = True) -> DataFrame:
     """Apply upserts and data-only updates to ``target``.
 
     * ``upsert`` rows insert, or replace every column including the vector;
@@ -24,23 +24,34 @@ def merge_products(target: DataFrame, changes: DataFrame, extra_keys: tuple[str,
     * a NULL in an update lands as NULL (match flag, not ``coalesce``).
     ``changes`` must hold one row per key (see ``dedupe_keys``).  With an
     ``orphans`` observation, updates that matched nothing are counted in the
-    same job that writes the result.
+    same job that writes the result.  ``with_vectors=False`` merges the
+    data columns only (vectors kept in their own table, see
+    :func:`merge_vectors`).
     """
     keys = [*KEYS, *extra_keys]
-    t = target.select(*keys, *UPDATE_COLUMNS, "embedding", F.lit(True).alias("_t"))
+    vec = ["embedding"] if with_vectors else []
+    t = target.select(*keys, *UPDATE_COLUMNS, *vec, F.lit(True).alias("_t"))
     c = changes.filter(F.col("action").isin("upsert", "update")).select(
         *keys, *[F.col(x).alias(f"_c_{x}") for x in UPDATE_COLUMNS],
-        F.col("embedding").alias("_c_embedding"), F.col("action").alias("_a"))
+        *[F.col(x).alias(f"_c_{x}") for x in vec], F.col("action").alias("_a"))
     j = t.join(c, keys, "full_outer")
     has_t = F.col("_t").isNotNull()
     upsert = F.col("_a") == "upsert"
     changed = F.col("_a").isNotNull()
     cols = [F.when(changed, F.col(f"_c_{x}")).otherwise(F.col(x)).alias(x) for x in UPDATE_COLUMNS]
-    emb = F.when(upsert, F.col("_c_embedding")).otherwise(F.col("embedding")).alias("embedding")
+    emb = [F.when(upsert, F.col("_c_embedding")).otherwise(F.col("embedding")).alias("embedding")] if vec else []
     if orphans is not None:
         j = j.observe(orphans, F.sum(F.when(~has_t & (F.col("_a") == "update"), 1).otherwise(0))
                       .cast("bigint").alias("orphans"))
-    return j.filter(has_t | F.coalesce(upsert, F.lit(False))).select(*keys, *cols, emb)
+    return j.filter(has_t | F.coalesce(upsert, F.lit(False))).select(*keys, *cols, *emb)
+
+
+def merge_vectors(vectors: DataFrame, changes: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Vectors of upserted rows replace or join the vector table; data-only
+    updates never touch it."""
+    keys = [*KEYS, *extra_keys]
+    ups = changes.filter(F.col("action") == "upsert").select(*keys, "embedding")
+    return upsert_rows(vectors.select(*keys, "embedding"), ups, keys)
 
 
 def orphan_updates(target: DataFrame, changes: DataFrame) -> DataFrame:

@@ -137,9 +137,11 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
     """One sync run over ``tenants``; returns the run record (a small dict).
 
     Jobs: (1) detect + normalise → staged rows, counts observed;
-    (2) enrich + embed → staged outcome; (3) outcome counts;
-    (4–5) target partitions merged and replaced; (6–7) state likewise;
-    (8) run record appended.  With nothing to process, only (1) and (8) run.
+    (2) enrich + embed → staged outcome, counts observed;
+    (3) vectors of upserts merged into touched vector partitions;
+    (4) target partitions merged and replaced (data columns only);
+    (5) state likewise; (6) run record appended.  Commit order is vectors,
+    target, state, run record.  With nothing to process, only (1) and (6) run.
     """
     started = time.time()
     phases: dict[str, float] = {}
@@ -182,8 +184,14 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
         done = spark.read.parquet(stage2)
         live = done.filter(F.col("action").isin("upsert", "update"))
         pairs = store.touched_partitions(live)
+        if record["with_embedding"] > 0:
+            ups = done.filter(F.col("action") == "upsert")
+            store.replace_partitions("vectors", merge.merge_vectors(
+                store.read_partitions("vectors", store.touched_partitions(ups)), ups, ("bucket",)))
+            mark("merge_vectors")
         orphans = Observation(f"orphans_{run_id}")
-        merged = merge.merge_products(store.read_partitions("target", pairs), live, ("bucket",), orphans)
+        merged = merge.merge_products(store.read_partitions("target", pairs), live, ("bucket",), orphans,
+                                      with_vectors=False)
         store.replace_partitions("target", merged)
         record["orphans"] = int(orphans.get.get("orphans") or 0)
         mark("merge_target")

@@ -1,7 +1,10 @@
 """Target, state and run-log tables on a shared file system.
 
-Layout: ``<root>/target`` and ``<root>/state`` are Parquet datasets
-partitioned by ``workspace_id`` and ``bucket = pmod(xxhash64(id), B)``.
+Layout: ``<root>/target`` (product data), ``<root>/vectors`` (keys and
+embedding) and ``<root>/state`` are Parquet datasets partitioned by
+``workspace_id`` and ``bucket = pmod(xxhash64(id), B)``.  Vectors live apart
+because they dominate row size and only upserts change them: data-only
+refreshes — the common run — never shuffle or rewrite them.
 A merge rewrites only the partitions its change set touches, using Spark's
 dynamic partition overwrite; untouched tenants and buckets are never read
 nor written.  Merged partitions are first written to a staging folder (the
@@ -42,8 +45,10 @@ class TableStore:
         self.root = root.rstrip("/")
         self.num_buckets = num_buckets
         self.max_static_partitions = max_static_partitions
-        self.schemas = {"target": _with_bucket_field(PRODUCT), "state": _with_bucket_field(STATE),
-                        "runs": RUNS}
+        data = T.StructType([f for f in PRODUCT.fields if f.name != "embedding"])
+        vectors = T.StructType([f for f in PRODUCT.fields if f.name in (*KEYS, "embedding")])
+        self.schemas = {"target": _with_bucket_field(data), "vectors": _with_bucket_field(vectors),
+                        "state": _with_bucket_field(STATE), "runs": RUNS}
         self._ready: set[str] = set()
 
     def path(self, name: str) -> str:
@@ -56,7 +61,7 @@ class TableStore:
         if name in self._ready:
             return
         writer = self.spark.createDataFrame([], schema).write.mode("ignore")
-        if name in ("target", "state"):
+        if name in ("target", "vectors", "state"):
             writer = writer.partitionBy(*PARTITIONS)
         writer.parquet(self.path(name))
         self._ready.add(name)
@@ -67,6 +72,11 @@ class TableStore:
         self.ensure(name)
         return self.spark.read.schema(self.schemas[name]).parquet(self.path(name))
 
+    def read_products(self) -> DataFrame:
+        """The canonical product table: product data with its vector."""
+        vec = self.read("vectors").select(*KEYS, "bucket", "embedding")
+        return self.read("target").join(vec, [*KEYS, "bucket"], "left").select(*[f.name for f in PRODUCT.fields])
+
     def with_bucket(self, df: DataFrame) -> DataFrame:
         return df.withColumn("bucket", bucket_of(F.col("id"), self.num_buckets))
 

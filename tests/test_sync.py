@@ -21,9 +21,10 @@ def tenants(spark, mode):
 
 
 def snapshot(store):
-    t = sorted(tuple(r) for r in store.read("target").drop("embedding").collect())
+    t = sorted(tuple(r) for r in store.read("target").collect())
+    v = sorted((r.workspace_id, r.id, tuple(r.embedding)) for r in store.read("vectors").collect())
     s = sorted(tuple(r) for r in store.read("state").collect())
-    return t, s
+    return t, v, s
 
 
 def test_second_full_run_processes_nothing(spark, store_root):
@@ -34,9 +35,13 @@ def test_second_full_run_processes_nothing(spark, store_root):
     assert r1["with_embedding"] == r1["n_new"] == r1["total"]
     r2 = run_sync(spark, store, tenants(spark, "full"), embedder=emb, as_of=T1 + dt.timedelta(hours=5))
     assert r2["to_process"] == 0 and r2["skipped"] == r2["total"]
-    # quick an hour later refreshes everything stale, as data-only updates
+    # quick an hour later refreshes everything stale, as data-only updates,
+    # which leave every vector as it was
+    before = sorted((r.id, tuple(r.embedding)) for r in store.read_products().collect())
     r3 = run_sync(spark, store, tenants(spark, "quick"), embedder=emb, as_of=T1 + dt.timedelta(hours=6))
     assert r3["to_process"] == r3["total"] and r3["data_only"] == r3["total"]
+    assert sorted((r.id, tuple(r.embedding)) for r in store.read_products().collect()) == before
+    assert "merge_vectors" not in r3["phases"]
     target = store.read("target")
     assert target.count() == target.select("workspace_id", "id").distinct().count() == r1["total"]
     assert store.read("runs").count() == 3
@@ -58,7 +63,7 @@ def test_result_independent_of_batch_size_and_buckets(spark, tmp_path):
     for i, (batch, buckets) in enumerate([(1, 2), (50, 16)]):
         store = TableStore(spark, str(tmp_path / f"s{i}"), buckets)
         run_sync(spark, store, tenants(spark, "full"), embedder=FunctionEmbedder(hashing_embedder(16), batch), as_of=T1)
-        t = sorted((r.workspace_id, r.id, r.description, tuple(r.embedding)) for r in store.read("target").collect())
+        t = sorted((r.workspace_id, r.id, r.description, tuple(r.embedding)) for r in store.read_products().collect())
         outs.append(t)
     assert outs[0] == outs[1]
 
