@@ -34,3 +34,20 @@ def outcome_exprs() -> list[Column]:
             _n(a == "upsert").alias("with_embedding"),
             _n(a == "update").alias("data_only"),
             _n(a == "drop").alias("embed_failed")]
+
+
+def run_summary(classified: DataFrame, out: DataFrame, target: DataFrame) -> DataFrame:
+    """The whole run summary per workspace: detection counts over every
+    row, outcome counts over processed rows, orphans against the target."""
+    from shelfsync.operators.merge import orphan_updates
+    from shelfsync.schema import KEYS
+
+    det = detection_summary(classified)
+    outc = out.groupBy("workspace_id").agg(*outcome_exprs())
+    orph = orphan_updates(target, out).groupBy("workspace_id").agg(F.count(F.lit(1)).alias("orphans"))
+    cols = ["lookups_found", "with_embedding", "data_only", "embed_failed"]
+    return (det.join(outc, "workspace_id", "left").join(orph, "workspace_id", "left")
+            .select("workspace_id", *[c for c in det.columns if c != "workspace_id"],
+                    *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in cols],
+                    F.coalesce(F.col("orphans"), F.lit(0)).cast("bigint").alias("orphans"))
+            .withColumn("processed", F.col("to_process")))

@@ -308,6 +308,36 @@ def state_merge(spark, sf_dir):
     return merge.merge_state(fx.prior_state(keyed), _part_outcome(spark, sf_dir), fx.AS_OF)
 
 
+@register("run_summary_full", MERGE_SQL +
+          ", m AS (SELECT *, NOT (" + sql.SKIP["quick"] + ") AS process FROM cls), "
+          "det AS (SELECT workspace_id, count(*) AS total, "
+          "CAST(sum(CASE WHEN process THEN 1 ELSE 0 END) AS BIGINT) AS to_process, "
+          "CAST(sum(CASE WHEN process THEN 0 ELSE 1 END) AS BIGINT) AS skipped, "
+          "CAST(sum(CASE WHEN process AND NOT known THEN 1 ELSE 0 END) AS BIGINT) AS n_new, "
+          "CAST(sum(CASE WHEN process AND known THEN 1 ELSE 0 END) AS BIGINT) AS n_changed, "
+          "CAST(sum(CASE WHEN process AND known AND NOT same THEN 1 ELSE 0 END) AS BIGINT) AS n_hash, "
+          "CAST(sum(CASE WHEN process AND known AND same THEN 1 ELSE 0 END) AS BIGINT) AS n_stale "
+          "FROM m GROUP BY workspace_id), "
+          "o AS (SELECT workspace_id, CAST(sum(CASE WHEN title IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS lookups_found, "
+          "CAST(sum(CASE WHEN action = 'upsert' THEN 1 ELSE 0 END) AS BIGINT) AS with_embedding, "
+          "CAST(sum(CASE WHEN action = 'update' THEN 1 ELSE 0 END) AS BIGINT) AS data_only, "
+          "CAST(sum(CASE WHEN action = 'drop' THEN 1 ELSE 0 END) AS BIGINT) AS embed_failed FROM outc GROUP BY workspace_id), "
+          "orph AS (SELECT workspace_id, count(*) AS orphans FROM outc WHERE action = 'update' AND NOT EXISTS "
+          "(SELECT 1 FROM tgt WHERE tgt.workspace_id = outc.workspace_id AND tgt.id = outc.id) GROUP BY workspace_id) "
+          "SELECT det.*, COALESCE(o.lookups_found, 0) AS lookups_found, COALESCE(o.with_embedding, 0) AS with_embedding, "
+          "COALESCE(o.data_only, 0) AS data_only, COALESCE(o.embed_failed, 0) AS embed_failed, "
+          "COALESCE(orph.orphans, 0) AS orphans, det.to_process AS processed "
+          "FROM det LEFT JOIN o USING (workspace_id) LEFT JOIN orph USING (workspace_id)")
+def run_summary_full(spark, sf_dir):
+    """A1 in full: every count the run log records, per workspace."""
+    keyed = _part_keyed(spark, sf_dir)
+    cls = detect.classify(keyed, fx.prior_state(keyed), "quick", fx.AS_OF, fx.STALE_MINUTES)
+    proc = normalize(detect.to_process(cls), fx.AS_OF)
+    titles = enrich.title_table(_lookup(spark, sf_dir))
+    out = outcome(proc, titles, TableEmbedder(fx.table(spark, sf_dir, "embeddings"), "id", "vec_id"))
+    return report.run_summary(cls, out, fx.prior_target(keyed))
+
+
 # ---------------------------------------------------------------- G4
 
 LI_KEYED_SQL = (f"WITH src AS ({sql.LINEITEM_SRC}), "
