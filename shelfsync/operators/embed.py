@@ -66,19 +66,25 @@ def _batched(fn: Callable[[list[str]], Sequence], batch_size: int):
     return run
 
 
-def embed_texts(texts: DataFrame, fn: Callable, batch_size: int = 50) -> DataFrame:
-    """(embed_text, embedding, embed_error) for each distinct text."""
+def embed_texts(texts: DataFrame, fn: Callable, batch_size: int = 50,
+                concurrency: int | None = None) -> DataFrame:
+    """(embed_text, embedding, embed_error) for each distinct text.  With
+    ``concurrency``, at most that many calls are in flight (one per
+    partition), however many executors the cluster has."""
     distinct = texts.select(EMBED_TEXT).distinct()
+    if concurrency:
+        distinct = distinct.repartition(concurrency)
     return distinct.mapInPandas(_batched(fn, batch_size),
                                 f"{EMBED_TEXT} string, embedding array<float>, embed_error string")
 
 
-def embed_with_function(rows: DataFrame, fn: Callable, batch_size: int = 50) -> DataFrame:
+def embed_with_function(rows: DataFrame, fn: Callable, batch_size: int = 50,
+                        concurrency: int | None = None) -> DataFrame:
     """Embeds the distinct texts of new rows once and joins the vectors back."""
     rows = rows if EMBED_TEXT in rows.columns else with_embed_text(rows)
     is_new = F.col("status") == "new"
     new = rows.filter(is_new)
-    vecs = embed_texts(new, fn, batch_size)
+    vecs = embed_texts(new, fn, batch_size, concurrency)
     new = new.join(vecs, EMBED_TEXT, "left")
     rest = (rows.filter(~is_new).withColumn("embedding", F.lit(None).cast("array<float>"))
             .withColumn("embed_error", F.lit(None).cast("string")))

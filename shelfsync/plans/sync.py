@@ -50,11 +50,11 @@ class TableEmbedder:
 class FunctionEmbedder:
     """Vectors from a batch function called inside ``mapInPandas``."""
 
-    def __init__(self, fn, batch_size: int = 50):
-        self.fn, self.batch_size = fn, batch_size
+    def __init__(self, fn, batch_size: int = 50, concurrency: int | None = None):
+        self.fn, self.batch_size, self.concurrency = fn, batch_size, concurrency
 
     def apply(self, rows: DataFrame) -> DataFrame:
-        return embed.embed_with_function(rows, self.fn, self.batch_size)
+        return embed.embed_with_function(rows, self.fn, self.batch_size, self.concurrency)
 
 
 def tenant_changes(tenant: Tenant, state: DataFrame, as_of: dt.datetime, dedupe: bool = True) -> DataFrame:
