@@ -7,9 +7,8 @@ because they dominate row size and only upserts change them: data-only
 refreshes — the common run — never shuffle or rewrite them.
 A merge rewrites only the partitions its change set touches, using Spark's
 dynamic partition overwrite; untouched tenants and buckets are never read
-nor written.  Merged partitions are first written to a staging folder (the
-live path cannot be read and overwritten by one job), which also cuts the
-lineage before the commit.  ``<root>/runs`` is an append-only run log.
+nor written, and touched ones are written once.  ``<root>/runs`` is an
+append-only run log.
 
 Commit order is target, then state, then the run record.  A crash in
 between replays the change set on the next run; the keyed merges make that
@@ -40,11 +39,12 @@ class TableStore:
     """Partitioned tables of one sync deployment under ``root``."""
 
     def __init__(self, spark: SparkSession, root: str, num_buckets: int = 16,
-                 max_static_partitions: int = 20000):
+                 max_static_partitions: int = 20000, staged_commit: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
         self.num_buckets = num_buckets
         self.max_static_partitions = max_static_partitions
+        self.staged_commit = staged_commit
         data = T.StructType([f for f in PRODUCT.fields if f.name != "embedding"])
         vectors = T.StructType([f for f in PRODUCT.fields if f.name in (*KEYS, "embedding")])
         self.schemas = {"target": _with_bucket_field(data), "vectors": _with_bucket_field(vectors),
@@ -111,13 +111,24 @@ class TableStore:
         """Rows of the live table in the partitions named by ``keys``."""
         return self.read_partitions(name, self.touched_partitions(keys))
 
-    def replace_partitions(self, name: str, df: DataFrame) -> None:
-        """Overwrite exactly the partitions present in ``df``."""
+    def replace_partitions(self, name: str, df: DataFrame, staged: bool | None = None) -> None:
+        """Overwrite exactly the partitions present in ``df``.
+
+        Dynamic partition overwrite writes new files under a job staging
+        folder and swaps partition directories only at job commit, after
+        every task — retries included — has finished reading the old files.
+        So ``df`` may read the very partitions it replaces, and each touched
+        partition is written once.  ``staged=True`` (or the store default)
+        first materialises ``df`` in the scratch folder and copies it in,
+        for file systems where a second copy is wanted.
+        """
         schema = self.schemas[name]
-        stage = scratch_path(self.spark, "staging", name)
-        df.select(*[f.name for f in schema.fields]).write.partitionBy(*PARTITIONS).parquet(stage)
-        staged = self.spark.read.schema(schema).parquet(stage)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out = df.select(*[f.name for f in schema.fields])
+        if self.staged_commit if staged is None else staged:
+            stage = scratch_path(self.spark, "staging", name)
+            out.write.partitionBy(*PARTITIONS).parquet(stage)
+            out = self.spark.read.schema(schema).parquet(stage)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITIONS).parquet(self.path(name)))
 
     def append(self, name: str, df: DataFrame) -> None:

@@ -58,10 +58,10 @@ def test_failed_embeddings_leave_tables_untouched(spark, store_root):
     assert store.read("target").count() == n_vec and store.read("state").count() == n_vec
 
 
-def test_result_independent_of_batch_size_and_buckets(spark, tmp_path):
+def test_result_independent_of_batch_size_buckets_and_commit_path(spark, tmp_path):
     outs = []
-    for i, (batch, buckets) in enumerate([(1, 2), (50, 16)]):
-        store = TableStore(spark, str(tmp_path / f"s{i}"), buckets)
+    for i, (batch, buckets, staged) in enumerate([(1, 2, False), (50, 16, True)]):
+        store = TableStore(spark, str(tmp_path / f"s{i}"), buckets, staged_commit=staged)
         run_sync(spark, store, tenants(spark, "full"), embedder=FunctionEmbedder(hashing_embedder(16), batch), as_of=T1)
         t = sorted((r.workspace_id, r.id, r.description, tuple(r.embedding)) for r in store.read_products().collect())
         outs.append(t)
