@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 # JavaScript's whitespace set (what ``\s`` and ``trim`` accept),
-# written as a regex character-class body valid in Java regex and RE2.
-JS_WS = r"\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
+# written as a regex character-class body valid in Java regex and RE2: the
+# ASCII part, then the wider Unicode spaces.
+JS_WS_WIDE = r"\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
+JS_WS = r"\t\n\x0B\f\r " + JS_WS_WIDE
 
 # Fixed value: decimal literals that ``Number(string)`` accepts once trimmed.
 # Hex/octal/binary prefixes are left unparsed (NaN) on purpose.

@@ -34,6 +34,36 @@ def test_sanitize(spark):
     assert got == [e for _, e in SANITIZE]
 
 
+# JavaScript's whitespace set as code points, for a plain-Python sanitiser.
+JS_SPACES = {*map(ord, "\t\n\x0b\x0c\r "), 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+             0x205F, 0x3000, 0xFEFF}
+
+
+def py_sanitize(text):
+    kept = "".join(ch for ch in text if (ch.isascii() and ch.isalnum()) or ord(ch) in JS_SPACES)
+    out, space = [], False
+    for ch in kept:
+        if ord(ch) in JS_SPACES:
+            space = True
+            continue
+        if space and out:
+            out.append(" ")
+        out.append(ch)
+        space = False
+    return "".join(out)
+
+
+def test_sanitize_every_code_point(spark):
+    """The Java class form keeps exactly ASCII letters, digits and the JS
+    whitespace set, for every BMP code point and a few astral ones."""
+    cps = [c for c in range(1, 0x10000) if not 0xD800 <= c <= 0xDFFF] + [0x1F600, 0x1D400, 0x10FFFF]
+    values = [f"a{chr(c)}b {chr(c)}{chr(c)} z{chr(c)}" for c in cps]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = {r[0]: r[1] for r in df.select("i", sanitize(F.col("v"))).collect()}
+    bad = [(hex(cps[i]), got[i], py_sanitize(v)) for i, v in enumerate(values) if got[i] != py_sanitize(v)]
+    assert not bad, bad[:10]
+
+
 NUMBERS = [(None, 0.0), ("", 0.0), ("  ", 0.0), ("abc", math.nan), (" 12.5\t", 12.5), ("1e3", 1000.0),
            ("+5", 5.0), ("-.5", -0.5), ("1.", 1.0), ("1d", math.nan), ("inf", math.nan),
            ("Infinity", math.inf), ("0x1A", math.nan), ("1 2", math.nan), (" 7 ", 7.0)]
