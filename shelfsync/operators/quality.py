@@ -8,6 +8,7 @@ from shelfsync.config import ColumnMapping
 from shelfsync.functions.js import js_number
 from shelfsync.functions.text import sanitize
 from shelfsync.session import broadcast_if_small
+from shelfsync.sources.scan import spread
 
 # Fixed value: the UUID shape a workspace id must have (case-insensitive).
 UUID_RE = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
@@ -53,7 +54,7 @@ def dq_counts(source: DataFrame, mapping: ColumnMapping, workspace_id: str) -> D
     else:
         frac = big = F.lit(False)
     desc = sanitize(F.col(mapping.description), types[mapping.description])
-    keyed = source.select(idc.alias("_id"), price.alias("_price"), frac.alias("_frac"), big.alias("_big"),
+    keyed = spread(source).select(idc.alias("_id"), price.alias("_price"), frac.alias("_frac"), big.alias("_big"),
                           desc.alias("_desc"))
     # Per key first (partial aggregation collapses hot keys map-side), then
     # one row over the keys.

@@ -20,7 +20,7 @@ from shelfsync.plans import fixtures as fx
 from shelfsync.plans import oracle as sql
 from shelfsync.plans.sync import FunctionEmbedder, TableEmbedder, outcome
 from shelfsync.session import scratch_path
-from shelfsync.sources.scan import keyed_source, mapped_scan, source_count
+from shelfsync.sources.scan import keyed_source, mapped_scan, source_count, spread
 from shelfsync.streaming.stream import run_stream_to_end
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,7 +156,7 @@ NORM_TEXT_SQL = (f"WITH src AS ({sql.TEXT_SRC}), keyed AS ({sql.keyed(fx.TEXT_MA
 
 @register("sanitize_text", f"SELECT doc_id, {sql.sanitize('text')} AS description FROM documents")
 def sanitize_text(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents")
+    docs = spread(fx.table(spark, sf_dir, "documents"))
     return docs.select("doc_id", sanitize(F.col("text")).alias("description"))
 
 

@@ -11,7 +11,7 @@ from shelfsync.config import SyncConfig
 from shelfsync.operators.dedupe import dedupe_keys
 from shelfsync.plans import fixtures as fx
 from shelfsync.plans.sync import Tenant, plan_changes
-from shelfsync.sources.scan import keyed_source
+from shelfsync.sources.scan import keyed_source, spread
 from shelfsync.sources.store import TableStore
 
 from conftest import SF001
@@ -53,8 +53,11 @@ def test_one_source_shuffle_per_tenant_and_pruned_state(spark, tmp_path):
         plan = plan_of(processed, "formatted")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # one exchange for the source (dedupe + join share it), one for the state
-    assert plan.count("Exchange (") == 2, plan
+    # one hash exchange for the source (dedupe + join share it), one for the
+    # state; the fixture is a single split, so it is spread round-robin once
+    hashed = [x for x in plan.splitlines() if x.startswith("Arguments: hashpartitioning(")]
+    assert len(hashed) == 2, plan
+    assert plan.count("Exchange (") == 3 and plan.count("RoundRobinPartitioning") == 1, plan
     assert f"EqualTo(workspace_id,{fx.WS_PART})" in plan
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_brand:string,p_size:int,p_retailprice:double>" in plan
 
@@ -72,3 +75,15 @@ def test_touched_partitions_are_static_filters(spark, tmp_path):
     assert touched.count() < 200 and touched.filter(F.col("id").isin("4", "7")).count() == 2
     line = [x for x in plan.splitlines() if x.startswith("PartitionFilters")][0]
     assert "w1" in line and "w2" in line and "bucket" in line
+
+
+def test_spread_only_when_too_few_splits(spark):
+    """A source with fewer splits than the default parallelism is spread
+    round-robin; one with enough splits is left alone (no shuffle added)."""
+    enough = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism)
+    assert "Exchange" not in plan_of(spread(enough))
+    one = spark.range(0, 1000, 1, 1)
+    spread_one = spread(one)
+    assert "RoundRobinPartitioning" in plan_of(spread_one)
+    assert spread_one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r[0] for r in spread_one.collect()) == list(range(1000))
