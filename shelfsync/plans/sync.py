@@ -26,7 +26,7 @@ from shelfsync.operators.dedupe import dedupe_keys
 from shelfsync.operators.normalize import normalize
 from shelfsync.schema import KEYS, RUNS
 from shelfsync.session import scratch_path
-from shelfsync.sources.scan import keyed_source
+from shelfsync.sources.scan import keyed_source, spread
 from shelfsync.sources.store import TableStore
 
 
@@ -57,48 +57,82 @@ class FunctionEmbedder:
         return embed.embed_with_function(rows, self.fn, self.batch_size, self.concurrency)
 
 
-def tenant_changes(tenant: Tenant, state: DataFrame, as_of: dt.datetime, dedupe: bool = True) -> DataFrame:
-    """Classified rows of one tenant (lazy), skipped rows included.
+def keyed_tenant(tenant: Tenant) -> DataFrame:
+    """One tenant's source through its mapping (a projection, no shuffle)."""
+    cfg = tenant.config
+    extra = {"_order": cfg.order_by} if cfg.order_by else None
+    return keyed_source(tenant.source, cfg.mapping, cfg.workspace_id, extra=extra)
+
+
+def _group_key(cfg: SyncConfig, keyed: DataFrame) -> tuple:
+    """Tenants whose keyed rows have the same columns and types, and that
+    share mode, threshold, rounding and snapshot ordering, are planned as one:
+    their normalisation and detection are the same expressions."""
+    return (tuple((f.name, f.dataType.simpleString()) for f in keyed.schema.fields),
+            cfg.mode, cfg.stale_minutes, cfg.exact_cents, bool(cfg.order_by))
 
-    Within a tenant the workspace is a constant, so deduplication and the
-    state join are keyed on ``id`` alone: the aggregate's hash partitioning
-    is reused by the join and the source is shuffled once.  The state is
-    read only for this workspace (partition pruning on ``workspace_id``).
+
+def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_of: dt.datetime,
+                  dedupe: bool = True) -> DataFrame:
+    """Classified rows (lazy, skipped rows included) of tenants planned as one.
+
+    Their keyed sources are unioned, spread if they arrive in too few splits,
+    deduplicated and joined with the state on one key, so deduplication and
+    the state join share one shuffle for the whole group, however many
+    tenants it holds.  The state is read only for the group's workspaces
+    (partition pruning on ``workspace_id``).  A group of one tenant keys on
+    ``id`` alone, its workspace being a constant.
     """
-    cfg = tenant.config
-    keyed = keyed_source(tenant.source, cfg.mapping, cfg.workspace_id)
+    cfg = members[0][0].config
+    workspaces = [t.config.workspace_id for t, _ in members]
+    keyed = spread(reduce(lambda a, b: a.unionByName(b), [k for _, k in members]))
+    if len(members) == 1:
+        keys = ["id"]
+        st = state.filter(F.col("workspace_id") == workspaces[0]).drop("workspace_id")
+    else:
+        keys = list(KEYS)
+        st = state.filter(F.col("workspace_id").isin(workspaces))
     if cfg.order_by:
-        keyed = keyed_source(tenant.source, cfg.mapping, cfg.workspace_id, extra={"_order": cfg.order_by})
-        keyed = dedupe_keys(keyed, keys=["id"], order_by=["_order", "fingerprint"])
+        keyed = dedupe_keys(keyed, keys=keys, order_by=["_order", "fingerprint"])
     elif dedupe:
-        keyed = dedupe_keys(keyed, keys=["id"])
-    st = state.filter(F.col("workspace_id") == cfg.workspace_id).drop("workspace_id")
-    return detect.classify(keyed, st, cfg.mode, as_of, cfg.stale_minutes, keys=["id"])
+        keyed = dedupe_keys(keyed, keys=keys)
+    return detect.classify(keyed, st, cfg.mode, as_of, cfg.stale_minutes, keys=keys)
+
+
+def tenant_changes(tenant: Tenant, state: DataFrame, as_of: dt.datetime, dedupe: bool = True) -> DataFrame:
+    """Classified rows of one tenant (lazy), skipped rows included."""
+    return group_changes([(tenant, keyed_tenant(tenant))], state, as_of, dedupe)
 
 
 def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, dedupe: bool = True,
                  observe: bool = False) -> tuple[DataFrame, list[tuple[str, Observation]]]:
     """Processed, normalised rows of all tenants, and (when ``observe``) one
-    ``Observation`` of detection counts per tenant.
-
-    Each tenant joins only its own slice of the state (a partition filter on
-    ``workspace_id``), so tenants never shuffle against each other.  The
-    observations sit between the state join and the filter, in the final
-    stage of whatever job consumes the result, so the skipped rows are
-    counted without a second scan.
+    ``Observation`` of detection counts per group of tenants.
+
+    Tenants with the same source shape and settings form one group (see
+    :func:`group_changes`): a thousand tenants of one shop system are one
+    union, one shuffle and one state join, not a thousand.  Groups never
+    shuffle against each other.  The observations sit between the state
+    join and the filter, in the final stage of whatever job consumes the
+    result, so the skipped rows are counted without a second scan.
     """
     workspaces = [t.config.workspace_id for t in tenants]
     if len(set(workspaces)) != len(workspaces):
         raise ValueError("each tenant needs its own workspace_id; union the sources of one workspace first")
-    parts, observations = [], []
+    groups: dict[tuple, list[tuple[Tenant, DataFrame]]] = {}
     for t in tenants:
-        cls = tenant_changes(t, state, as_of, dedupe)
+        keyed = keyed_tenant(t)
+        groups.setdefault(_group_key(t.config, keyed), []).append((t, keyed))
+    parts, observations = [], []
+    for members in groups.values():
+        cls = group_changes(members, state, as_of, dedupe)
+        label = ",".join(t.config.workspace_id for t, _ in members)
         if observe:
             obs = Observation(f"detect_{uuid.uuid4().hex}")
             cls = cls.observe(obs, *report.detection_exprs())
-            observations.append((t.config.workspace_id, obs))
+            observations.append((label, obs))
         keep = ("workspace_id", "id", "fingerprint", "status", "reason", "_order")
-        parts.append(normalize(detect.to_process(cls), as_of, t.config.exact_cents, keep=keep))
+        parts.append(normalize(detect.to_process(cls), as_of, members[0][0].config.exact_cents, keep=keep))
     processed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return processed, observations
 

@@ -38,7 +38,7 @@ def mapped_scan(df: DataFrame, mapping: ColumnMapping) -> DataFrame:
     return df.select(*mapping.source_columns())
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, min_rows: int = 250_000) -> DataFrame:
     """Spread a source that arrives in fewer splits than the cluster has
     cores over ``min_partitions`` tasks (default: the default parallelism).
 
@@ -47,10 +47,17 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     rules, the map side of deduplication) would then run on one core.  The
     repartition is round-robin, so a key that holds a third of the rows is
     split evenly too.  A scan with enough splits — any large table on a
-    cluster — is returned unchanged and no shuffle is added.
+    cluster, or a union of many small tenants — is returned unchanged and
+    nothing runs.  Otherwise a bounded count (at most ``min_rows + 1`` rows
+    are read) decides: below ``min_rows`` one core finishes sooner than an
+    extra stage would start.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    if min_rows > 0 and df.limit(min_rows + 1).count() <= min_rows:
+        return df
+    return df.repartition(target)
 
 
 def source_count(df: DataFrame) -> DataFrame:
@@ -75,17 +82,15 @@ def order_value(c, dtype):
 
 
 def keyed_source(df: DataFrame, mapping: ColumnMapping, workspace_id: str,
-                 extra: dict[str, str] | None = None, min_partitions: int | None = None) -> DataFrame:
+                 extra: dict[str, str] | None = None) -> DataFrame:
     """The mapped scan keyed for a sync.
 
     Columns: ``workspace_id``, ``id`` (the source id as text), ``fingerprint``
     (over the raw mapped values), and one ``_r_<role>`` column per mapped role
     holding the raw value.  Rows with a null id are dropped here and counted
-    by the data-quality report instead.  A source with too few splits is
-    spread first (see :func:`spread`); the projection still reaches the scan.
+    by the data-quality report instead.
     """
     validate_mapping(df, mapping)
-    df = spread(df, min_partitions)
     types = {f.name: f.dataType for f in df.schema.fields}
     roles = [F.col(c).alias(f"_r_{r}") for r, c in mapping.roles()]
     roles += [order_value(F.col(c), types[c]).alias(name) for name, c in (extra or {}).items()]

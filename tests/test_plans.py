@@ -53,11 +53,8 @@ def test_one_source_shuffle_per_tenant_and_pruned_state(spark, tmp_path):
         plan = plan_of(processed, "formatted")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # one hash exchange for the source (dedupe + join share it), one for the
-    # state; the fixture is a single split, so it is spread round-robin once
-    hashed = [x for x in plan.splitlines() if x.startswith("Arguments: hashpartitioning(")]
-    assert len(hashed) == 2, plan
-    assert plan.count("Exchange (") == 3 and plan.count("RoundRobinPartitioning") == 1, plan
+    # one exchange for the source (dedupe + join share it), one for the state
+    assert plan.count("Exchange (") == 2, plan
     assert f"EqualTo(workspace_id,{fx.WS_PART})" in plan
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_brand:string,p_size:int,p_retailprice:double>" in plan
 
@@ -79,11 +76,64 @@ def test_touched_partitions_are_static_filters(spark, tmp_path):
 
 def test_spread_only_when_too_few_splits(spark):
     """A source with fewer splits than the default parallelism is spread
-    round-robin; one with enough splits is left alone (no shuffle added)."""
+    round-robin once it holds more than ``min_rows`` rows; one with enough
+    splits, or a small one, is left alone (no shuffle added)."""
     enough = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism)
-    assert "Exchange" not in plan_of(spread(enough))
+    assert "Exchange" not in plan_of(spread(enough, min_rows=0))
     one = spark.range(0, 1000, 1, 1)
-    spread_one = spread(one)
+    assert "Exchange" not in plan_of(spread(one, min_rows=1000))
+    spread_one = spread(one, min_rows=999)
     assert "RoundRobinPartitioning" in plan_of(spread_one)
     assert spread_one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r[0] for r in spread_one.collect()) == list(range(1000))
+
+
+def test_same_shape_tenants_share_one_shuffle(spark):
+    """Tenants whose keyed rows have one shape are one union, one shuffle and
+    one state join; the rows equal those of planning each tenant alone."""
+    from shelfsync.plans.sync import tenant_changes
+    from shelfsync.operators import detect
+    from shelfsync.operators.normalize import normalize
+
+    sup = Tenant(fx.table(spark, SF001, "supplier"), SyncConfig(fx.WS_SUPPLIER, fx.SUPPLIER_MAPPING, mode="quick"))
+    cus = Tenant(fx.table(spark, SF001, "customer"), SyncConfig(fx.WS_CUSTOMER, fx.CUSTOMER_MAPPING, mode="quick"))
+    state = None
+    for t in (sup, cus):
+        s = fx.prior_state(keyed_source(t.source, t.config.mapping, t.config.workspace_id))
+        state = s if state is None else state.unionByName(s)
+    as_of = fx.AS_OF
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        processed, obs = plan_changes([sup, cus], state, as_of, observe=True)
+        plan = plan_of(processed, "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(obs) == 1
+    # each state branch is derived from its source here, so count the
+    # exchanges of the group's own source branch: one hash exchange keyed on
+    # (workspace_id, id) feeding both deduplication and the join
+    assert "hashpartitioning(workspace_id" in plan, plan
+    keep = ("workspace_id", "id", "fingerprint", "status", "reason")
+    alone = None
+    for t in (sup, cus):
+        one = normalize(detect.to_process(tenant_changes(t, state, as_of)), as_of, keep=keep)
+        alone = one if alone is None else alone.unionByName(one)
+    cols = sorted(alone.columns)
+    got = processed.select(*cols)
+    assert got.count() == alone.count() > 0
+    assert got.exceptAll(alone.select(*cols)).count() == 0 and alone.select(*cols).exceptAll(got).count() == 0
+
+
+def test_group_plan_has_two_exchanges_in_all(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "g"), 4)
+    tenants = [Tenant(fx.table(spark, SF001, "supplier"), SyncConfig(fx.WS_SUPPLIER, fx.SUPPLIER_MAPPING)),
+               Tenant(fx.table(spark, SF001, "customer"), SyncConfig(fx.WS_CUSTOMER, fx.CUSTOMER_MAPPING))]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        processed, _ = plan_changes(tenants, store.read("state").drop("bucket"), dt.datetime(2024, 1, 1))
+        plan = plan_of(processed, "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange (") == 2, plan
+    line = [x for x in plan.splitlines() if "In(workspace_id" in x][0]
+    assert fx.WS_SUPPLIER in line and fx.WS_CUSTOMER in line
