@@ -38,7 +38,8 @@ def mapped_scan(df: DataFrame, mapping: ColumnMapping) -> DataFrame:
     return df.select(*mapping.source_columns())
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, min_rows: int = 250_000) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, min_rows: int = 250_000,
+           splits: int | None = None) -> DataFrame:
     """Spread a source that arrives in fewer splits than the cluster has
     cores over ``min_partitions`` tasks (default: the default parallelism).
 
@@ -50,10 +51,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, min_rows: int = 250
     cluster, or a union of many small tenants — is returned unchanged and
     nothing runs.  Otherwise a bounded count (at most ``min_rows + 1`` rows
     are read) decides: below ``min_rows`` one core finishes sooner than an
-    extra stage would start.
+    extra stage would start.  ``splits`` may give the split count when the
+    caller knows it (e.g. summed over the raw sources of a union).
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if (df.rdd.getNumPartitions() if splits is None else splits) >= target:
         return df
     if min_rows > 0 and df.limit(min_rows + 1).count() <= min_rows:
         return df
