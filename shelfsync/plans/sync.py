@@ -219,11 +219,11 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
         mark("enrich_embed")
         done = spark.read.parquet(stage2)
         live = done.filter(F.col("action").isin("upsert", "update"))
-        pairs = store.touched_partitions(live)
+        pairs, up_pairs = store.touched_partitions_with(live, F.col("action") == "upsert")
         if record["with_embedding"] > 0:
             ups = done.filter(F.col("action") == "upsert")
             store.replace_partitions("vectors", merge.merge_vectors(
-                store.read_partitions("vectors", store.touched_partitions(ups)), ups, ("bucket",)))
+                store.read_partitions("vectors", up_pairs), ups, ("bucket",)))
             mark("merge_vectors")
         orphans = Observation(f"orphans_{run_id}")
         merged = merge.merge_products(store.read_partitions("target", pairs), live, ("bucket",), orphans,

@@ -91,6 +91,15 @@ class TableStore:
         pairs = [(r[0], r[1]) for r in parts.limit(self.max_static_partitions + 1).collect()]
         return parts if len(pairs) > self.max_static_partitions else pairs
 
+    def touched_partitions_with(self, keys: DataFrame, subset) -> tuple:
+        """:meth:`touched_partitions` of ``keys`` and of its rows matching the
+        boolean column ``subset``, fetched in one job (same bound)."""
+        parts = keys.groupBy(*PARTITIONS).agg(F.max(F.coalesce(subset, F.lit(False))).alias("_s"))
+        rows = parts.limit(self.max_static_partitions + 1).collect()
+        if len(rows) > self.max_static_partitions:
+            return parts.select(*PARTITIONS), parts.filter(F.col("_s")).select(*PARTITIONS)
+        return [(r[0], r[1]) for r in rows], [(r[0], r[1]) for r in rows if r[2]]
+
     def read_partitions(self, name: str, pairs: list[tuple[str, int]] | DataFrame) -> DataFrame:
         """Rows of the live table in the given partitions only: a static
         predicate on the partition columns, so the scan lists and reads just

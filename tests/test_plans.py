@@ -137,3 +137,18 @@ def test_group_plan_has_two_exchanges_in_all(spark, tmp_path):
     assert plan.count("Exchange (") == 2, plan
     line = [x for x in plan.splitlines() if "In(workspace_id" in x][0]
     assert fx.WS_SUPPLIER in line and fx.WS_CUSTOMER in line
+
+
+def test_touched_partitions_with_subset_one_job(spark, tmp_path):
+    rows = spark.createDataFrame([("w1", "1", "upsert"), ("w1", "2", "update"), ("w2", "3", "update")],
+                                 "workspace_id string, id string, action string")
+    for bound, static in ((100, True), (1, False)):
+        store = TableStore(spark, str(tmp_path / f"b{bound}"), 8, max_static_partitions=bound)
+        keyed = store.with_bucket(rows)
+        every, ups = store.touched_partitions_with(keyed, F.col("action") == "upsert")
+        expect = {(r.workspace_id, r.bucket) for r in keyed.collect()}
+        expect_up = {(r.workspace_id, r.bucket) for r in keyed.filter("action = 'upsert'").collect()}
+        if static:
+            assert set(every) == expect and set(ups) == expect_up
+        else:
+            assert {tuple(r) for r in every.collect()} == expect and {tuple(r) for r in ups.collect()} == expect_up
