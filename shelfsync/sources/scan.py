@@ -47,7 +47,9 @@ def spread(df: DataFrame, min_partitions: int | None = None, min_rows: int = 250
     single row group; the per-row work after the scan (fingerprint, text
     rules, the map side of deduplication) would then run on one core.  The
     repartition is round-robin, so a key that holds a third of the rows is
-    split evenly too.  A scan with enough splits — any large table on a
+    split evenly too; Spark sorts each split before dealing its rows out
+    (``spark.sql.execution.sortBeforeRepartition``), so a task retried after
+    an executor loss sends the same rows to the same places.  A scan with enough splits — any large table on a
     cluster, or a union of many small tenants — is returned unchanged and
     nothing runs.  Otherwise a bounded count (at most ``min_rows + 1`` rows
     are read) decides: below ``min_rows`` one core finishes sooner than an
