@@ -86,7 +86,10 @@ def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_
     cfg = members[0][0].config
     workspaces = [t.config.workspace_id for t, _ in members]
     # splits of the union = splits of the raw sources (cheaper to ask there)
-    splits = sum(t.source.rdd.getNumPartitions() for t, _ in members)
+    try:
+        splits = sum(t.source.rdd.getNumPartitions() for t, _ in members)
+    except Exception:  # no RDD access (Spark Connect): let spread decide
+        splits = None
     keyed = spread(reduce(lambda a, b: a.unionByName(b), [k for _, k in members]), splits=splits)
     if len(members) == 1:
         keys = ["id"]

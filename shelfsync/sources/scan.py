@@ -56,8 +56,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, min_rows: int = 250
     extra stage would start.  ``splits`` may give the split count when the
     caller knows it (e.g. summed over the raw sources of a union).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if (df.rdd.getNumPartitions() if splits is None else splits) >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if (df.rdd.getNumPartitions() if splits is None else splits) >= target:
+            return df
+    except Exception:  # a session without RDD access (Spark Connect): leave the plan as is
         return df
     if min_rows > 0 and df.limit(min_rows + 1).count() <= min_rows:
         return df
