@@ -239,7 +239,7 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
         mark("merge_state")
     record["processed"] = record["to_process"]
     record["duration_s"] = round(time.time() - started, 3)
-    store.append("runs", spark.createDataFrame([_run_row(record)], RUNS))
+    store.append_run(spark.createDataFrame([_run_row(record)], RUNS))
     mark("log")
     record["phases"] = phases
     return record

@@ -25,6 +25,11 @@ from shelfsync.schema import KEYS, PRODUCT, RUNS, STATE
 from shelfsync.session import scratch_path
 
 PARTITIONS = ["workspace_id", "bucket"]
+# The run log is partitioned by stream and by blocks of batch ids, so the
+# streaming replay check reads one small directory, however long the log.
+RUN_PARTITIONS = ["stream_id", "run_block"]
+RUN_BLOCK = 1000
+STREAM_ID_RE = r"^[A-Za-z0-9_.-]+$"
 
 
 def bucket_of(id_col, num_buckets: int):
@@ -48,7 +53,8 @@ class TableStore:
         data = T.StructType([f for f in PRODUCT.fields if f.name != "embedding"])
         vectors = T.StructType([f for f in PRODUCT.fields if f.name in (*KEYS, "embedding")])
         self.schemas = {"target": _with_bucket_field(data), "vectors": _with_bucket_field(vectors),
-                        "state": _with_bucket_field(STATE), "runs": RUNS}
+                        "state": _with_bucket_field(STATE),
+                        "runs": T.StructType([*RUNS.fields, T.StructField("run_block", T.LongType())])}
         self._ready: set[str] = set()
 
     def path(self, name: str) -> str:
@@ -63,6 +69,8 @@ class TableStore:
         writer = self.spark.createDataFrame([], schema).write.mode("ignore")
         if name in ("target", "vectors", "state"):
             writer = writer.partitionBy(*PARTITIONS)
+        elif name == "runs":
+            writer = writer.partitionBy(*RUN_PARTITIONS)
         writer.parquet(self.path(name))
         self._ready.add(name)
 
@@ -141,7 +149,31 @@ class TableStore:
          .partitionBy(*PARTITIONS).parquet(self.path(name)))
 
     def append(self, name: str, df: DataFrame) -> None:
-        df.select(*[f.name for f in self.schemas[name].fields]).write.mode("append").parquet(self.path(name))
+        self.ensure(name)
+        writer = df.select(*[f.name for f in self.schemas[name].fields]).write.mode("append")
+        if name == "runs":
+            writer = writer.partitionBy(*RUN_PARTITIONS)
+        writer.parquet(self.path(name))
+
+    def append_run(self, df: DataFrame) -> None:
+        """Append run records (``RUNS`` columns) to the partitioned run log."""
+        self.append("runs", df.withColumn("run_block", F.floor(F.col("batch_id") / RUN_BLOCK).cast("bigint")))
+
+    def read_run_block(self, stream_id: str, batch_id: int) -> DataFrame | None:
+        """Run records of ``stream_id`` whose batch id shares ``batch_id``'s
+        block, read from that one directory: Spark lists only it, not the
+        whole log.  None when the block has no record yet."""
+        from pyspark.errors import AnalysisException
+
+        self.ensure("runs")
+        base = self.path("runs")
+        path = f"{base}/stream_id={stream_id}/run_block={batch_id // RUN_BLOCK}"
+        try:
+            return self.spark.read.schema(self.schemas["runs"]).option("basePath", base).parquet(path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in (e.getCondition() or "") or "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
 
 
 __all__ = ["TableStore", "bucket_of", "PARTITIONS", "KEYS"]

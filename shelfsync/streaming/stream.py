@@ -13,13 +13,14 @@ long-running query (T1).
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfsync.config import SyncConfig
 from shelfsync.plans.sync import Tenant, run_sync
-from shelfsync.sources.store import TableStore
+from shelfsync.sources.store import STREAM_ID_RE, TableStore
 
 
 def snapshot_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
@@ -29,13 +30,19 @@ def snapshot_stream(spark: SparkSession, path: str, schema, max_files_per_trigge
 
 
 def already_committed(store: TableStore, stream_id: str, batch_id: int) -> bool:
-    runs = store.read("runs")
-    return runs.filter((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)).limit(1).count() > 0
+    """Whether the run log holds ``batch_id`` of ``stream_id``; only the
+    log's directory for that block of batch ids is listed and read."""
+    block = store.read_run_block(stream_id, batch_id)
+    return block is not None and block.filter(F.col("batch_id") == batch_id).limit(1).count() > 0
 
 
 def sync_batch(store: TableStore, config: SyncConfig, stream_id: str, *, titles=None, embedder=None,
                as_of_fn=None):
-    """The ``foreachBatch`` function: one batch sync per micro-batch."""
+    """The ``foreachBatch`` function: one batch sync per micro-batch.
+    ``stream_id`` names a run-log directory, so it is a plain token."""
+    if not re.match(STREAM_ID_RE, stream_id):
+        raise ValueError(f"stream_id must match {STREAM_ID_RE}: {stream_id!r}")
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if already_committed(store, stream_id, batch_id):

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from shelfsync.config import SyncConfig
@@ -63,3 +65,28 @@ def test_choose_mode():
     assert choose_mode(t + 1440 * m, t, t + 1430 * m) == "full"
     assert choose_mode(t + 15 * m, t, t, quick_minutes=0) is None
     assert choose_mode(t + 3000 * m, t, t, full_minutes=0) == "quick"
+
+
+def test_run_log_blocks(spark, tmp_path):
+    from shelfsync.schema import RUNS
+    from shelfsync.streaming.stream import already_committed
+
+    store = TableStore(spark, str(tmp_path / "log"), 4)
+    assert not already_committed(store, "s1", 0)           # empty log
+    rec = [None] * len(RUNS.fields)
+    names = [f.name for f in RUNS.fields]
+
+    def row(run_id, stream_id, batch_id):
+        r = list(rec)
+        r[names.index("run_id")], r[names.index("stream_id")], r[names.index("batch_id")] = run_id, stream_id, batch_id
+        return tuple(r)
+
+    store.append_run(spark.createDataFrame([row("a", "s1", 3), row("b", "s1", 1001), row("c", None, None)], RUNS))
+    assert already_committed(store, "s1", 3) and already_committed(store, "s1", 1001)
+    assert not already_committed(store, "s1", 4) and not already_committed(store, "s1", 2001)
+    assert not already_committed(store, "s2", 3)
+    log = store.read("runs")
+    assert sorted((r.run_id, r.stream_id, r.batch_id, r.run_block) for r in log.collect()) == \
+        [("a", "s1", 3, 0), ("b", "s1", 1001, 1), ("c", None, None, None)]
+    with pytest.raises(ValueError):
+        sync_batch(store, CFG, "bad/id", embedder=EMB)
