@@ -73,7 +73,7 @@ def _group_key(cfg: SyncConfig, keyed: DataFrame) -> tuple:
 
 
 def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_of: dt.datetime,
-                  dedupe: bool = True) -> DataFrame:
+                  dedupe: bool = True, spread_sources: bool = True) -> DataFrame:
     """Classified rows (lazy, skipped rows included) of tenants planned as one.
 
     Their keyed sources are unioned, spread if they arrive in too few splits,
@@ -85,12 +85,14 @@ def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_
     """
     cfg = members[0][0].config
     workspaces = [t.config.workspace_id for t, _ in members]
-    # splits of the union = splits of the raw sources (cheaper to ask there)
-    try:
-        splits = sum(t.source.rdd.getNumPartitions() for t, _ in members)
-    except Exception:  # no RDD access (Spark Connect): let spread decide
-        splits = None
-    keyed = spread(reduce(lambda a, b: a.unionByName(b), [k for _, k in members]), splits=splits)
+    keyed = reduce(lambda a, b: a.unionByName(b), [k for _, k in members])
+    if spread_sources:
+        # splits of the union = splits of the raw sources (cheaper to ask there)
+        try:
+            splits = sum(t.source.rdd.getNumPartitions() for t, _ in members)
+        except Exception:  # no RDD access (Spark Connect): let spread decide
+            splits = None
+        keyed = spread(keyed, splits=splits)
     if len(members) == 1:
         keys = ["id"]
         st = state.filter(F.col("workspace_id") == workspaces[0]).drop("workspace_id")
@@ -110,7 +112,7 @@ def tenant_changes(tenant: Tenant, state: DataFrame, as_of: dt.datetime, dedupe:
 
 
 def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, dedupe: bool = True,
-                 observe: bool = False) -> tuple[DataFrame, list[tuple[str, Observation]]]:
+                 observe: bool = False, spread_sources: bool = True) -> tuple[DataFrame, list[tuple[str, Observation]]]:
     """Processed, normalised rows of all tenants, and (when ``observe``) one
     ``Observation`` of detection counts per group of tenants.
 
@@ -130,7 +132,7 @@ def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, de
         groups.setdefault(_group_key(t.config, keyed), []).append((t, keyed))
     parts, observations = [], []
     for members in groups.values():
-        cls = group_changes(members, state, as_of, dedupe)
+        cls = group_changes(members, state, as_of, dedupe, spread_sources)
         label = ",".join(t.config.workspace_id for t, _ in members)
         if observe:
             obs = Observation(f"detect_{uuid.uuid4().hex}")
@@ -172,7 +174,8 @@ OUTCOME_KEYS = ("lookups_found", "with_embedding", "data_only", "embed_failed")
 
 def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
              titles: DataFrame | None = None, embedder=None, as_of: dt.datetime | None = None,
-             batch_id: int | None = None, stream_id: str | None = None, dedupe: bool = True) -> dict:
+             batch_id: int | None = None, stream_id: str | None = None, dedupe: bool = True,
+             spread_sources: bool = True) -> dict:
     """One sync run over ``tenants``; returns the run record (a small dict).
 
     Jobs: (1) detect + normalise → staged rows, counts observed;
@@ -181,6 +184,8 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
     (4) target partitions merged and replaced (data columns only);
     (5) state likewise; (6) run record appended.  Commit order is vectors,
     target, state, run record.  With nothing to process, only (1) and (6) run.
+    ``spread_sources=False`` leaves narrow sources as they are (see
+    :func:`~shelfsync.sources.scan.spread`); the streaming sync does so.
     """
     started = time.time()
     phases: dict[str, float] = {}
@@ -196,7 +201,8 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
         embedder = FunctionEmbedder(embed.hashing_embedder(64), tenants[0].config.batch_size)
 
     state = store.read("state").drop("bucket")
-    processed, observations = plan_changes(tenants, state, as_of, dedupe, observe=True)
+    processed, observations = plan_changes(tenants, state, as_of, dedupe, observe=True,
+                                           spread_sources=spread_sources)
     stage1 = scratch_path(spark, "runs", run_id, "processed")
     processed.write.parquet(stage1)
     mark("detect")
