@@ -64,7 +64,8 @@ def main():
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": times,
                       "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": int(cpus),
                       "sync_rows": rows, "sync_rows_per_sec": round(rows / max(times["sync_run_initial"], 1e-9), 1),
-                      "incremental_processed": second["to_process"]}))
+                      "incremental_processed": second["to_process"],
+                      "sync_phases": {"initial": first["phases"], "incremental": second["phases"]}}))
 
 
 if __name__ == "__main__":
