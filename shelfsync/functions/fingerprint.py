@@ -14,10 +14,19 @@ def row_text(df: DataFrame, columns: list[str]) -> Column:
     Known collisions are kept on purpose: ("a|b","c") vs ("a","b|c"), and
     null vs ''.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
+    return row_text_of(columns, {f.name: f.dataType for f in df.schema.fields})
+
+
+def row_text_of(columns: list[str], types: dict) -> Column:
+    """:func:`row_text` for columns of known types."""
     return F.concat_ws("|", *[render(F.col(c), types[c]) for c in columns])
 
 
 def fingerprint(df: DataFrame, columns: list[str]) -> Column:
     """Lowercase hex SHA-256 of :func:`row_text`."""
-    return F.sha2(row_text(df, columns), 256)
+    return fingerprint_of(columns, {f.name: f.dataType for f in df.schema.fields})
+
+
+def fingerprint_of(columns: list[str], types: dict) -> Column:
+    """:func:`fingerprint` for columns of known types."""
+    return F.sha2(row_text_of(columns, types), 256)

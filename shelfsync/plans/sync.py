@@ -26,7 +26,7 @@ from shelfsync.operators.dedupe import dedupe_keys
 from shelfsync.operators.normalize import normalize
 from shelfsync.schema import KEYS, RUNS
 from shelfsync.session import scratch_path
-from shelfsync.sources.scan import keyed_source, spread
+from shelfsync.sources.scan import keyed_columns, keyed_source, spread, validate_mapping
 from shelfsync.sources.store import TableStore
 
 
@@ -57,11 +57,40 @@ class FunctionEmbedder:
         return embed.embed_with_function(rows, self.fn, self.batch_size, self.concurrency)
 
 
-def keyed_tenant(tenant: Tenant) -> DataFrame:
-    """One tenant's source through its mapping (a projection, no shuffle)."""
+def keyed_tenant(tenant: Tenant, built: dict | None = None) -> DataFrame:
+    """One tenant's source through its mapping (a projection, no shuffle).
+    ``built`` caches the keyed columns per (mapping, column types) within one
+    planning call, so tenants of one shape build their expressions once."""
     cfg = tenant.config
     extra = {"_order": cfg.order_by} if cfg.order_by else None
-    return keyed_source(tenant.source, cfg.mapping, cfg.workspace_id, extra=extra)
+    if built is None:
+        return keyed_source(tenant.source, cfg.mapping, cfg.workspace_id, extra=extra)
+    validate_mapping(tenant.source, cfg.mapping)
+    types = {f.name: f.dataType for f in tenant.source.schema.fields}
+    used = [*cfg.mapping.source_columns(), *(extra or {}).values()]
+    key = (cfg.mapping, tuple((c, types[c].simpleString()) for c in used), tuple((extra or {}).items()))
+    if key not in built:
+        built[key] = keyed_columns(cfg.mapping, types, extra)
+    return keyed_source(tenant.source, cfg.mapping, cfg.workspace_id, extra=extra, columns=built[key])
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """``unionByName`` of many frames, paired off level by level so the
+    analysed plans stay shallow (Catalyst flattens the unions anyway)."""
+    while len(frames) > 1:
+        frames = [frames[i].unionByName(frames[i + 1]) if i + 1 < len(frames) else frames[i]
+                  for i in range(0, len(frames), 2)]
+    return frames[0]
+
+
+def _splits_reach(sources: list[DataFrame], target: int) -> int:
+    """Splits of the sources, counted until ``target`` is reached."""
+    n = 0
+    for src in sources:
+        n += src.rdd.getNumPartitions()
+        if n >= target:
+            break
+    return n
 
 
 def _group_key(cfg: SyncConfig, keyed: DataFrame) -> tuple:
@@ -85,11 +114,12 @@ def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_
     """
     cfg = members[0][0].config
     workspaces = [t.config.workspace_id for t, _ in members]
-    keyed = reduce(lambda a, b: a.unionByName(b), [k for _, k in members])
+    keyed = union_all([k for _, k in members])
     if spread_sources:
         # splits of the union = splits of the raw sources (cheaper to ask there)
         try:
-            splits = sum(t.source.rdd.getNumPartitions() for t, _ in members)
+            splits = _splits_reach([t.source for t, _ in members],
+                                   keyed.sparkSession.sparkContext.defaultParallelism)
         except Exception:  # no RDD access (Spark Connect): let spread decide
             splits = None
         keyed = spread(keyed, splits=splits)
@@ -127,8 +157,9 @@ def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, de
     if len(set(workspaces)) != len(workspaces):
         raise ValueError("each tenant needs its own workspace_id; union the sources of one workspace first")
     groups: dict[tuple, list[tuple[Tenant, DataFrame]]] = {}
+    built: dict = {}
     for t in tenants:
-        keyed = keyed_tenant(t)
+        keyed = keyed_tenant(t, built)
         groups.setdefault(_group_key(t.config, keyed), []).append((t, keyed))
     parts, observations = [], []
     for members in groups.values():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfsync.config import REQUIRED_ROLES, ColumnMapping
-from shelfsync.functions.fingerprint import fingerprint
+from shelfsync.functions.fingerprint import fingerprint_of
 from shelfsync.functions.js import js_string
 
 
@@ -88,21 +88,29 @@ def order_value(c, dtype):
     raise TypeError(f"order column must be a timestamp, date or integer, not {dtype.simpleString()}")
 
 
+def keyed_columns(mapping: ColumnMapping, types: dict, extra: dict[str, str] | None = None) -> list:
+    """The keyed scan's columns after ``workspace_id``: ``id``, ``fingerprint``
+    and the raw role values, for source columns of the given types.  Sources
+    that share a mapping and column types share these expressions, so many
+    tenants of one shop system build them once."""
+    roles = [F.col(c).alias(f"_r_{r}") for r, c in mapping.roles()]
+    roles += [order_value(F.col(c), types[c]).alias(name) for name, c in (extra or {}).items()]
+    return [js_string(F.col(mapping.id), types[mapping.id]).alias("id"),
+            fingerprint_of(mapping.source_columns(), types).alias("fingerprint"),
+            *roles]
+
+
 def keyed_source(df: DataFrame, mapping: ColumnMapping, workspace_id: str,
-                 extra: dict[str, str] | None = None) -> DataFrame:
+                 extra: dict[str, str] | None = None, columns: list | None = None) -> DataFrame:
     """The mapped scan keyed for a sync.
 
     Columns: ``workspace_id``, ``id`` (the source id as text), ``fingerprint``
     (over the raw mapped values), and one ``_r_<role>`` column per mapped role
     holding the raw value.  Rows with a null id are dropped here and counted
-    by the data-quality report instead.
+    by the data-quality report instead.  ``columns`` may pass in
+    :func:`keyed_columns` already built for this mapping and these types.
     """
     validate_mapping(df, mapping)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    roles = [F.col(c).alias(f"_r_{r}") for r, c in mapping.roles()]
-    roles += [order_value(F.col(c), types[c]).alias(name) for name, c in (extra or {}).items()]
-    return (df.select(F.lit(workspace_id).alias("workspace_id"),
-                      js_string(F.col(mapping.id), types[mapping.id]).alias("id"),
-                      fingerprint(df, mapping.source_columns()).alias("fingerprint"),
-                      *roles)
-              .filter(F.col("id").isNotNull()))
+    if columns is None:
+        columns = keyed_columns(mapping, {f.name: f.dataType for f in df.schema.fields}, extra)
+    return df.select(F.lit(workspace_id).alias("workspace_id"), *columns).filter(F.col("id").isNotNull())

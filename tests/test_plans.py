@@ -152,3 +152,21 @@ def test_touched_partitions_with_subset_one_job(spark, tmp_path):
             assert set(every) == expect and set(ups) == expect_up
         else:
             assert {tuple(r) for r in every.collect()} == expect and {tuple(r) for r in ups.collect()} == expect_up
+
+
+def test_keyed_columns_built_once_per_shape(spark, monkeypatch):
+    import shelfsync.plans.sync as sync
+
+    calls = []
+    real = sync.keyed_columns
+    monkeypatch.setattr(sync, "keyed_columns", lambda *a, **k: calls.append(1) or real(*a, **k))
+    sup = fx.table(spark, SF001, "supplier")
+    tenants = [Tenant(sup, SyncConfig(f"00000000-0000-0000-0000-00000000000{i}", fx.SUPPLIER_MAPPING))
+               for i in range(1, 6)]
+    tenants.append(Tenant(fx.table(spark, SF001, "customer"), SyncConfig(fx.WS_CUSTOMER, fx.CUSTOMER_MAPPING)))
+    state = spark.createDataFrame([], "workspace_id string, id string, fingerprint string, "
+                                      "updated_at timestamp_ntz, source_order bigint")
+    processed, obs = plan_changes(tenants, state, dt.datetime(2024, 1, 1), observe=True)
+    assert len(calls) == 2          # one per (mapping, column types)
+    assert len(obs) == 1            # one group: the keyed shapes are equal
+    assert processed.count() == 5 * sup.count() + fx.table(spark, SF001, "customer").count()
