@@ -170,3 +170,17 @@ def test_keyed_columns_built_once_per_shape(spark, monkeypatch):
     assert len(calls) == 2          # one per (mapping, column types)
     assert len(obs) == 1            # one group: the keyed shapes are equal
     assert processed.count() == 5 * sup.count() + fx.table(spark, SF001, "customer").count()
+
+
+def test_sync_spreads_a_large_single_split_source(spark):
+    from shelfsync.config import ColumnMapping
+
+    src = spark.range(0, 300_000, 1, 1).selectExpr("id", "concat('item ', id) AS descricao",
+                                                   "cast(id AS string) AS codigo", "id * 0.5 AS preco")
+    t = Tenant(src, SyncConfig("00000000-0000-0000-0000-0000000000aa", ColumnMapping()))
+    state = spark.createDataFrame([], "workspace_id string, id string, fingerprint string, "
+                                      "updated_at timestamp_ntz, source_order bigint")
+    spread_plan = plan_of(plan_changes([t], state, dt.datetime(2024, 1, 1))[0])
+    assert "RoundRobinPartitioning" in spread_plan
+    stream_plan = plan_of(plan_changes([t], state, dt.datetime(2024, 1, 1), spread_sources=False)[0])
+    assert "RoundRobinPartitioning" not in stream_plan
