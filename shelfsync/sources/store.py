@@ -8,7 +8,7 @@ refreshes — the common run — never shuffle or rewrite them.
 A merge rewrites only the partitions its change set touches, using Spark's
 dynamic partition overwrite; untouched tenants and buckets are never read
 nor written, and touched ones are written once.  ``<root>/runs`` is an
-append-only run log.
+append-only run log, partitioned by stream and block of batch ids.
 
 Commit order is target, then state, then the run record.  A crash in
 between replays the change set on the next run; the keyed merges make that
