@@ -15,7 +15,8 @@ from shelfsync.schema import KEYS, UPDATE_COLUMNS
 
 
 def merge_products(target: DataFrame, changes: DataFrame, extra_keys: tuple[str, ...] = (),
-                   orphans: Observation | None = None, with_vectors: bool = True) -> DataFrame:
+                   orphans: Observation | None = None, with_vectors: bool = True,
+                   mark_orphans: bool = False) -> DataFrame:
     """Apply upserts and data-only updates to ``target``.
 
     * ``upsert`` rows insert, or replace every column including the vector;
@@ -26,7 +27,9 @@ def merge_products(target: DataFrame, changes: DataFrame, extra_keys: tuple[str,
     ``orphans`` observation, updates that matched nothing are counted in the
     same job that writes the result.  ``with_vectors=False`` merges the
     data columns only (vectors kept in their own table, see
-    :func:`merge_vectors`).
+    :func:`merge_vectors`).  ``mark_orphans=True`` keeps the orphan updates
+    as rows flagged ``_orphan`` for the caller to count and drop (see
+    :func:`drop_orphans`).
     """
     keys = [*KEYS, *extra_keys]
     vec = ["embedding"] if with_vectors else []
@@ -43,9 +46,19 @@ def merge_products(target: DataFrame, changes: DataFrame, extra_keys: tuple[str,
     if orphans is not None:
         j = j.observe(orphans, F.sum(F.when(~has_t & (F.col("_a") == "update"), 1).otherwise(0))
                       .cast("bigint").alias("orphans"))
+    if mark_orphans:
+        return j.select(*keys, *cols, *emb, (~has_t & ~F.coalesce(upsert, F.lit(False))).alias("_orphan"))
     return j.filter(has_t | F.coalesce(upsert, F.lit(False))).select(*keys, *cols, *emb)
 
 
+def drop_orphans(merged: DataFrame, orphans: Observation | None = None) -> DataFrame:
+    """Count (when ``orphans`` is given) and drop the rows flagged by
+    ``merge_products(..., mark_orphans=True)``."""
+    if orphans is not None:
+        merged = merged.observe(orphans, F.sum(F.when(F.col("_orphan"), 1).otherwise(0)).cast("bigint").alias("orphans"))
+    return merged.filter(~F.col("_orphan")).drop("_orphan")
+
+
 def merge_vectors(vectors: DataFrame, changes: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Vectors of upserted rows replace or join the vector table; data-only
     updates never touch it."""

@@ -266,9 +266,9 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
                 store.read_partitions("vectors", up_pairs), ups, ("bucket",)))
             mark("merge_vectors")
         orphans = Observation(f"orphans_{run_id}")
-        merged = merge.merge_products(store.read_partitions("target", pairs), live, ("bucket",), orphans,
-                                      with_vectors=False)
-        store.replace_partitions("target", merged)
+        merged = merge.merge_products(store.read_partitions("target", pairs), live, ("bucket",),
+                                      with_vectors=False, mark_orphans=True)
+        store.replace_partitions("target", merged, finish=lambda d: merge.drop_orphans(d, orphans))
         record["orphans"] = int(orphans.get.get("orphans") or 0)
         mark("merge_target")
         store.replace_partitions("state", merge.merge_state(store.read_partitions("state", pairs), live, as_of,

@@ -128,7 +128,7 @@ class TableStore:
         """Rows of the live table in the partitions named by ``keys``."""
         return self.read_partitions(name, self.touched_partitions(keys))
 
-    def replace_partitions(self, name: str, df: DataFrame, staged: bool | None = None) -> None:
+    def replace_partitions(self, name: str, df: DataFrame, staged: bool | None = None, finish=None) -> None:
         """Overwrite exactly the partitions present in ``df``.
 
         Dynamic partition overwrite writes new files under a job staging
@@ -137,10 +137,20 @@ class TableStore:
         So ``df`` may read the very partitions it replaces, and each touched
         partition is written once.  ``staged=True`` (or the store default)
         first materialises ``df`` in the scratch folder and copies it in,
-        for file systems where a second copy is wanted.
+        for file systems where a second copy is wanted.  ``finish`` is applied
+        after the rebalance, in the writing stage (e.g. an observation that
+        must sit in the final stage).
         """
         schema = self.schemas[name]
-        out = df.select(*[f.name for f in schema.fields])
+        # Rows arrive hashed on the merge key, so every task would hold rows
+        # of nearly every touched partition and write a file into each: tasks
+        # x partitions small files.  REBALANCE shuffles by partition instead;
+        # AQE then splits an oversized partition over several tasks and merges
+        # small ones, so each directory gets a few right-sized files.
+        out = df.hint("rebalance", *PARTITIONS)
+        if finish is not None:
+            out = finish(out)
+        out = out.select(*[f.name for f in schema.fields])
         if self.staged_commit if staged is None else staged:
             stage = scratch_path(self.spark, "staging", name)
             out.write.partitionBy(*PARTITIONS).parquet(stage)

@@ -93,10 +93,10 @@ def test_replay_after_crash_before_state(spark, tmp_path):
     crashed = TableStore(spark, str(tmp_path / "crashed"), 4)
     real = crashed.replace_partitions
 
-    def crash_on_state(name, df):
+    def crash_on_state(name, df, **kw):
         if name == "state":
             raise RuntimeError("executor lost during commit")
-        return real(name, df)
+        return real(name, df, **kw)
 
     crashed.replace_partitions = crash_on_state
     try:
