@@ -130,3 +130,21 @@ def test_orphan_updates_counted_or_repaired(spark, tmp_path):
             assert store.read("target").count() == src.count()
         else:
             assert r["orphans"] == lost and store.read("target").count() == src.count() - lost
+
+
+def test_one_file_set_per_partition(spark, tmp_path):
+    """Merged rows are rebalanced by partition before the write, so a
+    partition directory is not sprayed with one file per shuffle task."""
+    import os
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store = TableStore(spark, str(tmp_path / "files"), 4)
+        run_sync(spark, store, tenants(spark, "full"), embedder=FunctionEmbedder(hashing_embedder(16), 10), as_of=T1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for name in ("target", "state", "vectors"):
+        root = store.path(name).replace("file:", "")
+        for d, _, files in os.walk(root):
+            if os.path.basename(d).startswith("bucket="):
+                assert len([f for f in files if f.endswith(".parquet")]) == 1, (name, d, files)
