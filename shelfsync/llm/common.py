@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -44,15 +45,24 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def release(spark: SparkSession) -> None:
+    """Shuffle files of finished work go when the driver's garbage does: ask
+    for that now, not when memory is short.  The last job's plan is held by
+    the events that report its end, so they get a moment to be delivered."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, so
     an executor lost later never repeats the work before."""
     spark, schema = df.sparkSession, df.schema
     path = scratch_path(spark, "llm", name)
     df.write.parquet(path)
-    # Shuffle files of finished work go when the driver's garbage does: ask for that now, not when memory is short.
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    del df
+    release(spark)
     return spark.read.schema(schema).parquet(path)
 
 
