@@ -46,7 +46,6 @@ MISS = 1e-4
 #: A block of a cluster: at most about so many classes and bytes of text.
 BLOCK_ROWS, BLOCK_BYTES = 512, 4 << 20
 _SYMBOL = np.uint16
-_UPPER = {c: c + 32 for c in range(65, 91)}
 _word = re.compile(WORD)
 _word_hashes: dict[str, int] = {}
 
@@ -89,7 +88,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def _hash_words(words: list[str]) -> np.ndarray:
     import xxhash
 
-    if len(_word_hashes) > 400_000:
+    if len(_word_hashes) > 60_000:
         _word_hashes.clear()
     known, digest = _word_hashes, xxhash.xxh64_intdigest
     out = np.empty(len(words), np.uint64)
@@ -103,7 +102,7 @@ def _hash_words(words: list[str]) -> np.ndarray:
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """The sorted 64-bit hashes of a text's distinct shingles of ``width`` words."""
-    words = _word.findall(text.translate(_UPPER)) if text else []
+    words = _word.findall(text.encode().lower().decode()) if text else []  # bytes: A-Z alone change
     if not words:
         return np.empty(0, np.uint64)
     h = _hash_words(words)

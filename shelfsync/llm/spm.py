@@ -38,7 +38,7 @@ MARK = "▁"
 _LITERAL = "\ud800"
 #: Added to the lowest score for a character without a piece, as unigram models do.
 UNKNOWN_PENALTY = 10.0
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 64
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
 #: Texts encoded between two Arrow batches.
 ROWS = 512
 
@@ -57,6 +57,7 @@ class Vocabulary:
     """Pieces, scores and byte pieces of a model; encodes and decodes."""
 
     def __init__(self, model: bytes):
+        import ahocorasick
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -78,16 +79,25 @@ class Vocabulary:
         self.longest = max(map(len, self.pieces))
         self.unknown = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
         self.words_meet = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.pieces)
-        self._prefixes = {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}
+        # Every beginning of a piece: the piece's id and score if it is one itself.
+        self._beginnings: dict[str, tuple[int, float] | tuple] = {p[:k]: () for p in self.pieces for k in range(1, len(p) + 1)}
+        self._beginnings.update(self.pieces)
         self._known: dict[str, tuple[int, ...]] = {}
-        self._unit = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        # Nor does a piece span from a letter or digit into a sign, if so: words end before signs too.
+        signs_meet = not any(re.search(r"[^\W_](?:[^\w%s]|_)" % MARK, p) for p in self.pieces)
+        self._unit = re.compile(f"{MARK}*[^\\W_]+|{MARK}*(?:[^\\w{MARK}]|_)+|{MARK}+" if signs_meet else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self._single = frozenset(p for p in self.pieces if len(p) == 1)
+        self._ends = ahocorasick.Automaton()
+        for p, (i, score) in self.pieces.items():
+            self._ends.add_word(p, (len(p), score, i))
+        self._ends.make_automaton()
 
     def _unknown_ids(self, ch: str) -> list[int]:
         return [self.byte_ids[b] for b in (MARK if ch == _LITERAL else ch).encode()]
 
     def viterbi(self, s: str) -> Iterator[list[int]]:
         """Committed runs of ids of ``s`` (marks in place), in order."""
-        pieces, prefixes, longest = self.pieces, self._prefixes, self.longest
+        beginning, longest = self._beginnings.get, self.longest
         best: dict[int, tuple[float, int, int]] = {0: (0.0, -1, -1)}  # boundary -> score, where from, piece
         start, reach, n = 0, 0, len(s)
         check = 4 * longest
@@ -132,11 +142,10 @@ class Vocabulary:
             here = node[0]
             single = False
             for j in range(i + 1, min(i + longest, n) + 1):
-                sub = s[i:j]
-                if sub not in prefixes:
+                hit = beginning(s[i:j])
+                if hit is None:
                     break
-                hit = pieces.get(sub)
-                if hit is not None:
+                if hit:
                     single = single or j == i + 1
                     score = here + hit[1]
                     old = best.get(j)
@@ -152,11 +161,32 @@ class Vocabulary:
             yield commit(n)
 
     def _word(self, unit: str) -> tuple[int, ...]:
-        ids = tuple(i for run in self.viterbi(unit) for i in run)
-        if len(unit) <= LONGEST_REMEMBERED:
-            if len(self._known) >= REMEMBERED:
-                self._known.clear()
-            self._known[unit] = ids
+        """A word, whose end every path meets: the same walk, its window being the word."""
+        if len(unit) > LONGEST_REMEMBERED:
+            return tuple(i for run in self.viterbi(unit) for i in run)
+        if not self._single.issuperset(unit):
+            ids = tuple(i for run in self.viterbi(unit) for i in run)
+            return self._remember(unit, ids)
+        n = len(unit)
+        score = [-1e300] * (n + 1)
+        score[0] = 0.0
+        back, piece = [0] * (n + 1), [-1] * (n + 1)
+        for end, (length, worth, i) in self._ends.iter(unit):  # pieces by their end, the longest first
+            end += 1
+            new = score[end - length] + worth
+            if new > score[end]:
+                score[end], back[end], piece[end] = new, end - length, i
+        out: list[int] = []
+        while n:
+            out.append(piece[n])
+            n = back[n]
+        out.reverse()
+        return self._remember(unit, tuple(out))
+
+    def _remember(self, unit: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(self._known) >= REMEMBERED:
+            self._known.clear()
+        self._known[unit] = ids
         return ids
 
     def encode_stream(self, text: str) -> Iterator[tuple[int, ...] | list[int]]:
