@@ -11,8 +11,8 @@ most ``max_train`` of them, chosen by a hash of the doc_id (a documented bound;
 matching covers every row and whole texts).  Word beginnings and words are
 counted per document; a log-likelihood ratio test selects, the log ratio of
 token rates weighs.  Longer forms of a lexicon entry that belong to clean
-texts become exceptions.  A logistic curve over the normalised sum is fitted
-on a histogram.
+texts become exceptions.  A rising curve from the normalised sum to the share
+of toxic texts is fitted on a histogram (isotonic regression).
 
 Scale: one pass over the corpus to score, no shuffle.  The model is bounded
 by ``max_entries`` entries of each kind and travels in the task's closure.
@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -40,8 +41,8 @@ from shelfsync.llm.common import map_arrow
 THRESHOLD = 0.3
 MAX_TRAIN, MAX_ENTRIES = 20_000, 2_000
 #: Word beginnings of these lengths are candidates for the lexicon, and whole words up to the last of them.
-STEMS = range(3, 9)
-MIN_G2, MIN_RATIO = 24.0, 1.5
+STEMS = range(4, 9)
+MIN_G2, MIN_RATIO = 24.0, 2.0
 SMOOTH_WORDS = 20
 BINS = 400
 
@@ -69,12 +70,11 @@ def words_of(text: str | None) -> list[str]:
 class Model:
     """``lexicon``: word beginning -> weight (a trailing space marks a whole
     word); ``exceptions``: whole words or phrases whose matches do not count;
-    ``slope`` and ``bias`` of the logistic curve."""
+    ``curve``: rising (feature, probability) points, straight lines between."""
 
     lexicon: dict[str, float] = field(default_factory=dict)
     exceptions: tuple[str, ...] = ()
-    slope: float = 1.0
-    bias: float = -30.0
+    curve: tuple[tuple[float, float], ...] = ()
 
 
 class Matcher:
@@ -114,10 +114,15 @@ class Matcher:
         return sum(self.hits(f" {' '.join(words)} ").values()) / (len(words) + SMOOTH_WORDS)
 
     def score(self, text: str | None) -> float:
-        if not self.ready:
+        curve = self.model.curve
+        if not self.ready or not curve:
             return 0.0
-        z = self.model.slope * _feature(self.density(words_of(text))) + self.model.bias
-        return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+        x = _feature(self.density(words_of(text)))
+        i = bisect_left(curve, (x, -1.0))
+        if i == 0 or i == len(curve):
+            return curve[min(i, len(curve) - 1)][1]
+        (x0, p0), (x1, p1) = curve[i - 1], curve[i]
+        return p0 + (p1 - p0) * (x - x0) / (x1 - x0)
 
 
 def _feature(density: float) -> float:
@@ -227,7 +232,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_en
 
 
 def _calibrated(train: DataFrame, model: Model) -> Model:
-    """Slope and bias of a logistic curve, fitted on a histogram of the feature."""
+    """The model with its curve, fitted on a histogram of the feature."""
     matcher_model = model
     low, high = _feature(0.0), _feature(10.0)
 
@@ -244,26 +249,19 @@ def _calibrated(train: DataFrame, model: Model) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["bin", "toxic", "n"])
 
     hist = (train.transform(map_arrow, run, "bin long, toxic long, n long").groupBy("bin", "toxic").agg(F.sum("n").alias("n")).collect())
-    points = [(low + (r["bin"] + (0 if r["bin"] == 0 else 0.5)) * (high - low) / BINS, r["toxic"], r["n"]) for r in hist]
-    slope, bias = 1.0, 0.0
-    for _ in range(50):  # Newton steps with a small ridge on two numbers
-        g0 = g1 = 0.0
-        h00 = h01 = h11 = 1e-6
-        g1 -= 1e-3 * slope
-        h11 += 1e-3
-        for x, y, n in points:
-            p = 1 / (1 + math.exp(-max(-50.0, min(50.0, slope * x + bias))))
-            g0 += n * (y - p)
-            g1 += n * (y - p) * x
-            v = n * max(p * (1 - p), 1e-9)
-            h00, h01, h11 = h00 + v, h01 + v * x, h11 + v * x * x
-        det = h00 * h11 - h01 * h01
-        db, ds = (h11 * g0 - h01 * g1) / det, (h00 * g1 - h01 * g0) / det
-        step = min(1.0, 5.0 / max(abs(db), abs(ds), 1e-12))
-        bias, slope = bias + step * db, slope + step * ds
-        if abs(db) + abs(ds) < 1e-9:
-            break
-    return Model(model.lexicon, model.exceptions, slope, bias)
+    blocks: list[list[float]] = []  # [toxic, texts, first feature, last feature], kept in rising order of the toxic share
+    counts: dict[int, list[int]] = {}
+    for r in hist:
+        counts.setdefault(r["bin"], [0, 0])[r["toxic"]] += r["n"]
+    for i in sorted(counts):
+        clean, toxic = counts[i]
+        x = low if i == 0 else low + (i + 0.5) * (high - low) / BINS
+        blocks.append([toxic, clean + toxic, x, x])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            last = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + last[0], blocks[-1][1] + last[1], blocks[-1][2], last[3]]
+    curve = tuple((x, (t + 0.05) / (n + 0.1)) for t, n, first, end in blocks for x in dict.fromkeys((first, end)))
+    return Model(model.lexicon, model.exceptions, curve)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

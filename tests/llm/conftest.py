@@ -1,0 +1,29 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from shelfsync.session import get_spark, work_dir
+
+    s = get_spark("llm-tests", cpus="4", shuffle_partitions=4)
+    work_dir(s)
+    yield s
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, SIZE string, H string, score double"
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """Documents with nulls, empty and long texts, repeats and columns named like internal ones."""
+    def make(texts, sources=None):
+        rows = [(i, t, "en", (sources or {}).get(i, "s"), len(t or ""), "x", "y", 1.0) for i, t in
+                (texts.items() if isinstance(texts, dict) else texts)]
+        return spark.createDataFrame(rows, DOCS)
+
+    return make
