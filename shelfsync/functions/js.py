@@ -39,6 +39,8 @@ def js_number(c: Column, dtype) -> Column:
     """``Number(x)`` as DOUBLE: null → 0, '' → 0, unparsable → NaN."""
     if isinstance(dtype, T.BooleanType):
         return F.when(c, F.lit(1.0)).otherwise(F.lit(0.0))  # null → 0 as well
+    if isinstance(dtype, T.FloatType):  # the number its text says, not its widened bits
+        return F.coalesce(c.cast("string").cast("double"), F.lit(0.0))
     if isinstance(dtype, T.NumericType):
         return F.coalesce(c.cast("double"), F.lit(0.0))
     if _is_string(dtype):
@@ -47,7 +49,7 @@ def js_number(c: Column, dtype) -> Column:
                 .when(t.rlike(JS_NUMBER_RE), t.try_cast("double"))
                 .otherwise(F.lit(float("nan"))))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.coalesce(F.unix_micros(c.cast("timestamp")).cast("double") / 1000.0, F.lit(0.0))
+        return F.coalesce(_epoch_micros(c, dtype).cast("double") / 1000.0, F.lit(0.0))
     if isinstance(dtype, T.DateType):
         return F.coalesce(F.unix_date(c).cast("double") * 86400000.0, F.lit(0.0))
     return F.when(c.isNull(), F.lit(0.0)).otherwise(F.lit(float("nan")))
@@ -77,20 +79,53 @@ def _render_double(d: Column) -> Column:
             .otherwise(d.cast("string")))
 
 
+def _epoch_micros(c: Column, dtype) -> Column:
+    """Microseconds since the epoch in UTC, whatever the session time zone (a
+    zoneless timestamp is read as UTC)."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    return F.unix_micros(c)
+
+
+def _render_timestamp(micros: Column) -> Column:
+    """ISO text in UTC; microseconds are printed where there are any, so two
+    different instants never print alike."""
+    day = F.lit(86_400_000_000).cast("bigint")
+    rest = F.pmod(micros, day)
+    date = F.date_format(F.date_from_unix_date(((micros - rest) / day).cast("int")), "yyyy-MM-dd")
+
+    def two(part: Column, width: int = 2) -> Column:
+        return F.lpad(F.floor(part).cast("string"), width, "0")
+
+    frac = F.when(micros % 1000 == 0, two(rest % 1_000_000 / 1000, 3)).otherwise(two(rest % 1_000_000, 6))
+    return F.concat(date, F.lit("T"), two(rest / 3_600_000_000), F.lit(":"), two(rest / 60_000_000 % 60), F.lit(":"),
+                    two(rest / 1_000_000 % 60), F.lit("."), frac, F.lit("Z"))
+
+
+def _render_decimal(c: Column) -> Column:
+    """Exact digits without trailing zeros: ids beyond 2^53 stay distinct."""
+    return F.regexp_replace(F.regexp_replace(c.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+
+
 def js_string(c: Column, dtype) -> Column:
     """``String(x)`` for a non-null value.  Integral doubles print without
-    ``.0``; booleans print as 1/0 because the source driver hands TINYINT(1)
-    flags over as numbers; timestamps print in ISO form."""
+    ``.0``, decimals exactly, floats by their own digits; booleans print as
+    1/0 because the source driver hands TINYINT(1) flags over as numbers;
+    timestamps print in ISO form, in UTC."""
     if _is_string(dtype):
         return c
     if isinstance(dtype, T.BooleanType):
         return F.when(c, F.lit("1")).when(~c, F.lit("0"))
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return c.cast("string")
+    if isinstance(dtype, T.DecimalType):
+        return _render_decimal(c)
+    if isinstance(dtype, T.FloatType):
+        return _render_double(c.cast("string").cast("double"))
     if _is_float(dtype):
-        return _render_double(c.cast("double"))
+        return _render_double(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        return _render_timestamp(_epoch_micros(c, dtype))
     if isinstance(dtype, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(dtype, T.BinaryType):

@@ -55,7 +55,7 @@ def _batched(fn: Callable[[list[str]], Sequence], batch_size: int):
                     got = list(fn(chunk))
                 except Exception as e:  # one failed batch, not a failed run
                     for i in range(start, start + len(chunk)):
-                        errs[i] = f"{type(e).__name__}: {e}"[:500]
+                        errs[i] = f"{type(e).__name__}: {e}"
                     continue
                 for j in range(len(chunk)):
                     if j < len(got) and got[j] is not None:
@@ -70,10 +70,11 @@ def embed_texts(texts: DataFrame, fn: Callable, batch_size: int = 50,
                 concurrency: int | None = None) -> DataFrame:
     """(embed_text, embedding, embed_error) for each distinct text.  With
     ``concurrency``, at most that many calls are in flight (one per
-    partition), however many executors the cluster has."""
+    partition), however many executors the cluster has; without, the texts
+    are dealt over all cores (they are few bytes, calls are slow: left to
+    itself the planner would put them in one task)."""
     distinct = texts.select(EMBED_TEXT).distinct()
-    if concurrency:
-        distinct = distinct.repartition(concurrency)
+    distinct = distinct.repartition(concurrency or texts.sparkSession.sparkContext.defaultParallelism)
     return distinct.mapInPandas(_batched(fn, batch_size),
                                 f"{EMBED_TEXT} string, embedding array<float>, embed_error string")
 

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfsync.config import ColumnMapping
 from shelfsync.functions.js import js_number
 from shelfsync.functions.text import sanitize
-from shelfsync.session import broadcast_if_small
 from shelfsync.sources.scan import spread
 
 # Fixed value: the UUID shape a workspace id must have (case-insensitive).
@@ -26,11 +25,10 @@ def workspaces(nation: DataFrame) -> DataFrame:
 
 def workspace_check(rows: DataFrame, dims: DataFrame) -> DataFrame:
     """Per workspace seen in ``rows``: row count, UUID shape, known to the
-    dimension.  The dimension has one row per tenant; it is broadcast once
-    its size is checked, else joined normally."""
+    dimension.  The join strategy is left to the planner and to run-time sizes."""
     seen = rows.groupBy("workspace_id").agg(F.count(F.lit(1)).alias("n_rows"))
     known = dims.select(F.col("id").alias("workspace_id"), F.lit(True).alias("_known")).distinct()
-    return (seen.join(broadcast_if_small(known), "workspace_id", "left")
+    return (seen.join(known, "workspace_id", "left")
             .select("workspace_id", "n_rows",
                     F.col("workspace_id").rlike(UUID_RE).alias("valid_uuid"),
                     F.coalesce(F.col("_known"), F.lit(False)).alias("known")))

@@ -8,8 +8,14 @@ for one mapped source; they mirror the rules in ``shelfsync.functions``.
 from __future__ import annotations
 
 from shelfsync.config import ColumnMapping
-from shelfsync.functions.js import JS_NUMBER_RE, JS_WS
-from shelfsync.functions.text import TITLE_DASH_RE, TITLE_LINE_RE, TITLE_NOISE_RE, TITLE_REJECT_RE
+
+# Fixed values, written out here so that a wrong pattern in the library shows.
+JS_WS = (r"\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}")
+JS_NUMBER_RE = r"^[+-]?(Infinity|(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)$"
+TITLE_LINE_RE = f"(?m)^Title:[{JS_WS}]([^\\n]+)"
+TITLE_REJECT_RE = "(?i)Product Not Found|Access denied"
+TITLE_NOISE_RE = f"(?i)(EAN[{JS_WS}]*\\d+[{JS_WS}]*[-–—]?[{JS_WS}]*|[-–—]?[{JS_WS}]*Go-UPC[{JS_WS}]*)"
+TITLE_DASH_RE = "[-–—]"
 
 AS_OF_SQL = "TIMESTAMP '2024-01-01 00:00:00'"
 STALE_SQL = "TIMESTAMP '2023-12-31 23:00:00'"       # AS_OF - 60 minutes
@@ -42,6 +48,11 @@ TEXT_SRC = """SELECT CAST(p_partkey AS VARCHAR) AS t_id, p_name AS t_desc,
 FROM part"""
 
 
+# All components of a vector, in millionths.
+VECTOR_DIGEST = ("CASE WHEN embedding IS NOT NULL THEN sha256(array_to_string("
+                 "[CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT) FOR x IN embedding], ',')) END")
+
+
 def js_trim(x: str) -> str:
     return f"regexp_replace({x}, '^[{JS_WS}]+|[{JS_WS}]+$', '', 'g')"
 
@@ -221,4 +232,4 @@ def merged_sql(changes: str) -> str:
 def target_view(src: str) -> str:
     cols = ", ".join(PRODUCT_DATA)
     return (f"SELECT workspace_id, id, {cols}, CAST(len(embedding) AS INTEGER) AS embedding_dim, "
-            f"CAST(embedding[1] AS DOUBLE) AS embedding_head FROM ({src})")
+            f"{VECTOR_DIGEST} AS embedding_sha256 FROM ({src})")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfsync.config import SyncConfig
 from shelfsync.functions.fingerprint import fingerprint, row_text
-from shelfsync.functions.text import TITLE_LINE_RE, extract_title, page_title, sanitize
+from shelfsync.functions.text import extract_title, page_title, sanitize
 from shelfsync.operators import detect, embed, enrich, merge, quality, report
 from shelfsync.operators.dedupe import dedupe_keys
 from shelfsync.operators.normalize import embedding_text, normalize
@@ -199,8 +199,8 @@ def _lookup(spark, sf_dir) -> DataFrame:
     return enrich.pages_from_html(fx.table(spark, sf_dir, "pages"))
 
 
-@register("title_extract", f"WITH p AS ({sql.PAGES_SRC}) SELECT code, CASE WHEN regexp_extract(page, '{TITLE_LINE_RE}', 1) <> '' "
-          f"THEN {sql.js_trim(f"regexp_extract(page, '{TITLE_LINE_RE}', 1)")} END AS raw_title FROM p")
+@register("title_extract", f"WITH p AS ({sql.PAGES_SRC}) SELECT code, CASE WHEN regexp_extract(page, '{sql.TITLE_LINE_RE}', 1) <> '' "
+          f"THEN {sql.js_trim(f"regexp_extract(page, '{sql.TITLE_LINE_RE}', 1)")} END AS raw_title FROM p")
 def title_extract(spark, sf_dir):
     return _lookup(spark, sf_dir).select("code", extract_title(F.col("page")).alias("raw_title"))
 
@@ -229,11 +229,12 @@ def title_enrich(spark, sf_dir):
 
 def _vec_cols(df: DataFrame) -> list:
     return [F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("embedding_dim"),
-            F.try_element_at("embedding", F.lit(1)).cast("double").alias("embedding_head")]
+            F.when(F.col("embedding").isNotNull(), F.sha2(F.array_join(F.transform(
+                "embedding", lambda x: F.floor(x.cast("double") * 1000000).cast("string")), ","), 256)).alias("embedding_sha256")]
 
 
 @register("embed_join", OUTCOME_SQL + "SELECT id, status, action, CAST(len(embedding) AS INTEGER) AS embedding_dim, "
-          "CAST(embedding[1] AS DOUBLE) AS embedding_head FROM outc")
+          f"{sql.VECTOR_DIGEST} AS embedding_sha256 FROM outc")
 def embed_join(spark, sf_dir):
     out = _part_outcome(spark, sf_dir)
     return out.select("id", "status", "action", *_vec_cols(out))

@@ -55,6 +55,8 @@ def work_dir(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="shelfsync-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
@@ -64,12 +66,3 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
     return "/".join([work_dir(spark), *parts, uuid.uuid4().hex])
-
-
-def broadcast_if_small(df, max_rows: int = 100_000):
-    """``broadcast(df)`` only when ``df`` is proven to hold at most
-    ``max_rows`` rows (a bounded count: at most ``max_rows + 1`` rows are
-    read); otherwise ``df`` unchanged, and the planner picks the join."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -56,6 +56,20 @@ class TableStore:
                         "state": _with_bucket_field(STATE),
                         "runs": T.StructType([*RUNS.fields, T.StructField("run_block", T.LongType())])}
         self._ready: set[str] = set()
+        self._layout_checked = False
+
+    def check_layout(self) -> None:
+        """The bucket count is part of every key's place, so it is recorded
+        under the root when the store is made, and a store opened with another
+        count is refused rather than given second copies of its keys."""
+        if self._layout_checked:
+            return
+        schema = "num_buckets int"
+        self.spark.createDataFrame([(self.num_buckets,)], schema).coalesce(1).write.mode("ignore").parquet(self.path("layout"))
+        kept = self.spark.read.schema(schema).parquet(self.path("layout")).first()
+        if kept is not None and kept["num_buckets"] != self.num_buckets:
+            raise ValueError(f"store {self.root} has {kept['num_buckets']} buckets, not {self.num_buckets}")
+        self._layout_checked = True
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -66,6 +80,7 @@ class TableStore:
         schema = self.schemas[name]
         if name in self._ready:
             return
+        self.check_layout()
         writer = self.spark.createDataFrame([], schema).write.mode("ignore")
         if name in ("target", "vectors", "state"):
             writer = writer.partitionBy(*PARTITIONS)
@@ -111,11 +126,11 @@ class TableStore:
     def read_partitions(self, name: str, pairs: list[tuple[str, int]] | DataFrame) -> DataFrame:
         """Rows of the live table in the given partitions only: a static
         predicate on the partition columns, so the scan lists and reads just
-        those directories; for a very long list, a broadcast semi-join lets
-        dynamic partition pruning do it at run time."""
+        those directories; a very long list stays a semi-join on the partition
+        columns, whose strategy is the planner's."""
         table = self.read(name)
         if isinstance(pairs, DataFrame):
-            return table.join(F.broadcast(pairs), PARTITIONS, "left_semi")
+            return table.join(pairs, PARTITIONS, "left_semi")
         by_ws: dict[str, list[int]] = defaultdict(list)
         for ws, b in pairs:
             by_ws[ws].append(b)
