@@ -58,14 +58,25 @@ def classify(keyed: DataFrame, state: DataFrame, mode: str, as_of: dt.datetime,
         o, so = F.col("_order"), F.col("_state_order")
         older = so.isNotNull() & (o.isNull() | (o < so) | ((o == so) & (F.col("fingerprint") < F.col("_state_fp"))))
         skip = skip | F.coalesce(older, F.lit(False))
+        # An unchanged row of a newer snapshot is skipped, but its order must be
+        # remembered, or a snapshot in between could still overwrite it.
+        touch = skip & known & same & F.coalesce(so.isNull() | (o > so), F.lit(False)) & o.isNotNull()
     reason = (F.when(~known, "new").when(~same, "hash").when(~fresh, "stale").otherwise("forced"))
+    status = F.when(known, F.lit("changed")).otherwise(F.lit("new"))
+    if ordered:
+        j = j.withColumn("touch", touch)
+        status, reason = F.when(F.col("touch"), F.lit("touch")).otherwise(status), F.when(F.col("touch"), F.lit("order")).otherwise(reason)
     return (j.withColumn("process", ~skip)
-             .withColumn("status", F.when(known, F.lit("changed")).otherwise(F.lit("new")))
+             .withColumn("status", status)
              .withColumn("reason", reason)
              .drop("_state_fp", "_state_at", "_known", "_state_order"))
 
 
 def to_process(classified: DataFrame) -> DataFrame:
+    """Processed rows, and with snapshot ordering the unchanged rows whose
+    newer order only advances the state (status ``touch``)."""
+    if "touch" in classified.columns:
+        return classified.filter(F.col("process") | F.col("touch"))
     return classified.filter(F.col("process"))
 
 

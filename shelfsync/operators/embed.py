@@ -94,10 +94,11 @@ def embed_with_function(rows: DataFrame, fn: Callable, batch_size: int = 50,
 
 def with_action(rows: DataFrame) -> DataFrame:
     """upsert = new with vector; update = changed (data only); drop = new
-    without vector — not written, state not advanced, retried next run."""
+    without vector — not written, state not advanced, retried next run; touch =
+    unchanged row of a newer snapshot (only its order moves, in the state)."""
     is_new = F.col("status") == "new"
     action = (F.when(is_new & F.col("embedding").isNotNull(), "upsert")
-              .when(is_new, "drop").otherwise("update"))
+              .when(is_new, "drop").when(F.col("status") == "touch", "touch").otherwise("update"))
     return rows.withColumn("action", action)
 
 

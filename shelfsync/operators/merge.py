@@ -75,22 +75,24 @@ def orphan_updates(target: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def written(changes: DataFrame) -> DataFrame:
-    """Rows whose state advances: upserts and updates (orphans included)."""
-    return changes.filter(F.col("action").isin("upsert", "update"))
+    """Rows whose state advances: upserts and updates (orphans included), and touches (order only)."""
+    return changes.filter(F.col("action").isin("upsert", "update", "touch"))
 
 
 def merge_state(state: DataFrame, changes: DataFrame, as_of: dt.datetime,
                 extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """Advance (fingerprint, updated_at = as_of) for written rows only."""
+    """Advance (fingerprint, updated_at = as_of) for written rows only; a
+    touch moves the order and keeps ``updated_at``."""
     keys = [*KEYS, *extra_keys]
     has_order = "source_order" in state.columns
     s = state.select(*keys, "fingerprint", "updated_at", *(["source_order"] if has_order else []))
     order = F.col("_order") if "_order" in changes.columns else F.lit(None).cast("bigint")
-    w = written(changes).select(*keys, F.col("fingerprint").alias("_w_fp"), order.alias("_w_order"))
+    w = written(changes).select(*keys, F.col("fingerprint").alias("_w_fp"), order.alias("_w_order"),
+                                 (F.col("action") == "touch").alias("_w_touch"))
     j = s.join(w, keys, "full_outer")
     hit = F.col("_w_fp").isNotNull()
     out = [F.when(hit, F.col("_w_fp")).otherwise(F.col("fingerprint")).alias("fingerprint"),
-           F.when(hit, ts_literal(as_of)).otherwise(F.col("updated_at")).alias("updated_at")]
+           F.when(hit & ~F.col("_w_touch"), ts_literal(as_of)).otherwise(F.col("updated_at")).alias("updated_at")]
     if has_order:
         out.append(F.when(hit, F.col("_w_order")).otherwise(F.col("source_order")).alias("source_order"))
     return j.select(*keys, *out)

@@ -246,34 +246,42 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
               "modes": ",".join(sorted({t.config.mode for t in tenants})),
               "workspaces": ",".join(sorted({t.config.workspace_id for t in tenants})),
               **detected, **dict.fromkeys(OUTCOME_KEYS, 0), "orphans": 0}
-    if detected["to_process"] > 0:
+    ordered = any(t.config.order_by for t in tenants)
+    if detected["to_process"] > 0 or ordered:
         staged = spark.read.parquet(stage1)
         repair = [t.config.workspace_id for t in tenants if t.config.repair_orphans]
         if repair:
             staged = repair_orphans(store, staged, repair)
         stage2 = scratch_path(spark, "runs", run_id, "outcome")
         counts = Observation(f"outcome_{run_id}")
-        store.with_bucket(outcome(staged, titles, embedder)).observe(counts, *report.outcome_exprs()) \
+        store.with_bucket(outcome(staged, titles, embedder)).observe(
+            counts, *report.outcome_exprs(), F.sum(F.when(F.col("action") == "touch", 1).otherwise(0)).alias("touched")) \
             .write.parquet(stage2)
-        record.update({k: int(v or 0) for k, v in counts.get.items()})
+        seen = {k: int(v or 0) for k, v in counts.get.items()}
+        touched = seen.pop("touched")
+        record.update(seen)
         mark("enrich_embed")
         done = spark.read.parquet(stage2)
         live = done.filter(F.col("action").isin("upsert", "update"))
-        pairs, up_pairs = store.touched_partitions_with(live, F.col("action") == "upsert")
+        moved = merge.written(done)
+        write = record["with_embedding"] + record["data_only"] > 0
+        pairs, up_pairs = (store.touched_partitions_with(moved, F.col("action") == "upsert") if write or touched else ([], []))
         if record["with_embedding"] > 0:
             ups = done.filter(F.col("action") == "upsert")
             store.replace_partitions("vectors", merge.merge_vectors(
                 store.read_partitions("vectors", up_pairs), ups, ("bucket",)))
             mark("merge_vectors")
-        orphans = Observation(f"orphans_{run_id}")
-        merged = merge.merge_products(store.read_partitions("target", pairs), live, ("bucket",),
-                                      with_vectors=False, mark_orphans=True)
-        store.replace_partitions("target", merged, finish=lambda d: merge.drop_orphans(d, orphans))
-        record["orphans"] = int(orphans.get.get("orphans") or 0)
-        mark("merge_target")
-        store.replace_partitions("state", merge.merge_state(store.read_partitions("state", pairs), live, as_of,
-                                                            ("bucket",)))
-        mark("merge_state")
+        if write:
+            orphans = Observation(f"orphans_{run_id}")
+            merged = merge.merge_products(store.read_partitions("target", pairs), live, ("bucket",),
+                                          with_vectors=False, mark_orphans=True)
+            store.replace_partitions("target", merged, finish=lambda d: merge.drop_orphans(d, orphans))
+            record["orphans"] = int(orphans.get.get("orphans") or 0)
+            mark("merge_target")
+        if write or touched:  # nothing to write starts no merge
+            store.replace_partitions("state", merge.merge_state(store.read_partitions("state", pairs), moved, as_of,
+                                                                ("bucket",)))
+            mark("merge_state")
     record["processed"] = record["to_process"]
     record["duration_s"] = round(time.time() - started, 3)
     store.append_run(spark.createDataFrame([_run_row(record)], RUNS))
