@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from shelfsync.llm.common import ship
 
-LINES, SHARE, WIDEN = 40, 0.6, 1.4
+LINES, SHARE, WIDEN = 20, 0.6, 1.8
 #: Collision probability at the k-th distance at which a query stops.
 SURE = 0.8
 SHARD_ROWS, CHUNK_ROWS = 16_384, 2_048
@@ -51,9 +51,9 @@ def valid(vectors: DataFrame) -> DataFrame:
 
 def _inner(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products summed coordinate by coordinate: equal vectors get equal scores wherever they lie."""
-    acc = np.zeros(len(x))
-    for d in range(x.shape[1]):
-        acc += x[:, d] * q[d]
+    acc = np.zeros(x.shape[1])
+    for d in range(x.shape[0]):
+        acc += x[d] * q[d]
     return acc
 
 
@@ -70,6 +70,7 @@ class Shard:
         cut = np.searchsorted(which[by], np.arange(len(first) + 1))
         self.ids = [ids[by[cut[i]:cut[i + 1]]][:k + 1] if cut[i + 1] - cut[i] > k + 1 else ids[by[cut[i]:cut[i + 1]]]
                     for i in range(len(first))]
+        self.by_coordinate = np.ascontiguousarray(self.vectors.T)
         self.k = k
         rng = np.random.default_rng(seed)
         dim = vectors.shape[1]
@@ -81,6 +82,8 @@ class Shard:
         self.at = self.vectors @ self.directions + extra[:, None] * rng.standard_normal(lines)
         self.order = np.argsort(self.at, axis=0, kind="stable")
         self.sorted = np.take_along_axis(self.at, self.order, 0)
+        self.lines_order = np.ascontiguousarray(self.order.T)
+        self.lines_sorted = np.ascontiguousarray(self.sorted.T)
 
     def search(self, query: np.ndarray, own: int) -> list[tuple[float, int]]:
         """(score, vec_id) of the nearest found, nearest first, without rows of id ``own``."""
@@ -96,14 +99,16 @@ class Shard:
         while True:
             windows, whole = [], True
             for p in range(lines):
-                lo, hi = np.searchsorted(self.sorted[:, p], (at[p] - radius, at[p] + radius), side="left")
-                hi = int(np.searchsorted(self.sorted[:, p], at[p] + radius, side="right"))
+                line = self.lines_sorted[p]
+                lo, hi = line.searchsorted(at[p] - radius), line.searchsorted(at[p] + radius, "right")
                 whole = whole and lo == 0 and hi == n
-                windows.append(self.order[lo:hi, p])
+                windows.append(self.lines_order[p][lo:hi])
             counts = np.bincount(np.concatenate(windows), minlength=n)
             new = np.flatnonzero((counts >= need) & ~seen)
             if len(new):
-                scores[new] = _inner(self.vectors[new], query)
+                # Many at once: all in storage order is cheaper than picking them out.
+                scores[new] = (_inner(self.by_coordinate, query)[new] if 8 * len(new) > n
+                               else _inner(self.by_coordinate[:, new], query))
                 seen[new] = True
             if whole:
                 break
