@@ -70,11 +70,11 @@ def embed_texts(texts: DataFrame, fn: Callable, batch_size: int = 50,
                 concurrency: int | None = None) -> DataFrame:
     """(embed_text, embedding, embed_error) for each distinct text.  With
     ``concurrency``, at most that many calls are in flight (one per
-    partition), however many executors the cluster has; without, the texts
-    are dealt over all cores (they are few bytes, calls are slow: left to
-    itself the planner would put them in one task)."""
+    partition), however many executors the cluster has; without, the
+    planner sizes the tasks by bytes."""
     distinct = texts.select(EMBED_TEXT).distinct()
-    distinct = distinct.repartition(concurrency or texts.sparkSession.sparkContext.defaultParallelism)
+    if concurrency:
+        distinct = distinct.repartition(concurrency)
     return distinct.mapInPandas(_batched(fn, batch_size),
                                 f"{EMBED_TEXT} string, embedding array<float>, embed_error string")
 

@@ -54,7 +54,9 @@ class FunctionEmbedder:
         self.fn, self.batch_size, self.concurrency = fn, batch_size, concurrency
 
     def apply(self, rows: DataFrame) -> DataFrame:
-        return embed.embed_with_function(rows, self.fn, self.batch_size, self.concurrency)
+        # Texts are few bytes and calls are slow: left to itself the planner would put them all in one task.
+        calls = self.concurrency or rows.sparkSession.sparkContext.defaultParallelism
+        return embed.embed_with_function(rows, self.fn, self.batch_size, calls)
 
 
 def keyed_tenant(tenant: Tenant, built: dict | None = None) -> DataFrame:
