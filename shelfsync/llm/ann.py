@@ -70,7 +70,6 @@ class Shard:
         cut = np.searchsorted(which[by], np.arange(len(first) + 1))
         self.ids = [ids[by[cut[i]:cut[i + 1]]][:k + 1] if cut[i + 1] - cut[i] > k + 1 else ids[by[cut[i]:cut[i + 1]]]
                     for i in range(len(first))]
-        self.by_coordinate = np.ascontiguousarray(self.vectors.T)
         self.k = k
         rng = np.random.default_rng(seed)
         dim = vectors.shape[1]
@@ -94,40 +93,50 @@ class Shard:
         start = np.minimum(here + 2 * self.k, n - 1)
         radius = max(float(np.median(np.abs(self.sorted[start, np.arange(lines)] - at))), 1e-12)
         q2 = float((query ** 2).sum())
-        scores = np.full(n, -np.inf)
+        rough = np.full(n, -np.inf)  # scores but for the order of addition
+        everything = None
         seen = np.zeros(n, bool)
+        counts = np.zeros(n, np.int64)
+        low, high = here.copy(), here.copy()
         while True:
-            windows, whole = [], True
+            rings = []
             for p in range(lines):
-                line = self.lines_sorted[p]
+                line, order = self.lines_sorted[p], self.lines_order[p]
                 lo, hi = line.searchsorted(at[p] - radius), line.searchsorted(at[p] + radius, "right")
-                whole = whole and lo == 0 and hi == n
-                windows.append(self.lines_order[p][lo:hi])
-            counts = np.bincount(np.concatenate(windows), minlength=n)
+                rings += [order[lo:low[p]], order[high[p]:hi]]  # what the wider window adds
+                low[p], high[p] = min(lo, low[p]), max(hi, high[p])
+            whole = not low.any() and bool((high == n).all())
+            counts += np.bincount(np.concatenate(rings), minlength=n)
             new = np.flatnonzero((counts >= need) & ~seen)
             if len(new):
                 # Many at once: all in storage order is cheaper than picking them out.
-                scores[new] = (_inner(self.by_coordinate, query)[new] if 8 * len(new) > n
-                               else _inner(self.by_coordinate[:, new], query))
+                if everything is None and 8 * len(new) > n:
+                    everything = self.vectors @ query
+                rough[new] = self.vectors[new] @ query if everything is None else everything[new]
                 seen[new] = True
             if whole:
                 break
             known = np.flatnonzero(seen)
             have = sum(min(len(self.ids[i]), self.k + 1) for i in known[:self.k + 1]) if len(known) <= self.k else self.k + 1
             if have > self.k:
-                kept = scores[known]
                 # One more than k classes: the query's own row may be among them.
-                worst = np.partition(kept, -min(self.k + 1, len(kept)))[-min(self.k + 1, len(kept))]
+                most = min(self.k + 1, len(known))
+                worst = np.partition(rough[known], -most)[-most]
                 far = math.sqrt(max(q2 + self.longest2 - 2 * worst, 0.0))
                 if far == 0 or math.erf(radius / (far * math.sqrt(2))) >= SURE:
                     break
             radius *= WIDEN
-        found: list[tuple[float, int]] = []
         known = np.flatnonzero(seen)
-        for i in known[np.argsort(-scores[known], kind="stable")]:
+        if len(known) > self.k + 1:
+            # Rounding moves a score by far less than this.
+            room = 1e-9 * math.sqrt(self.longest2 * q2)
+            known = known[rough[known] >= np.partition(rough[known], -(self.k + 1))[-(self.k + 1)] - room]
+        scores = _inner(np.ascontiguousarray(self.vectors[known].T), query)
+        found: list[tuple[float, int]] = []
+        for i in np.argsort(-scores, kind="stable"):
             if len(found) >= self.k and scores[i] < found[self.k - 1][0]:
                 break
-            found.extend((float(scores[i]), int(v)) for v in self.ids[i] if v != own)
+            found.extend((float(scores[i]), int(v)) for v in self.ids[known[i]] if v != own)
             found.sort(key=lambda x: (-x[0], x[1]))
             del found[self.k:]
         return found
