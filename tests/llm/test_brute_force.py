@@ -164,6 +164,38 @@ def test_bm25(spark, docs):
         assert np.allclose([x[2] for x in have], [s for _, s in want])
 
 
+def test_bm25_words_and_pruned_search(monkeypatch):
+    """ASCII white space alone divides words, A-Z alone are lower-cased; scores
+    are the same whether blocks are skipped, picked or read as whole lists."""
+    text = "A\x1cb\x85c\u00a0D\u00c9 \t\n\x0b\x0c\r e\x1f\u0130"
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    assert [w.decode() for w in bm25.words_of(text)] == re.findall("[^\\x20\\x09-\\x0D]+", low)
+    monkeypatch.setattr(bm25, "BLOCK", 4)
+    monkeypatch.setattr(bm25, "FIRST", 2)
+    monkeypatch.setattr(bm25, "HELD", 50)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(w)}" for w in rng.zipf(1.4, int(n)) if w < 400) for n in rng.integers(0, 60, 300)]
+    texts[7] = texts[9] = texts[200]
+    asked = np.unique(bm25.term_ids({w for t in texts for w in bm25.words_of(t)}))
+    idfs = rng.random(len(asked)) + 0.1
+    index = bm25.Index(np.arange(300), texts, 25.0, asked, idfs)
+    for q in range(0, 300, 7):
+        terms = np.searchsorted(asked, np.unique(bm25.term_ids(set(bm25.words_of(texts[q])))))
+        want = []
+        for d, t in enumerate(texts):
+            words = bm25.words_of(t)
+            tf = {int(np.searchsorted(asked, bm25.term_ids([w])[0])): words.count(w) for w in set(words)}
+            norm = bm25.K1 * (1 - bm25.B + bm25.B * len(words) / 25.0)
+            score = sum(tf[i] * (bm25.K1 + 1) / (tf[i] + norm) * idfs[i] for i in terms.tolist() if i in tf)
+            if score:
+                want.append((-score, d))
+        want.sort()
+        for k in (1, 5, 400):
+            got = index.search(terms, k)
+            assert [d for _, d in got] == [d for _, d in want[:k]]
+            assert np.allclose([s for s, _ in got], [-s for s, _ in want[:k]])
+
+
 def test_vector_recall_and_ties(spark):
     con = duckdb.connect()
     rows = con.sql(f"select vec_id, embedding from '{SF}/embeddings.parquet'").fetchall()
