@@ -31,7 +31,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict | N
 
 
 def execute(spark: SparkSession, url: str, statements: list[str], properties: dict | None = None) -> list[int]:
-    """Run set-based statements (DDL, MERGE) on the database from the driver;
+    """Run set-based statements (DDL, MERGE) on the database in one transaction from the driver;
     returns the update counts.  Never used for per-row work."""
     jvm = spark.sparkContext._jvm
     props = jvm.java.util.Properties()
@@ -41,6 +41,7 @@ def execute(spark: SparkSession, url: str, statements: list[str], properties: di
     if driver:
         jvm.java.lang.Class.forName(driver)
     conn = jvm.java.sql.DriverManager.getConnection(url, props)
+    conn.setAutoCommit(False)  # all statements or none
     try:
         counts = []
         st = conn.createStatement()
@@ -48,44 +49,71 @@ def execute(spark: SparkSession, url: str, statements: list[str], properties: di
             st.execute(sql)
             counts.append(st.getUpdateCount())
         st.close()
+        conn.commit()
         return counts
     finally:
+        conn.rollback()  # nothing is left to undo after a commit
         conn.close()
 
 
-def merge_statement(table: str, staging: str) -> str:
-    """Standard MERGE: upserts replace every column including the vector;
-    updates replace the ten data columns; updates without a match do
-    nothing (they are the orphans)."""
-    data = ", ".join(f"{c} = s.{c}" for c in UPDATE_COLUMNS)
+#: A text column without a length, per dialect of the staging table.
+TEXT_TYPES = {"postgresql": "TEXT", "mysql": "LONGTEXT", "standard": "VARCHAR(32672)"}
+#: Destination types that text is not assigned to without a cast.
+CASTS = {"postgresql": {"workspace_id": "uuid", "embedding": "vector"}}
+
+
+def dialect_of(url: str) -> str:
+    """``postgresql``, ``mysql`` or ``standard`` (MERGE), by the JDBC URL."""
+    kind = url.split(":", 2)[1].lower()
+    return {"postgresql": "postgresql", "mysql": "mysql", "mariadb": "mysql"}.get(kind, "standard")
+
+
+def merge_statements(dialect: str, table: str, staging: str) -> list[str]:
+    """Set-based statements that apply a staged change set: upserts replace
+    every column including the vector; updates replace the ten data columns;
+    updates without a match do nothing (they are the orphans)."""
     cols = ["id", "workspace_id", *UPDATE_COLUMNS, "embedding"]
-    return (f"MERGE INTO {table} t USING {staging} s ON t.id = s.id AND t.workspace_id = s.workspace_id "
+    casts = CASTS.get(dialect, {})
+    value = {c: f"CAST(s.{c} AS {casts[c]})" if c in casts else f"s.{c}" for c in cols}
+    names, values = ", ".join(cols), ", ".join(value[c] for c in cols)
+    match = f"t.id = s.id AND t.workspace_id = {value['workspace_id']}"
+    if dialect == "postgresql":
+        return [f"INSERT INTO {table} ({names}) SELECT {values} FROM {staging} s WHERE s.action = 'upsert' "
+                f"ON CONFLICT (id, workspace_id) DO UPDATE SET {', '.join(f'{c} = EXCLUDED.{c}' for c in cols[2:])}",
+                f"UPDATE {table} AS t SET {', '.join(f'{c} = {value[c]}' for c in UPDATE_COLUMNS)} "
+                f"FROM {staging} s WHERE {match} AND s.action = 'update'"]
+    if dialect == "mysql":
+        return [f"INSERT INTO {table} ({names}) SELECT {values} FROM {staging} s WHERE s.action = 'upsert' "
+                f"ON DUPLICATE KEY UPDATE {', '.join(f'{c} = VALUES({c})' for c in cols[2:])}",
+                f"UPDATE {table} t JOIN {staging} s ON {match} AND s.action = 'update' "
+                f"SET {', '.join(f't.{c} = {value[c]}' for c in UPDATE_COLUMNS)}"]
+    data = ", ".join(f"{c} = s.{c}" for c in UPDATE_COLUMNS)
+    return [f"MERGE INTO {table} t USING {staging} s ON {match} "
             f"WHEN MATCHED AND s.action = 'upsert' THEN UPDATE SET {data}, embedding = s.embedding "
             f"WHEN MATCHED AND s.action = 'update' THEN UPDATE SET {data} "
-            f"WHEN NOT MATCHED AND s.action = 'upsert' THEN INSERT ({', '.join(cols)}) "
-            f"VALUES ({', '.join('s.' + c for c in cols)})")
+            f"WHEN NOT MATCHED AND s.action = 'upsert' THEN INSERT ({names}) VALUES ({values})"]
 
 
 def write_products_jdbc(changes: DataFrame, url: str, table: str, staging: str, *,
                         properties: dict | None = None, batch_size: int = 1000,
-                        text_type: str = "VARCHAR(32672)") -> list[int]:
+                        text_type: str | None = None) -> list[int]:
     """Apply a staged change set (``action`` upsert/update) to a destination
-    table over JDBC: parallel staging write, then one MERGE."""
+    table over JDBC: parallel staging write, then the dialect's statements in
+    one transaction.  ``text_type`` is the staging table's type of text (a
+    value too long for it fails the write)."""
+    dialect = dialect_of(url)
     # Update rows never write the vector, so they carry '' rather than NULL
     # (some dialects bind NULL text as CLOB, which VARCHAR columns refuse).
     vec = F.coalesce(F.to_json(F.col("embedding")), F.lit(""))
     live = changes.filter(F.col("action").isin("upsert", "update")).select(
         "id", "workspace_id", *UPDATE_COLUMNS, vec.alias("embedding"), "action")
-    # Spark quotes the staging table's column names; upper case makes them
-    # match the unquoted (case-folded) identifiers of the MERGE statement.
-    live = live.toDF(*[c.upper() for c in live.columns])
+    if dialect == "standard":
+        # Spark quotes the staging table's column names; the statements' plain
+        # names fold to upper case here (to lower case in PostgreSQL).
+        live = live.toDF(*[c.upper() for c in live.columns])
+    kind = text_type or TEXT_TYPES[dialect]
     text_cols = [f.name for f in live.schema.fields if f.dataType.simpleString() == "string"]
     opts = dict(properties or {})
-    opts.update({"batchsize": str(batch_size),
-                 "createTableColumnTypes": ", ".join(f"{c} {text_type}" for c in text_cols)})
+    opts.update({"batchsize": str(batch_size), "createTableColumnTypes": ", ".join(f"{c} {kind}" for c in text_cols)})
     live.write.jdbc(url, staging, mode="overwrite", properties=opts)
-    return execute(spark_of(changes), url, [merge_statement(table, staging)], properties)
-
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+    return execute(changes.sparkSession, url, merge_statements(dialect, table, staging), properties)
