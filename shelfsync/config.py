@@ -51,10 +51,11 @@ class SyncConfig:
     mode: str = "full"
     stale_minutes: int = 60
     batch_size: int = 50
-    lookup_enabled: bool = False
+    # Titles are looked up when the run is given a lookup, unless this is False.
+    lookup_enabled: bool | None = None
     lookup_concurrency: int = 5
-    embedding_dim: int = 1536
-    num_buckets: int = 16
+    # When set, a vector of another width counts as a failed embedding.
+    embedding_dim: int | None = None
     repair_orphans: bool = False
     exact_cents: bool = False
     # Optional source column ordering snapshots of one key (e.g. an event
@@ -64,8 +65,8 @@ class SyncConfig:
     def __post_init__(self):
         if self.mode not in MODES:
             raise ValueError(f"unknown sync mode {self.mode!r}; expected one of {MODES}")
-        if self.batch_size <= 0 or self.num_buckets <= 0:
-            raise ValueError("batch_size and num_buckets must be positive")
+        if self.batch_size <= 0 or self.lookup_concurrency <= 0:
+            raise ValueError("batch_size and lookup_concurrency must be positive")
 
 
 def as_of_now() -> dt.datetime:

@@ -92,6 +92,20 @@ def embed_with_function(rows: DataFrame, fn: Callable, batch_size: int = 50,
     return new.unionByName(rest)
 
 
+def check_width(rows: DataFrame, dims: dict[str, int]) -> DataFrame:
+    """A vector whose width is not its workspace's in ``dims`` is a failed
+    embedding: no vector, and an error that says so."""
+    by_dim: dict[int, list[str]] = {}
+    for ws, dim in dims.items():
+        by_dim.setdefault(dim, []).append(ws)
+    for dim, workspaces in sorted(by_dim.items()):
+        wrong = F.col("workspace_id").isin(workspaces) & F.col("embedding").isNotNull() & (F.size("embedding") != dim)
+        error = F.concat(F.lit("vector of width "), F.size("embedding").cast("string"), F.lit(f", not {dim}"))
+        rows = rows.withColumns({"embed_error": F.when(wrong, error).otherwise(F.col("embed_error")),
+                                 "embedding": F.when(~wrong, F.col("embedding"))})
+    return rows
+
+
 def with_action(rows: DataFrame) -> DataFrame:
     """upsert = new with vector; update = changed (data only); drop = new
     without vector — not written, state not advanced, retried next run; touch =

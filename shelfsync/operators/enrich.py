@@ -56,6 +56,40 @@ def no_titles(rows: DataFrame) -> DataFrame:
     return rows.withColumn("title", F.lit(None).cast("string"))
 
 
+class PageTitles:
+    """Title lookup in a table of crawled pages (``code``, ``page``): pages
+    are cut to the wanted codes before titles are extracted from them."""
+
+    def __init__(self, pages: DataFrame):
+        self.pages = pages
+
+    def for_codes(self, codes: DataFrame, concurrency: int) -> DataFrame:
+        return title_table(self.pages.join(codes.distinct(), "code", "left_semi"))
+
+
+class ClientTitles:
+    """Title lookup through a page client, called once per distinct code."""
+
+    def __init__(self, fetch: Callable[[str], str | None]):
+        self.fetch = fetch
+
+    def for_codes(self, codes: DataFrame, concurrency: int) -> DataFrame:
+        return title_table(fetch_pages(codes, self.fetch, concurrency))
+
+
+def look_up_titles(rows: DataFrame, titles, off: list[str] = (), concurrency: int = 5) -> DataFrame:
+    """:func:`enrich_titles` for all workspaces but those switched ``off``.
+    ``titles`` is a ``(code, title)`` table, a lookup like
+    :class:`PageTitles` or :class:`ClientTitles`, or None (no lookups)."""
+    if titles is None:
+        return no_titles(rows)
+    on = rows.filter(~F.col("workspace_id").isin(list(off))) if off else rows
+    if not isinstance(titles, DataFrame):
+        titles = titles.for_codes(on.filter(F.col("status") == "new").select("code"), concurrency)
+    done = enrich_titles(on, titles)
+    return done.unionByName(no_titles(rows.filter(F.col("workspace_id").isin(list(off))))) if off else done
+
+
 def map_with_client(values: DataFrame, col: str, fn: Callable, out_col: str,
                     concurrency: int = 5, out_type: str = "string") -> DataFrame:
     """Call ``fn(value)`` once per distinct value with at most ``concurrency``

@@ -22,6 +22,28 @@ def detection_exprs() -> list[Column]:
             _n(p & F.col("reason").isin("stale", "forced")).alias("n_stale")]
 
 
+def run_exprs() -> list[Column]:
+    """Counts over classified rows that stand for ``_copies`` source rows
+    each, null ids included: total = to_process + skipped + n_rejected (null
+    ids) + n_duplicates (further rows of a kept key)."""
+    n, kept = F.col("_copies"), F.col("id").isNotNull()
+    p = kept & F.col("process")
+    new = F.col("status") == "new"
+
+    def total(cond, value):
+        return F.sum(F.when(cond, value).otherwise(0)).cast("bigint")
+
+    return [F.sum(n).cast("bigint").alias("total"),
+            total(~kept, n).alias("n_rejected"),
+            total(kept, n - 1).alias("n_duplicates"),
+            _n(p).alias("to_process"),
+            _n(kept & ~F.col("process")).alias("skipped"),
+            _n(p & new).alias("n_new"),
+            _n(p & ~new).alias("n_changed"),
+            _n(p & (F.col("reason") == "hash")).alias("n_hash"),
+            _n(p & F.col("reason").isin("stale", "forced")).alias("n_stale")]
+
+
 def detection_summary(classified: DataFrame, by: tuple[str, ...] = ("workspace_id",)) -> DataFrame:
     """Per-workspace counts: total = to_process + skipped."""
     return classified.groupBy(*by).agg(*detection_exprs())

@@ -43,37 +43,46 @@ class TableEmbedder:
                  vector_col: str = "embedding"):
         self.vectors, self.row_key, self.table_key, self.vector_col = vectors, row_key, table_key, vector_col
 
-    def apply(self, rows: DataFrame) -> DataFrame:
+    def apply(self, rows: DataFrame, configs: list[SyncConfig] = ()) -> DataFrame:
         return embed.embed_with_table(rows, self.vectors, self.row_key, self.table_key, self.vector_col)
 
 
 class FunctionEmbedder:
-    """Vectors from a batch function called inside ``mapInPandas``."""
+    """Vectors from a batch function called inside ``mapInPandas``, with
+    ``batch_size`` texts a call (default: each tenant's own setting)."""
 
-    def __init__(self, fn, batch_size: int = 50, concurrency: int | None = None):
+    def __init__(self, fn, batch_size: int | None = None, concurrency: int | None = None):
         self.fn, self.batch_size, self.concurrency = fn, batch_size, concurrency
 
-    def apply(self, rows: DataFrame) -> DataFrame:
+    def apply(self, rows: DataFrame, configs: list[SyncConfig] = ()) -> DataFrame:
         # Texts are few bytes and calls are slow: left to itself the planner would put them all in one task.
         calls = self.concurrency or rows.sparkSession.sparkContext.defaultParallelism
-        return embed.embed_with_function(rows, self.fn, self.batch_size, calls)
+        by_size: dict[int, list[str]] = {}
+        for c in configs:
+            by_size.setdefault(self.batch_size or c.batch_size, []).append(c.workspace_id)
+        if len(by_size) < 2:
+            size = self.batch_size or next(iter(by_size), SyncConfig.batch_size)
+            return embed.embed_with_function(rows, self.fn, size, calls)
+        return union_all([embed.embed_with_function(rows.filter(F.col("workspace_id").isin(ws)), self.fn, size, calls)
+                          for size, ws in sorted(by_size.items())])
 
 
-def keyed_tenant(tenant: Tenant, built: dict | None = None) -> DataFrame:
+def keyed_tenant(tenant: Tenant, built: dict | None = None, keep_null_ids: bool = False) -> DataFrame:
     """One tenant's source through its mapping (a projection, no shuffle).
     ``built`` caches the keyed columns per (mapping, column types) within one
     planning call, so tenants of one shape build their expressions once."""
     cfg = tenant.config
     extra = {"_order": cfg.order_by} if cfg.order_by else None
     if built is None:
-        return keyed_source(tenant.source, cfg.mapping, cfg.workspace_id, extra=extra)
+        return keyed_source(tenant.source, cfg.mapping, cfg.workspace_id, extra=extra, keep_null_ids=keep_null_ids)
     validate_mapping(tenant.source, cfg.mapping)
     types = {f.name: f.dataType for f in tenant.source.schema.fields}
     used = [*cfg.mapping.source_columns(), *(extra or {}).values()]
     key = (cfg.mapping, tuple((c, types[c].simpleString()) for c in used), tuple((extra or {}).items()))
     if key not in built:
         built[key] = keyed_columns(cfg.mapping, types, extra)
-    return keyed_source(tenant.source, cfg.mapping, cfg.workspace_id, extra=extra, columns=built[key])
+    return keyed_source(tenant.source, cfg.mapping, cfg.workspace_id, extra=extra, columns=built[key],
+                        keep_null_ids=keep_null_ids)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -104,7 +113,7 @@ def _group_key(cfg: SyncConfig, keyed: DataFrame) -> tuple:
 
 
 def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_of: dt.datetime,
-                  dedupe: bool = True, spread_sources: bool = True) -> DataFrame:
+                  dedupe: bool = True, spread_sources: bool = True, copies: str | None = None) -> DataFrame:
     """Classified rows (lazy, skipped rows included) of tenants planned as one.
 
     Their keyed sources are unioned, spread if they arrive in too few splits,
@@ -112,7 +121,8 @@ def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_
     the state join share one shuffle for the whole group, however many
     tenants it holds.  The state is read only for the group's workspaces
     (partition pruning on ``workspace_id``).  A group of one tenant keys on
-    ``id`` alone, its workspace being a constant.
+    ``id`` alone, its workspace being a constant.  ``copies`` names a column
+    for the number of source rows that each row stands for.
     """
     cfg = members[0][0].config
     workspaces = [t.config.workspace_id for t, _ in members]
@@ -132,9 +142,11 @@ def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_
         keys = list(KEYS)
         st = state.filter(F.col("workspace_id").isin(workspaces))
     if cfg.order_by:
-        keyed = dedupe_keys(keyed, keys=keys, order_by=["_order", "fingerprint"])
+        keyed = dedupe_keys(keyed, keys=keys, order_by=["_order", "fingerprint"], count_col=copies)
     elif dedupe:
-        keyed = dedupe_keys(keyed, keys=keys)
+        keyed = dedupe_keys(keyed, keys=keys, count_col=copies)
+    elif copies:
+        keyed = keyed.withColumn(copies, F.lit(1))
     return detect.classify(keyed, st, cfg.mode, as_of, cfg.stale_minutes, keys=keys)
 
 
@@ -153,7 +165,8 @@ def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, de
     union, one shuffle and one state join, not a thousand.  Groups never
     shuffle against each other.  The observations sit between the state
     join and the filter, in the final stage of whatever job consumes the
-    result, so the skipped rows are counted without a second scan.
+    result, so skipped rows, null ids and duplicates are counted without a
+    second scan, and once each even where a lost task of the scan is repeated.
     """
     workspaces = [t.config.workspace_id for t in tenants]
     if len(set(workspaces)) != len(workspaces):
@@ -161,15 +174,15 @@ def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, de
     groups: dict[tuple, list[tuple[Tenant, DataFrame]]] = {}
     built: dict = {}
     for t in tenants:
-        keyed = keyed_tenant(t, built)
+        keyed = keyed_tenant(t, built, keep_null_ids=observe)
         groups.setdefault(_group_key(t.config, keyed), []).append((t, keyed))
     parts, observations = [], []
     for members in groups.values():
-        cls = group_changes(members, state, as_of, dedupe, spread_sources)
+        cls = group_changes(members, state, as_of, dedupe, spread_sources, "_copies" if observe else None)
         label = ",".join(t.config.workspace_id for t, _ in members)
         if observe:
             obs = Observation(f"detect_{uuid.uuid4().hex}")
-            cls = cls.observe(obs, *report.detection_exprs())
+            cls = cls.observe(obs, *report.run_exprs()).filter(F.col("id").isNotNull())
             observations.append((label, obs))
         keep = ("workspace_id", "id", "fingerprint", "status", "reason", "_order")
         parts.append(normalize(detect.to_process(cls), as_of, members[0][0].config.exact_cents, keep=keep))
@@ -177,11 +190,14 @@ def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, de
     return processed, observations
 
 
-def outcome(processed: DataFrame, titles: DataFrame | None, embedder) -> DataFrame:
-    """Enrich new rows, embed new rows, tag each row upsert/update/drop."""
-    rows = enrich.enrich_titles(processed, titles) if titles is not None else enrich.no_titles(processed)
-    rows = embed.with_embed_text(rows)
-    rows = embedder.apply(rows)
+def outcome(processed: DataFrame, titles, embedder, configs: list[SyncConfig] = ()) -> DataFrame:
+    """Enrich new rows, embed new rows, tag each row upsert/update/drop, each
+    tenant by its own lookup switch, batch size and vector width."""
+    off = [c.workspace_id for c in configs if c.lookup_enabled is False]
+    calls = min((c.lookup_concurrency for c in configs if c.lookup_enabled is not False), default=5)
+    rows = embed.with_embed_text(enrich.look_up_titles(processed, titles, off, calls))
+    rows = embedder.apply(rows, configs)
+    rows = embed.check_width(rows, {c.workspace_id: c.embedding_dim for c in configs if c.embedding_dim})
     return embed.with_action(rows)
 
 
@@ -201,14 +217,20 @@ def repair_orphans(store: TableStore, rows: DataFrame, workspaces: list[str]) ->
              .drop("_in_target", "bucket"))
 
 
-DETECT_KEYS = ("total", "to_process", "skipped", "n_new", "n_changed", "n_hash", "n_stale")
+def source_state(store: TableStore, tenants: list[Tenant]) -> DataFrame:
+    """The state in the buckets that the tenants' source rows fall in."""
+    keys = union_all([keyed_tenant(t).select(*KEYS) for t in tenants])
+    return store.touched("state", store.with_bucket(keys))
+
+
+DETECT_KEYS = ("total", "n_rejected", "n_duplicates", "to_process", "skipped", "n_new", "n_changed", "n_hash", "n_stale")
 OUTCOME_KEYS = ("lookups_found", "with_embedding", "data_only", "embed_failed")
 
 
 def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
-             titles: DataFrame | None = None, embedder=None, as_of: dt.datetime | None = None,
+             embedder, titles=None, sink=None, as_of: dt.datetime | None = None,
              batch_id: int | None = None, stream_id: str | None = None, dedupe: bool = True,
-             spread_sources: bool = True) -> dict:
+             spread_sources: bool = True, prune_state: bool = False) -> dict:
     """One sync run over ``tenants``; returns the run record (a small dict).
 
     Jobs: (1) detect + normalise → staged rows, counts observed;
@@ -219,6 +241,14 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
     target, state, run record.  With nothing to process, only (1) and (6) run.
     ``spread_sources=False`` leaves narrow sources as they are (see
     :func:`~shelfsync.sources.scan.spread`); the streaming sync does so.
+
+    ``titles`` is a ``(code, title)`` table or a lookup (see
+    :func:`~shelfsync.operators.enrich.look_up_titles`).  ``sink`` is called
+    with the staged upserts and updates after the target and before the state
+    (e.g. :func:`~shelfsync.sources.jdbc.write_products_jdbc`), so a failing
+    destination leaves its rows to the next run.  ``prune_state`` first asks
+    which buckets the source rows fall in (one narrow job) and reads the state
+    of those alone: for small batches against a large state.
     """
     started = time.time()
     phases: dict[str, float] = {}
@@ -231,9 +261,9 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
     as_of = as_of or as_of_now()
     run_id = uuid.uuid4().hex
     if embedder is None:
-        embedder = FunctionEmbedder(embed.hashing_embedder(64), tenants[0].config.batch_size)
-
-    state = store.read("state").drop("bucket")
+        raise ValueError("a sync needs an embedder")
+    configs = [t.config for t in tenants]
+    state = (source_state(store, tenants) if prune_state else store.read("state")).drop("bucket")
     processed, observations = plan_changes(tenants, state, as_of, dedupe, observe=True,
                                            spread_sources=spread_sources)
     stage1 = scratch_path(spark, "runs", run_id, "processed")
@@ -256,7 +286,7 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
             staged = repair_orphans(store, staged, repair)
         stage2 = scratch_path(spark, "runs", run_id, "outcome")
         counts = Observation(f"outcome_{run_id}")
-        store.with_bucket(outcome(staged, titles, embedder)).observe(
+        store.with_bucket(outcome(staged, titles, embedder, configs)).observe(
             counts, *report.outcome_exprs(), F.sum(F.when(F.col("action") == "touch", 1).otherwise(0)).alias("touched")) \
             .write.parquet(stage2)
         seen = {k: int(v or 0) for k, v in counts.get.items()}
@@ -280,6 +310,9 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
             store.replace_partitions("target", merged, finish=lambda d: merge.drop_orphans(d, orphans))
             record["orphans"] = int(orphans.get.get("orphans") or 0)
             mark("merge_target")
+            if sink is not None:
+                sink(live)
+                mark("sink")
         if write or touched:  # nothing to write starts no merge
             store.replace_partitions("state", merge.merge_state(store.read_partitions("state", pairs), moved, as_of,
                                                                 ("bucket",)))

@@ -101,16 +101,18 @@ def keyed_columns(mapping: ColumnMapping, types: dict, extra: dict[str, str] | N
 
 
 def keyed_source(df: DataFrame, mapping: ColumnMapping, workspace_id: str,
-                 extra: dict[str, str] | None = None, columns: list | None = None) -> DataFrame:
+                 extra: dict[str, str] | None = None, columns: list | None = None,
+                 keep_null_ids: bool = False) -> DataFrame:
     """The mapped scan keyed for a sync.
 
     Columns: ``workspace_id``, ``id`` (the source id as text), ``fingerprint``
     (over the raw mapped values), and one ``_r_<role>`` column per mapped role
-    holding the raw value.  Rows with a null id are dropped here and counted
-    by the data-quality report instead.  ``columns`` may pass in
+    holding the raw value.  Rows with a null id are dropped here, unless
+    ``keep_null_ids`` leaves them for the caller to count and drop.  ``columns`` may pass in
     :func:`keyed_columns` already built for this mapping and these types.
     """
     validate_mapping(df, mapping)
     if columns is None:
         columns = keyed_columns(mapping, {f.name: f.dataType for f in df.schema.fields}, extra)
-    return df.select(F.lit(workspace_id).alias("workspace_id"), *columns).filter(F.col("id").isNotNull())
+    keyed = df.select(F.lit(workspace_id).alias("workspace_id"), *columns)
+    return keyed if keep_null_ids else keyed.filter(F.col("id").isNotNull())

@@ -52,7 +52,7 @@ def sync_batch(store: TableStore, config: SyncConfig, stream_id: str, *, titles=
         # ``minPartitions``, ``maxFilesPerTrigger``); counting it to decide on
         # a spread would read the batch twice.
         run_sync(spark, store, [Tenant(batch, config)], titles=titles, embedder=embedder, as_of=as_of,
-                 batch_id=batch_id, stream_id=stream_id, spread_sources=False)
+                 batch_id=batch_id, stream_id=stream_id, spread_sources=False, prune_state=True)
     return run
 
 
