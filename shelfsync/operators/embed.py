@@ -30,13 +30,18 @@ def with_embed_text(rows: DataFrame) -> DataFrame:
 
 
 def embed_with_table(rows: DataFrame, vectors: DataFrame, row_key: str, table_key: str,
-                     vector_col: str = "embedding") -> DataFrame:
-    """Left join on ``row_key`` = ``table_key`` (the table key must be unique).
+                     vector_col: str = "embedding", workspace_col: str | None = None) -> DataFrame:
+    """Left join on ``row_key`` = ``table_key``, and on the workspace where
+    ``workspace_col`` names it (the table key must be unique).
     Only new rows are looked up; changed rows keep whatever the target has."""
     v = vectors.select(F.col(table_key).cast("string").alias("_ek"),
-                       F.col(vector_col).cast("array<float>").alias("embedding"))
+                       F.col(vector_col).cast("array<float>").alias("embedding"),
+                       *([F.col(workspace_col).alias("_ew")] if workspace_col else []))
     is_new = F.col("status") == "new"
-    new = rows.filter(is_new).join(v, F.col(row_key).cast("string") == F.col("_ek"), "left").drop("_ek")
+    match = F.col(row_key).cast("string") == F.col("_ek")
+    if workspace_col:
+        match = match & (F.col("workspace_id") == F.col("_ew"))
+    new = rows.filter(is_new).join(v, match, "left").drop("_ek", "_ew")
     new = new.withColumn("embed_error", F.when(F.col("embedding").isNull(), F.lit("no vector")))
     rest = (rows.filter(~is_new).withColumn("embedding", F.lit(None).cast("array<float>"))
             .withColumn("embed_error", F.lit(None).cast("string")))

@@ -156,8 +156,8 @@ NORM_TEXT_SQL = (f"WITH src AS ({sql.TEXT_SRC}), keyed AS ({sql.keyed(fx.TEXT_MA
 
 @register("sanitize_text", f"SELECT doc_id, {sql.sanitize('text')} AS description FROM documents")
 def sanitize_text(spark, sf_dir):
-    # Whole documents are heavy rows: spread whenever the scan is too narrow.
-    docs = spread(fx.table(spark, sf_dir, "documents"), min_rows=0)
+    # Whole documents are heavy rows, and the table is one file.
+    docs = spread(fx.table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism)
     return docs.select("doc_id", sanitize(F.col("text")).alias("description"))
 
 
@@ -347,7 +347,7 @@ LI_KEYED_SQL = (f"WITH src AS ({sql.LINEITEM_SRC}), "
 
 
 def _li_keyed(spark, sf_dir) -> DataFrame:
-    return keyed_source(spread(fx.lineitem_source(spark, sf_dir)), fx.LINEITEM_MAPPING, fx.WS_LINEITEM)
+    return keyed_source(spread(fx.lineitem_source(spark, sf_dir), spark.sparkContext.defaultParallelism), fx.LINEITEM_MAPPING, fx.WS_LINEITEM)
 
 
 @register("dedupe_keys", LI_KEYED_SQL + "SELECT workspace_id, id, max(fingerprint) AS fingerprint, "

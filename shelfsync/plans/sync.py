@@ -37,14 +37,17 @@ class Tenant:
 
 
 class TableEmbedder:
-    """Vectors from a precomputed table keyed like the rows."""
+    """Vectors from a precomputed table keyed like the rows.  Where tenants
+    share ids, ``workspace_col`` names the table's column of workspace ids."""
 
     def __init__(self, vectors: DataFrame, row_key: str = "id", table_key: str = "vec_id",
-                 vector_col: str = "embedding"):
+                 vector_col: str = "embedding", workspace_col: str | None = None):
         self.vectors, self.row_key, self.table_key, self.vector_col = vectors, row_key, table_key, vector_col
+        self.workspace_col = workspace_col
 
     def apply(self, rows: DataFrame, configs: list[SyncConfig] = ()) -> DataFrame:
-        return embed.embed_with_table(rows, self.vectors, self.row_key, self.table_key, self.vector_col)
+        return embed.embed_with_table(rows, self.vectors, self.row_key, self.table_key, self.vector_col,
+                                      self.workspace_col)
 
 
 class FunctionEmbedder:
@@ -94,16 +97,6 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-def _splits_reach(sources: list[DataFrame], target: int) -> int:
-    """Splits of the sources, counted until ``target`` is reached."""
-    n = 0
-    for src in sources:
-        n += src.rdd.getNumPartitions()
-        if n >= target:
-            break
-    return n
-
-
 def _group_key(cfg: SyncConfig, keyed: DataFrame) -> tuple:
     """Tenants whose keyed rows have the same columns and types, and that
     share mode, threshold, rounding and snapshot ordering, are planned as one:
@@ -113,10 +106,10 @@ def _group_key(cfg: SyncConfig, keyed: DataFrame) -> tuple:
 
 
 def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_of: dt.datetime,
-                  dedupe: bool = True, spread_sources: bool = True, copies: str | None = None) -> DataFrame:
+                  dedupe: bool = True, spread_sources: int | None = None, copies: str | None = None) -> DataFrame:
     """Classified rows (lazy, skipped rows included) of tenants planned as one.
 
-    Their keyed sources are unioned, spread if they arrive in too few splits,
+    Their keyed sources are unioned, spread if asked for,
     deduplicated and joined with the state on one key, so deduplication and
     the state join share one shuffle for the whole group, however many
     tenants it holds.  The state is read only for the group's workspaces
@@ -127,14 +120,7 @@ def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_
     cfg = members[0][0].config
     workspaces = [t.config.workspace_id for t, _ in members]
     keyed = union_all([k for _, k in members])
-    if spread_sources:
-        # splits of the union = splits of the raw sources (cheaper to ask there)
-        try:
-            splits = _splits_reach([t.source for t, _ in members],
-                                   keyed.sparkSession.sparkContext.defaultParallelism)
-        except Exception:  # no RDD access (Spark Connect): let spread decide
-            splits = None
-        keyed = spread(keyed, splits=splits)
+    keyed = spread(keyed, spread_sources)
     if len(members) == 1:
         keys = ["id"]
         st = state.filter(F.col("workspace_id") == workspaces[0]).drop("workspace_id")
@@ -156,7 +142,7 @@ def tenant_changes(tenant: Tenant, state: DataFrame, as_of: dt.datetime, dedupe:
 
 
 def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, dedupe: bool = True,
-                 observe: bool = False, spread_sources: bool = True) -> tuple[DataFrame, list[tuple[str, Observation]]]:
+                 observe: bool = False, spread_sources: int | None = None) -> tuple[DataFrame, list[tuple[str, Observation]]]:
     """Processed, normalised rows of all tenants, and (when ``observe``) one
     ``Observation`` of detection counts per group of tenants.
 
@@ -230,7 +216,7 @@ OUTCOME_KEYS = ("lookups_found", "with_embedding", "data_only", "embed_failed")
 def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
              embedder, titles=None, sink=None, as_of: dt.datetime | None = None,
              batch_id: int | None = None, stream_id: str | None = None, dedupe: bool = True,
-             spread_sources: bool = True, prune_state: bool = False) -> dict:
+             spread_sources: int | None = None, prune_state: bool = False) -> dict:
     """One sync run over ``tenants``; returns the run record (a small dict).
 
     Jobs: (1) detect + normalise → staged rows, counts observed;
@@ -239,8 +225,8 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
     (4) target partitions merged and replaced (data columns only);
     (5) state likewise; (6) run record appended.  Commit order is vectors,
     target, state, run record.  With nothing to process, only (1) and (6) run.
-    ``spread_sources=False`` leaves narrow sources as they are (see
-    :func:`~shelfsync.sources.scan.spread`); the streaming sync does so.
+    ``spread_sources`` deals narrow sources out over so many tasks (see
+    :func:`~shelfsync.sources.scan.spread`).
 
     ``titles`` is a ``(code, title)`` table or a lookup (see
     :func:`~shelfsync.operators.enrich.look_up_titles`).  ``sink`` is called

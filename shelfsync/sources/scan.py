@@ -38,33 +38,20 @@ def mapped_scan(df: DataFrame, mapping: ColumnMapping) -> DataFrame:
     return df.select(*mapping.source_columns())
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, min_rows: int = 250_000,
-           splits: int | None = None) -> DataFrame:
-    """Spread a source that arrives in fewer splits than the cluster has
-    cores over ``min_partitions`` tasks (default: the default parallelism).
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal the rows out over ``partitions`` tasks (None: leave them).
 
     An unpartitioned JDBC read is one task, and so is one large file with a
     single row group; the per-row work after the scan (fingerprint, text
-    rules, the map side of deduplication) would then run on one core.  The
+    rules, the map side of deduplication) would then run on one core.  Whether
+    a source is so narrow is known to whoever configures it, so this is a
+    plain setting: nothing is counted and no threshold decides.  The
     repartition is round-robin, so a key that holds a third of the rows is
     split evenly too; Spark sorts each split before dealing its rows out
     (``spark.sql.execution.sortBeforeRepartition``), so a task retried after
-    an executor loss sends the same rows to the same places.  A scan with enough splits — any large table on a
-    cluster, or a union of many small tenants — is returned unchanged and
-    nothing runs.  Otherwise a bounded count (at most ``min_rows + 1`` rows
-    are read) decides: below ``min_rows`` one core finishes sooner than an
-    extra stage would start.  ``splits`` may give the split count when the
-    caller knows it (e.g. summed over the raw sources of a union).
+    an executor loss sends the same rows to the same places.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if (df.rdd.getNumPartitions() if splits is None else splits) >= target:
-            return df
-    except Exception:  # a session without RDD access (Spark Connect): leave the plan as is
-        return df
-    if min_rows > 0 and df.limit(min_rows + 1).count() <= min_rows:
-        return df
-    return df.repartition(target)
+    return df.repartition(partitions) if partitions else df
 
 
 def source_count(df: DataFrame) -> DataFrame:

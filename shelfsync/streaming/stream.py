@@ -49,10 +49,9 @@ def sync_batch(store: TableStore, config: SyncConfig, stream_id: str, *, titles=
             return
         as_of = as_of_fn(batch_id) if as_of_fn else None
         # A micro-batch's parallelism is the stream's own setting (Kafka
-        # ``minPartitions``, ``maxFilesPerTrigger``); counting it to decide on
-        # a spread would read the batch twice.
+        # ``minPartitions``, ``maxFilesPerTrigger``).
         run_sync(spark, store, [Tenant(batch, config)], titles=titles, embedder=embedder, as_of=as_of,
-                 batch_id=batch_id, stream_id=stream_id, spread_sources=False, prune_state=True)
+                 batch_id=batch_id, stream_id=stream_id, prune_state=True)
     return run
 
 

@@ -74,17 +74,13 @@ def test_touched_partitions_are_static_filters(spark, tmp_path):
     assert "w1" in line and "w2" in line and "bucket" in line
 
 
-def test_spread_only_when_too_few_splits(spark):
-    """A source with fewer splits than the default parallelism is spread
-    round-robin once it holds more than ``min_rows`` rows; one with enough
-    splits, or a small one, is left alone (no shuffle added)."""
-    enough = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism)
-    assert "Exchange" not in plan_of(spread(enough, min_rows=0))
+def test_spread_is_a_setting(spark):
+    """A source is dealt out over the tasks asked for, else left alone."""
     one = spark.range(0, 1000, 1, 1)
-    assert "Exchange" not in plan_of(spread(one, min_rows=1000))
-    spread_one = spread(one, min_rows=999)
+    assert "Exchange" not in plan_of(spread(one, None))
+    spread_one = spread(one, 6)
     assert "RoundRobinPartitioning" in plan_of(spread_one)
-    assert spread_one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread_one.rdd.getNumPartitions() == 6
     assert sorted(r[0] for r in spread_one.collect()) == list(range(1000))
 
 
@@ -172,7 +168,7 @@ def test_keyed_columns_built_once_per_shape(spark, monkeypatch):
     assert processed.count() == 5 * sup.count() + fx.table(spark, SF001, "customer").count()
 
 
-def test_sync_spreads_a_large_single_split_source(spark):
+def test_sync_spreads_a_source_when_asked(spark):
     from shelfsync.config import ColumnMapping
 
     src = spark.range(0, 300_000, 1, 1).selectExpr("id", "concat('item ', id) AS descricao",
@@ -180,7 +176,7 @@ def test_sync_spreads_a_large_single_split_source(spark):
     t = Tenant(src, SyncConfig("00000000-0000-0000-0000-0000000000aa", ColumnMapping()))
     state = spark.createDataFrame([], "workspace_id string, id string, fingerprint string, "
                                       "updated_at timestamp_ntz, source_order bigint")
-    spread_plan = plan_of(plan_changes([t], state, dt.datetime(2024, 1, 1))[0])
+    spread_plan = plan_of(plan_changes([t], state, dt.datetime(2024, 1, 1), spread_sources=8)[0])
     assert "RoundRobinPartitioning" in spread_plan
-    stream_plan = plan_of(plan_changes([t], state, dt.datetime(2024, 1, 1), spread_sources=False)[0])
+    stream_plan = plan_of(plan_changes([t], state, dt.datetime(2024, 1, 1))[0])
     assert "RoundRobinPartitioning" not in stream_plan

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfsync.config import ColumnMapping, SyncConfig
 from shelfsync.operators.embed import hashing_embedder
 from shelfsync.operators.enrich import ClientTitles, PageTitles
-from shelfsync.plans.sync import FunctionEmbedder, Tenant, plan_changes, run_sync, source_state
+from shelfsync.plans.sync import FunctionEmbedder, TableEmbedder, Tenant, plan_changes, run_sync, source_state
 from shelfsync.sources.jdbc import dialect_of, merge_statements
 from shelfsync.sources.store import TableStore
 
@@ -65,6 +65,15 @@ def test_batch_size_is_the_tenants_own(spark, tmp_path):
     assert most == {WS[0]: 1.0, WS[1]: 5.0}
 
 
+def test_tenants_sharing_ids_have_vectors_of_their_own(spark, tmp_path):
+    src = source(spark, [(1, "a", "1", 1.0)])
+    vectors = spark.createDataFrame([(WS[0], 1, [1.0]), (WS[1], 1, [2.0])], "ws string, vec_id long, embedding array<double>")
+    store = TableStore(spark, str(tmp_path / "s"), 2)
+    run_sync(spark, store, [Tenant(src, SyncConfig(w)) for w in WS[:2]], as_of=T1,
+             embedder=TableEmbedder(vectors, workspace_col="ws"))
+    assert {r.workspace_id: list(r.embedding) for r in store.read("vectors").collect()} == {WS[0]: [1.0], WS[1]: [2.0]}
+
+
 def test_title_lookup_by_tenant_from_pages_or_client(spark, tmp_path):
     src = source(spark, [(1, "a", "c1", 1.0), (2, "b", "c2", 2.0), (3, "c", "c3", 2.0)])
     pages = spark.createDataFrame([("c1", "Title: One"), ("c2", "Title: Product Not Found"), ("zz", "Title: Other")],
