@@ -5,7 +5,18 @@ lines decides whether a chunk ends there, so boundaries follow the content
 and an inserted line moves only the boundaries next to it.  A chunk of two or
 more lines that occurs anywhere else in the corpus is kept at its first place
 (smallest doc_id, nulls first, then text digest and position) and removed
-elsewhere, after its bytes were compared.
+elsewhere, after its bytes were compared.  :func:`dedup_lines` is held to
+this rule by its SQL; a repeated passage keeps the lines before its first and
+after its last boundary, and one without two boundaries stays whole.
+
+:func:`dedup_runs`, the pipeline's stage, removes repeated passages whole.  A
+line goes if it lies in a pair of neighbouring lines that also stands at an
+earlier place (same order of places) without sharing a line with it.  All
+pairs of a run that occurs earlier occur earlier, and a repeated pair is a
+repeated run, so the lines removed are exactly those of the maximal repeated
+runs of two or more lines: no boundaries, no anchors to extend.  Pairs are
+found by digest, counted before the shuffle; only the text of repeated pairs
+moves, for the byte comparison.
 
 Scale: only 40-byte rows (chunk digest and place) of multi-line chunks are
 shuffled to find repeated digests, pre-aggregated before the shuffle, so a
@@ -88,34 +99,109 @@ def removals(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
             .agg(F.collect_set("place.pos").alias("gone")))
 
 
-def _kept(batches):
-    """(lines, lines removed, remaining text, carried columns) of each document."""
+def pairs_of(text: str | None) -> list[tuple[bytes, str]]:
+    """(digest, text) of each pair of neighbouring lines, in order."""
+    if text is None:
+        return []
+    lines = text.split("\n")
+    each = [md5(line.encode()).digest() for line in lines]
+    return [(md5(a + b).digest(), f"{x}\n{y}") for a, b, x, y in zip(each, each[1:], lines, lines[1:], strict=False)]
+
+
+def _pairs(batches):
     import pyarrow as pa
 
-    for whole in batches:
-        for lo in range(0, whole.num_rows, 1024):
-            b = whole.slice(lo, 1024)
-            n, lost, kept = [], [], []
-            for text, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                cut = set(gone or ())
-                chunks = chunks_of(text)
-                n.append(sum(k for k, _ in chunks))
-                lost.append(sum(k for i, (k, _) in enumerate(chunks) if i in cut))
-                kept.append(text if not cut else "\n".join(c for i, (_, c) in enumerate(chunks) if i not in cut))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(lost, pa.int64()), pa.array(kept, pa.string()), *b.columns[3:]],
-                names=["doc_id", "n_lines", "n_removed", "text", *b.schema.names[3:]])
+    names = ["doc_id", "th", "pos", "chunk", "h"]
+    types = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.binary())
+    for b in batches:
+        for lo in range(0, b.num_rows, 256):
+            out = [(doc, th, pos, pair, h) for doc, text, th in rows_of([b.slice(lo, 256)])
+                   for pos, (h, pair) in enumerate(pairs_of(text))]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                                                 names=names)
 
 
-def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = (), min_lines: int = MIN_LINES) -> DataFrame:
-    """One row per document: ``doc_id, n_lines, n_removed, text`` (what stays)
-    and the columns named in ``carry`` as ``carry_0, carry_1, ...``."""
+def _pair_digests(batches):
+    import pyarrow as pa
+
+    for b in batches:
+        for lo in range(0, b.num_rows, 1024):
+            out = [h for text in b.column(0).slice(lo, 1024).to_pylist() for h, _ in pairs_of(text)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["h"])
+
+
+def run_removals(docs: DataFrame) -> DataFrame:
+    """``gid, gth, gone`` (first lines of removed pairs) of the documents that lose any."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.md5("text").alias("th"))
+    digests = rows.select("text").transform(map_arrow, _pair_digests, "h binary")
+    repeated = stage(digests.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+                     .select(F.col("h").alias("rh")), "line-pair-digests")
+    keyed = rows.transform(map_arrow, _pairs, "doc_id long, th string, pos int, chunk string, h binary")
+    place = F.struct("doc_id", "th", "pos")
+    met = stage(keyed.join(repeated, F.col("h") == F.col("rh")).select("h", "chunk", place.alias("place")), "line-pairs")
+    # Byte comparison, as for chunks.
+    first = met.groupBy("h", "chunk").agg(F.min("place").alias("first"))
+    first = first.select(F.col("h").alias("fh"), F.col("chunk").alias("fchunk"), "first")
+    # Pairs one line apart share it: "a a a" is no repeated passage.
+    beside = (F.col("place.doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place.th") == F.col("first.th"))
+              & (F.col("place.pos") <= F.col("first.pos") + 1))
+    gone = met.join(first, (F.col("h") == F.col("fh")) & (F.col("chunk") == F.col("fchunk"))).filter(~beside)
+    return (gone.groupBy(F.col("place.doc_id").alias("gid"), F.col("place.th").alias("gth"))
+            .agg(F.collect_set("place.pos").alias("gone")))
+
+
+def _kept(pieces):
+    """``pieces(text, gone)``: lines, lines removed and remaining text."""
+    def run(batches):
+        import pyarrow as pa
+
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1024):
+                b = whole.slice(lo, 1024)
+                n, lost, kept = [], [], []
+                for text, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                    a, c, left = pieces(text, set(gone or ()))
+                    n.append(a)
+                    lost.append(c)
+                    kept.append(left)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array(n, pa.int64()), pa.array(lost, pa.int64()), pa.array(kept, pa.string()), *b.columns[3:]],
+                    names=["doc_id", "n_lines", "n_removed", "text", *b.schema.names[3:]])
+
+    return run
+
+
+def _without_chunks(text, cut):
+    chunks = chunks_of(text)
+    return (sum(k for k, _ in chunks), sum(k for i, (k, _) in enumerate(chunks) if i in cut),
+            text if not cut else "\n".join(c for i, (_, c) in enumerate(chunks) if i not in cut))
+
+
+def _without_pairs(text, cut):
+    lines = [] if text is None else text.split("\n")
+    left = [x for i, x in enumerate(lines) if i not in cut and i - 1 not in cut]
+    return len(lines), len(lines) - len(left), text if not cut else "\n".join(left)
+
+
+def _less(docs: DataFrame, removed: DataFrame, pieces, carry: tuple[str, ...]) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.md5("text").alias("th"),
                        *[F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)])
-    rows = rows.join(removals(docs, min_lines), F.col("doc_id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")), "left")
+    rows = rows.join(removed, F.col("doc_id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")), "left")
     rows = rows.select("doc_id", "text", "gone", *[f"carry_{i}" for i in range(len(carry))])
     carried = "".join(f", carry_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
-    return rows.transform(map_arrow, _kept, "doc_id long, n_lines long, n_removed long, text string" + carried)
+    return rows.transform(map_arrow, _kept(pieces), "doc_id long, n_lines long, n_removed long, text string" + carried)
+
+
+def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = (), min_lines: int = MIN_LINES) -> DataFrame:
+    """One row per document: ``doc_id, n_lines, n_removed, text`` (what stays)
+    and the columns named in ``carry`` as ``carry_0, carry_1, ...``."""
+    return _less(docs, removals(docs, min_lines), _without_chunks, carry)
+
+
+def dedup_runs(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """As :func:`dedup_lines`, without the lines of any repeated run of two or more lines."""
+    return _less(docs, run_removals(docs), _without_pairs, carry)
 
 
 #: DuckDB SQL for :func:`dedup_lines`.

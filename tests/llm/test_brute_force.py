@@ -322,6 +322,38 @@ def test_line_chunks_edge_cases(spark, docs):
     assert out[5]["n_removed"] >= out[2]["n_removed"]
 
 
+def brute_runs(texts):
+    """Kept lines of each document, from the list of all runs of two or more lines at every place."""
+    lines = {i: t.split("\n") for i, t in texts.items()}
+    places = {}
+    for i in sorted(lines):
+        for a in range(len(lines[i])):
+            for b in range(a + 2, len(lines[i]) + 1):
+                places.setdefault(tuple(lines[i][a:b]), []).append((i, a))
+    gone = {(i, a + k) for run, at in places.items() for i, a in at for k in range(len(run))
+            if any(x < i or (x == i and y + len(run) <= a) for x, y in at)}
+    return {i: "\n".join(x for k, x in enumerate(ls) if (i, k) not in gone) for i, ls in lines.items()}
+
+
+def test_line_runs_against_brute_force(spark, docs):
+    rnd = random.Random(5)
+    passages = [[f"p{k} line {i}" for i in range(rnd.randint(2, 7))] for k in range(12)]
+    texts = {}
+    for i in range(60):
+        parts = [rnd.choice(passages) if rnd.random() < 0.6 else [f"own {i} {k}"] for k in range(rnd.randint(1, 5))]
+        texts[i] = "\n".join(x for p in parts for x in p)
+    texts |= {60: "a\na\na", 61: "b\nb\nb\nb\nb", 62: "own 62\np0 line 0\nown 62b", 63: ""}
+    out = linechunks.dedup_runs(docs(texts), carry=("source",)).collect()
+    assert {r["doc_id"]: r["text"] for r in out} == brute_runs(texts)
+    assert all(r["n_lines"] == texts[r["doc_id"]].count("\n") + 1 and r["carry_0"] == "s" for r in out)
+    # The pipeline's stage: two lines repeated between other lines go whole.
+    import corpus_pipeline
+
+    pair = {1: "x\nsame one\nsame two\ny", 2: "z\nsame one\nsame two\nw", 3: None}
+    stage = corpus_pipeline.drop_repeated_lines(spark, docs(pair).select(*corpus_pipeline.COLUMNS), SF)
+    assert {r["doc_id"]: r["text"] for r in stage.collect()} == {1: pair[1], 2: "z\nw", 3: None}
+
+
 def test_empty_tables(spark, docs):
     none = docs({})
     assert neardup.near_duplicates(none, 3, 85).count() == 0
