@@ -367,6 +367,16 @@ def test_empty_tables(spark, docs):
     assert spm.encode(none, spm.model_bytes()).count() == 0
 
 
+def test_pipeline_keeps_empty_rows_of_a_shared_id(spark, docs):
+    import corpus_pipeline
+
+    text = "one two three four five six seven eight nine ten"
+    rows = docs([(1, text), (2, text), (2, ""), (3, "other words that stand alone here"), (None, text)])
+    left = corpus_pipeline.drop_near_duplicates(spark, rows.select(*corpus_pipeline.COLUMNS), SF).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=str) == sorted(
+        [(1, text), (2, ""), (3, "other words that stand alone here"), (None, text)], key=str)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
