@@ -4,7 +4,8 @@ Each block of text hangs on a root-to-leaf tag path.  Text length and
 punctuation are summed per path and divided by the path's nodes; the two
 ratios are smoothed along the page, fused by their product, and paths whose
 fused ratio passes a threshold are content.  The content's container (the
-article or main element they lie in, else their deepest common ancestor)
+article or main element they lie in, else the deepest common ancestor of the
+blocks around them, never one text block, list, table or quote by itself)
 then gives the page's text: all its blocks, so short paragraphs and headings
 inside an article are not lost, less those under elements that are never
 article text (menus, headers, footers, sidebars, notices, adverts, forms,
@@ -51,6 +52,8 @@ NEVER_NAMED = frozenset(("ad ads advert advertisement adverts banner breadcrumb
                          "promo related search share sharing sidebar signup social sponsor sponsored subscribe toolbar "
                          "widget complementary contentinfo alert dialog").split())
 ROOTS = frozenset(("article", "main"))
+#: Elements that are parts of a text: never its container.
+PARTS = frozenset("p pre h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote figure figcaption table thead tbody tfoot tr".split())
 CLOSED_BY_BLOCK = frozenset(("p",))
 SCOPES = frozenset("html body article main section div td th table ul ol blockquote".split())
 
@@ -76,6 +79,7 @@ def blocks_of(page: str) -> list[tuple[int, str, bool]]:
 def _parse(page: str):
     paths: dict[tuple[int, str], int] = {}
     parents: list[int] = [-1]
+    names: list[str] = [""]
     root_of: list[int] = [-1]  # the innermost article or main on the path
     stack: list[tuple[str, int, bool]] = [("", 0, True)]  # name, path id, allowed
     n_open: dict[str, int] = {}
@@ -146,6 +150,7 @@ def _parse(page: str):
         if path is None:
             path = paths[(parent, name)] = len(parents)
             parents.append(parent)
+            names.append(name)
             root_of.append(path if name in ROOTS else root_of[parent])
         allowed = stack[-1][2] and not _never(name, m[3])
         if not block and allowed != stack[-1][2]:
@@ -155,7 +160,7 @@ def _parse(page: str):
         stack.append((name, path, allowed))
         n_open[name] = n_open.get(name, 0) + 1
     flush()
-    return blocks, parents, root_of
+    return blocks, parents, root_of, names
 
 
 def content_paths(blocks: list[tuple[int, str, bool]]) -> set[int]:
@@ -188,7 +193,7 @@ def main_text(page: str | None) -> str:
     """The page's article as one line of text."""
     if not page:
         return ""
-    blocks, parents, root_of = _parse(page)
+    blocks, parents, root_of, names = _parse(page)
     allowed = [b for b in blocks if b[2]]
     if not allowed:
         return ""
@@ -197,7 +202,12 @@ def main_text(page: str | None) -> str:
     if roots:
         inside = lambda p: root_of[p] in roots or _above(p, roots, parents)
     else:
-        container = {_common(content, parents)}
+        inner: set[int] = set()  # the paths with blocks below them
+        for p in {path for path, _, _ in allowed}:
+            while (p := parents[p]) >= 0 and p not in inner:
+                inner.add(p)
+        above = {p if p in inner and names[p] not in PARTS else _holder(p, parents, names) for p in content}
+        container = {_common(above, parents)}
         inside = lambda p: _above(p, container, parents)
     seen: dict[int, bool] = {}
     out = []
@@ -217,6 +227,14 @@ def _above(path: int, targets: set[int], parents: list[int]) -> bool:
     return False
 
 
+def _holder(path: int, parents: list[int], names: list[str]) -> int:
+    """The nearest path above ``path`` that can hold a whole text."""
+    path = max(parents[path], 0)
+    while path and (names[path] in PARTS or names[path] in INLINE):
+        path = parents[path]
+    return path
+
+
 def _common(paths: set[int], parents: list[int]) -> int:
     """The deepest path above (or equal to) all of ``paths``."""
     common: set[int] | None = None

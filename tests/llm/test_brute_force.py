@@ -300,6 +300,18 @@ def test_pages():
     assert len(pagetext.main_text("<div>" * 20000 + "deep" + "</div>" * 20000)) == 4
 
 
+def test_pages_without_article_keep_what_stands_beside_paragraphs():
+    said = "A sentence, with marks. Another one, longer; and so on. " * 8
+    beside = "<h1>A heading of the page</h1><ul><li>first point</li><li>second point</li></ul><blockquote><p>Quoted.</p></blockquote>" \
+        "<table><tr><th>key</th><td>value</td></tr></table>"
+    whole = "A heading of the page first point second point Quoted. key value"
+    for wrap in ("<div>{}</div>", "<section><div>{}</div></section>", "{}"):
+        page = "<body><nav>menu</nav>" + wrap.format(beside + f"<p>{said}</p>" * 10) + "<footer>foot</footer></body>"
+        assert pagetext.main_text(page) == " ".join([whole] + [said.strip()] * 10)
+    lists = f"<div><p>Intro.</p><ul>{f'<li>{said}</li>' * 5}</ul><p>Outro.</p></div>"
+    assert pagetext.main_text(lists) == " ".join(["Intro."] + [said.strip()] * 5 + ["Outro."])
+
+
 def test_mixing_targets(spark, docs):
     texts = [(i, "w " * (i % 7 + 1) if i % 11 else None) for i in range(300)]
     df = docs(texts, {i: None if i % 50 == 0 else f"s{i % 5}" for i in range(300)})
