@@ -9,7 +9,10 @@ blocks around them, never one text block, list, table or quote by itself)
 then gives the page's text: all its blocks, so short paragraphs and headings
 inside an article are not lost, less those under elements that are never
 article text (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, reader comments).
+scripts, styles, reader comments).  Some of these are known by words in
+class, id or role only.  Such a word excludes what stands beside the text,
+never an article or main element itself or what wraps the text
+(``class="has-sidebar"``): see :func:`_wrappers`.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by one space.  Broken markup is read
@@ -51,25 +54,26 @@ NEVER_NAMED = frozenset(("ad ads advert advertisement adverts banner breadcrumb
                          "consent disqus footer header masthead menu nav navbar navigation newsletter notice notices popup "
                          "promo related search share sharing sidebar signup social sponsor sponsored subscribe toolbar "
                          "widget complementary contentinfo alert dialog").split())
+#: Of these, the words for readers' comments, which may well hold articles and long texts.
+REPLIES = frozenset("comment comments disqus".split())
 ROOTS = frozenset(("article", "main"))
+#: Path id, text, allowed but for names, innermost named element, named element around the outermost article or main.
+Block = tuple[int, str, bool, int, int]
 #: Elements that are parts of a text: never its container.
 PARTS = frozenset("p pre h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote figure figcaption table thead tbody tfoot tr".split())
 CLOSED_BY_BLOCK = frozenset(("p",))
 SCOPES = frozenset("html body article main section div td th table ul ol blockquote".split())
 
 
-def _never(name: str, attrs: str) -> bool:
-    if name in NEVER:
-        return True
-    if attrs:
-        for m in _NAMES.finditer(attrs):
-            if not NEVER_NAMED.isdisjoint(_SPLIT.split((m[1] or m[2] or m[3] or "").lower())):
-                return name not in ("html", "body")
-    return False
+def _named(name: str, attrs: str) -> frozenset[str]:
+    """The words in an element's names that exclude it, unless it holds the text."""
+    if not attrs or name in ROOTS or name in ("html", "body"):
+        return frozenset()
+    return NEVER_NAMED.intersection(w for m in _NAMES.finditer(attrs) for w in _SPLIT.split((m[1] or m[2] or m[3] or "").lower()))
 
 
-def blocks_of(page: str) -> list[tuple[int, str, bool]]:
-    """(path id, text, allowed) per block in page order, and the path table.
+def blocks_of(page: str) -> list[Block]:
+    """The blocks in page order.
 
     Paths are interned as (parent, tag) pairs, so deep nesting costs one step a tag.
     """
@@ -81,9 +85,11 @@ def _parse(page: str):
     parents: list[int] = [-1]
     names: list[str] = [""]
     root_of: list[int] = [-1]  # the innermost article or main on the path
-    stack: list[tuple[str, int, bool]] = [("", 0, True)]  # name, path id, allowed
+    # Elements with an excluding name: (the one around it, its words).
+    named: list[tuple[int, frozenset[str]]] = [(-1, frozenset())]
+    stack: list[tuple[str, int, bool, int, int]] = [("", 0, True, 0, -1)]  # name, then as in a block
     n_open: dict[str, int] = {}
-    blocks: list[tuple[int, str, bool]] = []
+    blocks: list[Block] = []
     buf: list[str] = []
 
     def flush() -> None:
@@ -92,10 +98,10 @@ def _parse(page: str):
             buf.clear()
             if text:
                 at = next(s for s in reversed(stack) if s[0] not in INLINE)
-                blocks.append((at[1], text, stack[-1][2]))
+                blocks.append((at[1], text, *stack[-1][2:]))
 
     def pop_to(i: int) -> None:
-        for name, _, _ in stack[i:]:
+        for name, *_ in stack[i:]:
             n_open[name] -= 1
         del stack[i:]
 
@@ -129,7 +135,7 @@ def _parse(page: str):
                 while stack[i][0] != name:
                     i -= 1
                 if block or all(s[0] in INLINE for s in stack[i:]):
-                    if not block and stack[i][2] != (stack[i - 1][2] if i else True):
+                    if not block and stack[i][2:] != stack[i - 1][2:]:
                         flush()
                     pop_to(i)
             continue
@@ -152,21 +158,32 @@ def _parse(page: str):
             parents.append(parent)
             names.append(name)
             root_of.append(path if name in ROOTS else root_of[parent])
-        allowed = stack[-1][2] and not _never(name, m[3])
-        if not block and allowed != stack[-1][2]:
+        allowed = stack[-1][2] and name not in NEVER
+        within, outside = stack[-1][3:]
+        if name in ROOTS and outside < 0:
+            outside = within
+        if allowed and (words := _named(name, m[3])):
+            named.append((within, words))
+            within = len(named) - 1
+        if not block and (allowed, within) != stack[-1][2:4]:
             flush()
         if m[3].endswith("/") and not block:
             continue
-        stack.append((name, path, allowed))
+        stack.append((name, path, allowed, within, outside))
         n_open[name] = n_open.get(name, 0) + 1
     flush()
-    return blocks, parents, root_of, names
+    return blocks, parents, root_of, names, named
 
 
-def content_paths(blocks: list[tuple[int, str, bool]]) -> set[int]:
+def content_paths(blocks: list[Block]) -> set[int]:
     """The paths whose smoothed, fused text and punctuation ratios pass the threshold."""
+    return _content(blocks)[0]
+
+
+def _content(blocks: list[Block]) -> tuple[set[int], float]:
+    """The content paths and the threshold."""
     stats: dict[int, list[int]] = {}
-    for path, text, _ in blocks:
+    for path, text, *_ in blocks:
         s = stats.setdefault(path, [0, 0, 0])
         s[0] += 1
         s[1] += len(text)
@@ -185,25 +202,69 @@ def content_paths(blocks: list[tuple[int, str, bool]]) -> set[int]:
     score = [math.sqrt(r * f) for r, f in zip(raw, fused, strict=True)]
     mean = sum(score) / len(score)
     threshold = math.sqrt(sum((s - mean) ** 2 for s in score) / len(score))
-    best = max(score)
-    return {p for p, s in zip(order, score, strict=True) if s >= min(threshold, best)}
+    least = min(threshold, max(score))
+    return {p for p, s in zip(order, score, strict=True) if s >= least}, least
+
+
+def _wrappers(blocks: list[Block], named: list[tuple[int, frozenset[str]]]) -> set[int]:
+    """The named elements that hold the page's text, so their names do not exclude.
+
+    The text is the blocks that pass the threshold by themselves, names
+    ignored, inside article or main where there is one (all its blocks if
+    none passes).  What wraps an article or main with such a block is kept, and what holds more than half
+    of the text; elements named for readers' comments, and any others, only
+    where no text would be left: then those around the least wrapped text.
+    """
+    content, least = _content(blocks)
+    text = [b for b in blocks if b[0] in content and len(b[1]) * (len(_PUNCT.findall(b[1])) + 1) >= least]
+    rooted = [b for b in text if b[4] >= 0] or [b for b in blocks if b[4] >= 0]
+    text = rooted or text or [b for b in blocks if b[0] in content]
+
+    def line(e: int) -> set[int]:
+        out = set()
+        while e > 0:
+            out.add(e)
+            e = named[e][0]
+        return out
+
+    size: dict[int, int] = {}
+    for b in text:
+        size[b[3]] = size.get(b[3], 0) + len(b[1])
+    around = {e: line(e) for e in size}
+    held: dict[int, int] = {}
+    for e, n in size.items():
+        for x in around[e]:
+            held[x] = held.get(x, 0) + n
+    half = sum(size.values()) / 2
+    kept = {e for e, n in held.items() if n > half}.union(*[line(e) for e in {b[4] for b in text}])
+    kept = {e for e in kept if not named[e][1] <= REPLIES}
+    if not any(kept >= x for x in around.values()):
+        fewest = min(len(x - kept) for x in around.values())
+        kept = kept.union(*[x for x in around.values() if len(x - kept) == fewest])
+    return kept
 
 
 def main_text(page: str | None) -> str:
     """The page's article as one line of text."""
     if not page:
         return ""
-    blocks, parents, root_of, names = _parse(page)
+    blocks, parents, root_of, names, named = _parse(page)
     allowed = [b for b in blocks if b[2]]
     if not allowed:
         return ""
+    if len(named) > 1:
+        kept = _wrappers(allowed, named)
+        out_of = [False]  # excluded by a name of its own or around it
+        for e, (outer, _) in enumerate(named[1:], 1):
+            out_of.append(out_of[outer] or e not in kept)
+        allowed = [b for b in allowed if not out_of[b[3]]]
     content = content_paths(allowed)
     roots = {root_of[p] for p in content if root_of[p] >= 0}
     if roots:
         inside = lambda p: root_of[p] in roots or _above(p, roots, parents)
     else:
         inner: set[int] = set()  # the paths with blocks below them
-        for p in {path for path, _, _ in allowed}:
+        for p in {path for path, *_ in allowed}:
             while (p := parents[p]) >= 0 and p not in inner:
                 inner.add(p)
         above = {p if p in inner and names[p] not in PARTS else _holder(p, parents, names) for p in content}
@@ -211,7 +272,7 @@ def main_text(page: str | None) -> str:
         inside = lambda p: _above(p, container, parents)
     seen: dict[int, bool] = {}
     out = []
-    for path, text, _ in allowed:
+    for path, text, *_ in allowed:
         if path not in seen:
             seen[path] = inside(path)
         if seen[path]:

@@ -312,6 +312,26 @@ def test_pages_without_article_keep_what_stands_beside_paragraphs():
     assert pagetext.main_text(lists) == " ".join(["Intro."] + [said.strip()] * 5 + ["Outro."])
 
 
+def test_pages_names_of_wrappers_do_not_exclude_the_text():
+    said = "A sentence, with marks. Another one, longer; and so on. " * 8
+    paras, whole = f"<p>{said}</p>" * 4, " ".join([said.strip()] * 4)
+    side = "<div id='sidebar'><p>Links, here.</p></div><div class='comments'><p>Reply.</p></div>"
+    for names in ("content-sidebar-wrap", "has-sidebar", "no-sidebar", "post comments-open", "search-result"):
+        assert pagetext.main_text(f"<body><div class='{names}'><div>{paras}</div>{side}</div></body>") == whole
+        assert pagetext.main_text(f"<body><div class='{names}'><article>{paras}</article>{side}</div></body>") == whole
+        assert pagetext.main_text(f"<body><article class='{names}'>{paras}{side}</article></body>") == whole
+    results = f"<div class='search-result'><article>{paras}</article></div>" * 3
+    assert pagetext.main_text(f"<body>{results}</body>") == " ".join([whole] * 3)
+    # What stands beside the text stays out.
+    replies = f"<div id='comments'><article class='comment'>{paras * 5}</article></div>"
+    assert pagetext.main_text(f"<body><div class='has-sidebar'><article>{paras}</article>{replies}</div></body>") == whole
+    assert pagetext.main_text(f"<body><div>{paras}</div><div id='comments'><div>{paras * 5}</div></div></body>") == whole
+    assert pagetext.main_text(f"<body><div class='ad'>{said}</div><article><p>Short.</p></article></body>") == "Short."
+    for page in ("<div><div>{}</div>{}</div>", "<main><div>{}</div>{}</main>"):
+        aside = f"<div id='sidebar'><div><p>{said}</p></div></div>"
+        assert pagetext.main_text("<body>" + page.format(paras, aside) + "</body>") == whole
+
+
 def test_mixing_targets(spark, docs):
     texts = [(i, "w " * (i % 7 + 1) if i % 11 else None) for i in range(300)]
     df = docs(texts, {i: None if i % 50 == 0 else f"s{i % 5}" for i in range(300)})
