@@ -14,8 +14,10 @@ product is the smallest distance, which is what projections preserve.
 Scale: vectors are dealt to shards by a hash, queries to chunks; a shard and a
 chunk of bounded size meet in one task (the stated query set against all
 rows, in blocks).  Each task returns k rows a query, merged exactly.  Equal
-vectors are indexed once, with the k + 1 smallest ids, which is all that can
-ever be among the nearest, so thousands of copies cost one verification.
+vectors are indexed once, with so many of the smallest ids that k are left
+without the rows of any one id (k + 1 where ids are unique, 2 k at most), which
+is all that can ever be among the nearest, so thousands of copies cost one
+verification.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite
 components take no part; vectors of another dimension never meet; a row with a
@@ -57,6 +59,14 @@ def _inner(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return acc
 
 
+def _smallest(ids: np.ndarray, k: int) -> np.ndarray:
+    """Of sorted ids, those that hold the k smallest once any one id is left out."""
+    if len(ids) <= k + 1:
+        return ids
+    ids = ids[np.arange(len(ids)) - np.searchsorted(ids, ids) < k]
+    return ids[:k + int(np.unique(ids[:k], return_counts=True)[1].max())] if k else ids[:1]
+
+
 class Shard:
     """Sorted projections of distinct vectors, each with its smallest ids."""
 
@@ -68,8 +78,10 @@ class Shard:
         self.vectors = vectors[first]
         by = np.argsort(which, kind="stable")
         cut = np.searchsorted(which[by], np.arange(len(first) + 1))
-        self.ids = [ids[by[cut[i]:cut[i + 1]]][:k + 1] if cut[i + 1] - cut[i] > k + 1 else ids[by[cut[i]:cut[i + 1]]]
-                    for i in range(len(first))]
+        self.ids = [_smallest(ids[by[cut[i]:cut[i + 1]]], k) for i in range(len(first))]
+        # The classes of ids that stand in several rows.
+        several = np.flatnonzero((ids[1:] == ids[:-1])) if len(ids) > 1 else []
+        self.of = {i: np.unique(which[np.searchsorted(ids, i):np.searchsorted(ids, i, "right")]) for i in np.unique(ids[several])}
         self.k = k
         rng = np.random.default_rng(seed)
         dim = vectors.shape[1]
@@ -96,6 +108,10 @@ class Shard:
         rough = np.full(n, -np.inf)  # scores but for the order of addition
         everything = None
         seen = np.zeros(n, bool)
+        mine, alone = {}, np.zeros(n, bool)  # rows of a repeated own id; classes of nothing else
+        for i in self.of.get(own, ()):
+            mine[i] = int((self.ids[i] == own).sum())
+            alone[i] = mine[i] == len(self.ids[i])
         counts = np.zeros(n, np.int64)
         low, high = here.copy(), here.copy()
         while True:
@@ -116,8 +132,8 @@ class Shard:
                 seen[new] = True
             if whole:
                 break
-            known = np.flatnonzero(seen)
-            have = sum(min(len(self.ids[i]), self.k + 1) for i in known[:self.k + 1]) if len(known) <= self.k else self.k + 1
+            known = np.flatnonzero(seen & ~alone)
+            have = sum(min(len(self.ids[i]) - max(mine.get(i, 0) - 1, 0), self.k + 1) for i in known[:self.k + 1]) if len(known) <= self.k else self.k + 1
             if have > self.k:
                 # One more than k classes: the query's own row may be among them.
                 most = min(self.k + 1, len(known))
@@ -126,7 +142,7 @@ class Shard:
                 if far == 0 or math.erf(radius / (far * math.sqrt(2))) >= SURE:
                     break
             radius *= WIDEN
-        known = np.flatnonzero(seen)
+        known = np.flatnonzero(seen & ~alone)
         if len(known) > self.k + 1:
             # Rounding moves a score by far less than this.
             room = 1e-9 * math.sqrt(self.longest2 * q2)

@@ -217,6 +217,19 @@ def test_vector_recall_and_ties(spark):
     assert copies == list(range(10_000, 10_020)) or copies[0] == 20_020
 
 
+def test_vectors_of_repeated_ids():
+    rng = np.random.default_rng(3)
+    far = rng.standard_normal((300, 8)) * 0.1
+    one = rng.standard_normal(8)
+    ids = np.concatenate([np.full(21, 20), np.arange(1001, 1031), np.arange(2000, 2300), np.full(30, 20)])
+    vectors = np.vstack([np.tile(one, (51, 1)), far, one + rng.standard_normal((30, 8)) * 0.01])
+    found = ann.Shard(ids, vectors, 20).search(one, 20)
+    assert [v for _, v in found] == list(range(1001, 1021))
+    alone = ann.Shard(ids[[*range(21), *range(51, 381)]], vectors[[*range(21), *range(51, 381)]], 20).search(one, 20)
+    assert len(alone) == 20 and all(v >= 2000 for _, v in alone)
+    assert {v for _, v in ann.Shard(ids, vectors, 20).search(one, 1001)} == {20}
+
+
 def test_toxicity_held_out(spark):
     got = queries.op7_toxicity(spark, "/root/testdata/sf0.1").toPandas()
     labels = duckdb.sql("select doc_id, toxic from '/root/testdata/sf0.1/labels.parquet'").df()
