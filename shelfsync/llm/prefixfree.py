@@ -14,10 +14,15 @@ is each document's sequence of them.
    trigger and digest: the order of the corpus' phrases.  A phrase met before
    in an earlier document is removed whole.  Repetitive text ends here.
 2. Dictionary: a trigger with several phrases (the edges of repeated
-   passages) compares them window by window: the sorted suffixes of those
-   phrases, cut at LENGTH bytes, tell which windows occur in an earlier document.
+   passages) compares them window by window: a table of their LENGTH-byte
+   windows tells which occur in an earlier document.
 3. Texts: the removed intervals come back to their document and are merged.
 
+No suffix arrays of dictionary and parse are built: repeats have one fixed
+length, and every window of that length lies inside one phrase, so grouping
+by trigger and comparing windows decides each without an order of suffixes.
+The parse's order is needed only as each phrase's place.
+
 Scale: one row of four numbers per about 18 bytes of text is shuffled, then
 only repeated phrases; texts travel compressed, and only to join their own
 verdicts.  Groups stream in sorted order: a trigger's state holds only the
