@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfsync.llm import ann, bm25, chat, linechunks, mixing, neardup, pagetext, prefixfree, spm, toxicity
+from shelfsync.llm import (ann, bm25, chat, collocations, hardneg, linechunks, mixing, neardup, pagetext, prefixfree, spm, toxicity,
+                           winnow)
 from shelfsync.llm.common import table
 
 #: Fixed value: the text of conversation -1, control strings that a template must escape.
@@ -61,12 +62,31 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linechunks.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hardneg.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_prefix_targets, op2_mix_sources, op3_near_duplicates, op4_sentencepiece,
                             op5_nearest_vectors, op6_bm25_top_k, op7_toxicity, op8_substring_dedup, op9_page_text,
-                            op10_line_chunks)}
+                            op10_line_chunks, op11_collocations, op12_hard_negatives, op13_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op2_mix_sources": mixing.MIX_SQL.format(docs="documents"),
     "op10_line_chunks": linechunks.LINES_SQL.format(docs="documents"),
+    "op11_collocations": collocations.COLLOCATIONS_SQL.format(docs="documents"),
+    "op12_hard_negatives": hardneg.HARD_NEGATIVES_SQL.format(
+        vectors="(SELECT vec_id, embedding, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM embeddings)",
+        anchors="a.vec_id % 100 = 0"),
+    "op13_decontamination": winnow.DECONTAMINATE_SQL.format(docs="documents", bench="benchmark"),
 }
