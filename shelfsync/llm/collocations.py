@@ -39,7 +39,9 @@ from shelfsync.llm.common import map_arrow, stage
 ORDER, MIN_COUNT, TOP = 3, 10, 2000
 #: A candidate is dropped where a longer one holds it with at least this percentage of its occurrences.
 HELD_PERCENT = 50
-FILTER_BITS = 27
+FILTER_BITS = 26
+#: The table is built in parts of so many bits.
+PART_BITS = 15
 #: Words of a step of work (at most 2 ** 20, so that numbers of words stay below 2 ** 21), and bytes of a text split at a time.
 STEP, SLICE = 1 << 20, 4 << 20
 #: A-Z are folded, these end a piece (written as a full stop), a tab parts words as a space does.
@@ -184,15 +186,30 @@ def _window_counts(seen, size: int, slices: int):
 _PLACES = [f"w{k + 1}" for k in range(ORDER)]
 
 
+def _part_of_table(size: int):
+    def run(rows):
+        import pyarrow as pa
+
+        at = np.bincount(rows.column("at").to_numpy(), minlength=size).astype(bool)
+        table = np.packbits(at, bitorder="little").tobytes()
+        return pa.table([rows.column("part").slice(0, 1), pa.array([table], pa.binary())], names=["part", "bits"])
+
+    return run
+
+
 def frequent_pairs(texts: DataFrame) -> bytes:
     """The table of bits of the pairs that occur ``MIN_COUNT`` times or more (by lang)."""
     pairs = texts.transform(map_arrow, _pair_counts(STEP, SLICE), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    bits = min(FILTER_BITS, PART_BITS)
     bit = F.col("h").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    rows = (pairs.filter(F.col("n") >= MIN_COUNT).select(F.shiftright(bit, 6).alias("at"), bit.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-            .groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toPandas())  # 2 ** 21 rows at most
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    out[rows["at"].to_numpy()] = rows["bits"].to_numpy()
-    return out.tobytes()
+    known = pairs.filter(F.col("n") >= MIN_COUNT).select(F.shiftright(bit, bits).alias("part"), bit.bitwiseAND(F.lit((1 << bits) - 1)).alias("at"))
+    # At most 2 ** (FILTER_BITS - PART_BITS) parts of a few kilobytes: the table is all that comes to the driver.
+    parts = known.distinct().groupBy("part").applyInArrow(_part_of_table(1 << bits), "part long, bits binary").collect()
+    size = (1 << bits) // 8
+    out = bytearray((1 << FILTER_BITS) // 8)
+    for r in parts:
+        out[r["part"] * size:(r["part"] + 1) * size] = r["bits"]
+    return bytes(out)
 
 
 def phrase_counts(documents: DataFrame) -> DataFrame:
