@@ -6,13 +6,14 @@ windows are counted.  Spark's ROLLUP over (lang, w1, w2, w3) then sums them to
 all their prefixes at once: the count of a phrase is the sum over the windows
 that begin with it, so no shorter n-grams are ever made.
 
-Scale: most windows hold a word pair that is too rare to lie in any candidate
-(a phrase of ``MIN_COUNT`` occurrences has pairs of at least as many).  Pairs
-are counted first by a 64-bit hash, pre-aggregated in the tasks, and those of
-``MIN_COUNT`` or more set one bit of a table of fixed size (2 ** ``FILTER_BITS``
-bits).  A window is padded from the first pair whose bit is not set.  Hashes
+Scale: most windows hold words that are too rare together to lie in any
+candidate.  What is too rare is found level by level: runs of two words are
+counted by a 64-bit hash, pre-aggregated in the tasks, and those of
+``MIN_COUNT`` or more set one bit each of a table of fixed size
+(2 ** ``FILTER_BITS`` bits); then so are runs of three whose two pairs are set.
+A window is padded from the first word with which its bit is not set.  Hashes
 that clash only let a window stay longer, so counts stay exact at every size;
-where far more pairs are frequent than the table has bits, it just spares
+where far more runs are frequent than a table has bits, it just spares
 less.  Tasks add up their own windows before the shuffle, and ROLLUP
 pre-aggregates again, so a word, pair or line that holds a third of all rows
 is one row a task.  A text streams through its task in slices.
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from shelfsync.llm.common import map_arrow, stage
+from shelfsync.llm.common import map_arrow, release, stage
 
 ORDER, MIN_COUNT, TOP = 3, 10, 2000
 #: A candidate is dropped where a longer one holds it with at least this percentage of its occurrences.
@@ -91,25 +92,28 @@ class Step:
 
         self.ids, self.langs, self.names, self.lead = ids, langs, names, lead
         self.words = list(vocabulary)
-        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        self.hashes = _mix(np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words)))
         self.lang_hashes = np.array([xxhash.xxh64_intdigest(x) for x in names], np.uint64)
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each word but the last: the hash of it, its follower and its lang; whether both are words."""
-        a, b = self.ids[:-1], self.ids[1:]
+    def runs(self, tables: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For runs of 1 to ``most`` words: the hash of the run that begins at
+        each place, and whether it may be frequent as far as ``tables`` tell."""
         with np.errstate(over="ignore"):
-            h = _mix(self.hashes[a] * np.uint64(3) + _mix(self.hashes[b]) + self.lang_hashes[self.langs[:-1]])
-        return h, (a > 1) & (b > 1)
-
-    def windows(self, seen: np.ndarray) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+            h, may = self.hashes[self.ids] + self.lang_hashes[self.langs], self.ids > 1
+            yield h, may
+            for n in range(2, most + 1):
+                h = _mix(h[:-1] * np.uint64(3) + self.hashes[self.ids[n - 1:]])
+                may = may[:-1] & may[1:]
+                if n - 2 < len(tables):
+                    bit = h & np.uint64(64 * len(tables[n - 2]) - 1)
+                    may &= ((tables[n - 2][bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
+                yield h, may
+
+    def windows(self, tables: list[np.ndarray]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
         """Of each lang: the distinct windows (a column of word numbers a place, 0: padded) and their counts."""
-        h, both = self.pairs()
-        bit = h & np.uint64(64 * len(seen) - 1)
-        kept = both & ((seen[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
-        code, stays = self.ids[:self.lead].astype(np.int64), np.ones(self.lead, bool)
-        for k in range(1, ORDER):
-            stays = stays & kept[k - 1:k - 1 + self.lead]
-            code = (code << 21) | np.where(stays, self.ids[k:k + self.lead], 0)
+        code = np.zeros(self.lead, np.int64)
+        for k, (_, may) in enumerate(self.runs(tables, ORDER)):
+            code = (code << 21) | np.where(may[:self.lead], self.ids[k:k + self.lead], 0)
         word = self.ids[:self.lead] > 1
         for i, name in enumerate(self.names):
             distinct, n = np.unique(code[word & (self.langs[:self.lead] == i)], return_counts=True)
@@ -152,27 +156,28 @@ def steps(batches: Iterator, size: int, slices: int) -> Iterator[Step]:
         yield from step(True)
 
 
-def _pair_counts(size: int, slices: int):
+def _run_counts(n: int, tables: list, size: int, slices: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        known = [np.frombuffer(t.value, np.uint64) for t in tables]
         for s in steps(batches, size, slices):
-            h, both = s.pairs()
-            # The pairs among the words kept for the next step are counted there.
-            pairs, n = np.unique(h[:s.lead][both[:s.lead]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+            *_, (h, may) = s.runs(known, n)
+            # The runs that begin among the words kept for the next step are counted there.
+            runs, count = np.unique(h[:s.lead][may[:s.lead]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(runs.view(np.int64)), pa.array(count.astype(np.int64))], names=["h", "n"])
 
     return run
 
 
-def _window_counts(seen, size: int, slices: int):
+def _window_counts(tables: list, size: int, slices: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        bits = np.frombuffer(seen.value, np.uint64)
+        known = [np.frombuffer(t.value, np.uint64) for t in tables]
         for s in steps(batches, size, slices):
             words = pa.array(s.words, pa.binary()).cast(pa.string())
-            for lang, places, n in s.windows(bits):
+            for lang, places, n in s.windows(known):
                 for at in range(0, len(n), 1 << 17):
                     part = slice(at, at + (1 << 17))
                     cols = [words.take(pa.array(p[part], mask=p[part] == 0)) for p in places]
@@ -197,12 +202,13 @@ def _part_of_table(size: int):
     return run
 
 
-def frequent_pairs(texts: DataFrame) -> bytes:
-    """The table of bits of the pairs that occur ``MIN_COUNT`` times or more (by lang)."""
-    pairs = texts.transform(map_arrow, _pair_counts(STEP, SLICE), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+def frequent_runs(texts: DataFrame, n: int, tables: list) -> bytes:
+    """The table of bits of the runs of ``n`` words that occur ``MIN_COUNT``
+    times or more (by lang); ``tables`` are those of shorter runs."""
+    runs = texts.transform(map_arrow, _run_counts(n, tables, STEP, SLICE), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     bits = min(FILTER_BITS, PART_BITS)
     bit = F.col("h").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    known = pairs.filter(F.col("n") >= MIN_COUNT).select(F.shiftright(bit, bits).alias("part"), bit.bitwiseAND(F.lit((1 << bits) - 1)).alias("at"))
+    known = runs.filter(F.col("n") >= MIN_COUNT).select(F.shiftright(bit, bits).alias("part"), bit.bitwiseAND(F.lit((1 << bits) - 1)).alias("at"))
     # At most 2 ** (FILTER_BITS - PART_BITS) parts of a few kilobytes: the table is all that comes to the driver.
     parts = known.distinct().groupBy("part").applyInArrow(_part_of_table(1 << bits), "part long, bits binary").collect()
     size = (1 << bits) // 8
@@ -217,8 +223,11 @@ def phrase_counts(documents: DataFrame) -> DataFrame:
     occur ``MIN_COUNT`` times or more, and with size 0 each lang's count of all words."""
     spark = documents.sparkSession
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    seen = spark.sparkContext.broadcast(frequent_pairs(texts))
-    windows = texts.transform(map_arrow, _window_counts(seen, STEP, SLICE),
+    tables: list = []
+    for n in range(2, ORDER + 1):
+        tables.append(spark.sparkContext.broadcast(frequent_runs(texts, n, tables)))
+        release(spark)  # the counts are shuffled once each; their files go before the next are written
+    windows = texts.transform(map_arrow, _window_counts(tables, STEP, SLICE),
                               "lang string, " + ", ".join(f"{w} string" for w in _PLACES) + ", n long")
     sums = windows.rollup("lang", *_PLACES).agg(F.sum("n").alias("f"), F.grouping_id().alias("gid"))
     size = F.lit(None).cast("int")
