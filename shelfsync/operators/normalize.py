@@ -39,7 +39,8 @@ def has_promo(promo: Column, price: Column) -> Column:
 
 def stock_value(c: Column | None, dtype) -> Column:
     """``Number(x) || 0`` as INT; NaN → 0.  A fractional stock is truncated and
-    an out-of-range one becomes NULL — both are counted by the quality report."""
+    an out-of-range one becomes NULL — both are counted by the quality report,
+    the latter by the run record too."""
     if c is None:
         return F.lit(0).cast("int")
     n = js_number(c, dtype)
@@ -47,6 +48,16 @@ def stock_value(c: Column | None, dtype) -> Column:
     return F.when(F.abs(n) < _INT_LIMIT, n.cast("int"))
 
 
+def stock_lost(classified: DataFrame) -> Column:
+    """Processed rows whose stock no INT holds (see :func:`stock_value`), as a count to observe."""
+    c, dtype = _role(classified, "stock")
+    if c is None:
+        return F.lit(0).cast("bigint").alias("n_stock_lost")
+    n = js_number(c, dtype)
+    lost = F.col("id").isNotNull() & F.col("process") & ~F.isnan(n) & (F.abs(n) >= _INT_LIMIT)
+    return F.sum(F.when(lost, 1).otherwise(0)).cast("bigint").alias("n_stock_lost")
+
+
 def flag_value(c: Column | None, dtype) -> Column:
     """``x === 1``: strict, so the string '1' is false.  A boolean column is
     taken as the 0/1 number the source driver would have delivered."""

@@ -1,7 +1,8 @@
 """Registered queries: one per operator group, each over whole driver tables.
 
-``QUERIES[name](spark, sf_dir)`` returns a lazy DataFrame; ``ORACLE[name]``
-is DuckDB SQL over the same tables that must give the same rows.
+``QUERIES[name](spark, sf_dir)`` returns a DataFrame, lazy but for the queries
+of streams and stored tables, which run their commits while they are built;
+``ORACLE[name]`` is DuckDB SQL over the same tables that must give the same rows.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from shelfsync.plans import oracle as sql
 from shelfsync.plans.sync import FunctionEmbedder, TableEmbedder, outcome
 from shelfsync.session import scratch_path
 from shelfsync.sources.scan import keyed_source, mapped_scan, source_count, spread
+from shelfsync.sources.store import TableStore
 from shelfsync.streaming.stream import run_stream_to_end
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -310,6 +312,36 @@ def state_merge(spark, sf_dir):
     return merge.merge_state(fx.prior_state(keyed), _part_outcome(spark, sf_dir), fx.AS_OF)
 
 
+# ---------------------------------------------------------------- G6
+
+@register("versions_merge", MERGE_SQL +
+          f"SELECT 0 AS version, * FROM ({sql.target_view('SELECT * FROM tgt')}) "
+          f"UNION ALL SELECT 1 AS version, * FROM ({sql.target_view(sql.merged_sql('SELECT * FROM outc'))})")
+def versions_merge(spark, sf_dir):
+    """Two commits, each of all tables at once: what the run before left, and
+    the quick sync's changes on top; both read back by their version."""
+    store = TableStore(spark, scratch_path(spark, "versions"), 8)
+    keyed = _part_keyed(spark, sf_dir)
+    before, state = store.with_bucket(fx.prior_target(keyed)), store.with_bucket(fx.prior_state(keyed))
+    first = store.begin()
+    first.write("target", before)
+    first.write("vectors", before)
+    first.write("state", state.withColumn("source_order", F.lit(None).cast("bigint")))
+    first.publish()
+    second = store.begin()
+    out = store.with_bucket(_part_outcome(spark, sf_dir))
+    staged = scratch_path(spark, "versions-outcome")
+    out.write.parquet(staged)
+    out = spark.read.parquet(staged)
+    ups = out.filter(F.col("action") == "upsert")
+    second.write("target", merge.merge_products(store.read("target", 0), out, ("bucket",), with_vectors=False))
+    second.write("vectors", merge.merge_vectors(store.read("vectors", 0), ups, ("bucket",)))
+    second.write("state", merge.merge_state(store.read("state", 0), out, fx.AS_OF, ("bucket",)))
+    second.publish()
+    both = [_target_view(store.read_products(v)).select(F.lit(v).alias("version"), "*") for v in (0, 1)]
+    return both[0].unionByName(both[1])
+
+
 @register("run_summary_full", MERGE_SQL +
           ", m AS (SELECT *, NOT (" + sql.SKIP["quick"] + ") AS process FROM cls), "
           "det AS (SELECT workspace_id, count(*) AS total, "

@@ -1,5 +1,5 @@
 """The sync chain: scan → fingerprint → dedupe → classify → normalise →
-enrich → embed → merge target → merge state → run record.
+enrich → embed → merge vectors, target and state → one commit.
 
 Everything up to the staged change set is one lazy plan per tenant; tenants
 are unioned into one job.  Two materialisations bound the work:
@@ -15,19 +15,22 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shelfsync.config import SyncConfig, as_of_now
 from shelfsync.operators import detect, embed, enrich, merge, report
 from shelfsync.operators.dedupe import dedupe_keys
-from shelfsync.operators.normalize import normalize
+from shelfsync.operators.normalize import normalize, stock_lost
 from shelfsync.schema import KEYS, RUNS
 from shelfsync.session import scratch_path
 from shelfsync.sources.scan import keyed_columns, keyed_source, spread, validate_mapping
-from shelfsync.sources.store import TableStore
+from shelfsync.sources.store import Snapshot, TableStore
 
 
 @dataclass
@@ -168,7 +171,7 @@ def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, de
         label = ",".join(t.config.workspace_id for t, _ in members)
         if observe:
             obs = Observation(f"detect_{uuid.uuid4().hex}")
-            cls = cls.observe(obs, *report.run_exprs()).filter(F.col("id").isNotNull())
+            cls = cls.observe(obs, *report.run_exprs(), stock_lost(cls)).filter(F.col("id").isNotNull())
             observations.append((label, obs))
         keep = ("workspace_id", "id", "fingerprint", "status", "reason", "_order")
         parts.append(normalize(detect.to_process(cls), as_of, members[0][0].config.exact_cents, keep=keep))
@@ -187,14 +190,14 @@ def outcome(processed: DataFrame, titles, embedder, configs: list[SyncConfig] =
     return embed.with_action(rows)
 
 
-def repair_orphans(store: TableStore, rows: DataFrame, workspaces: list[str]) -> DataFrame:
+def repair_orphans(store: TableStore, rows: DataFrame, workspaces: list[str], snapshot: Snapshot | None = None) -> DataFrame:
     """Changed rows of ``workspaces`` whose key is missing from the target
     become ``new`` (reason ``orphan``): they are embedded and upserted
     instead of updating nothing.  Only target partitions touched by changed
     rows are read."""
     b = store.with_bucket(rows)
     changed = b.filter((F.col("status") == "changed") & F.col("workspace_id").isin(workspaces))
-    present = store.touched("target", changed).select(*KEYS, "bucket", F.lit(True).alias("_in_target"))
+    present = store.touched("target", changed, snapshot).select(*KEYS, "bucket", F.lit(True).alias("_in_target"))
     j = b.join(present, [*KEYS, "bucket"], "left")
     orphan = ((F.col("status") == "changed") & F.col("_in_target").isNull()
               & F.col("workspace_id").isin(workspaces))
@@ -203,34 +206,52 @@ def repair_orphans(store: TableStore, rows: DataFrame, workspaces: list[str]) ->
              .drop("_in_target", "bucket"))
 
 
-def source_state(store: TableStore, tenants: list[Tenant]) -> DataFrame:
-    """The state in the buckets that the tenants' source rows fall in."""
-    keys = union_all([keyed_tenant(t).select(*KEYS) for t in tenants])
-    return store.touched("state", store.with_bucket(keys))
+def source_state(store: TableStore, tenants: list[Tenant], snapshot: Snapshot | None = None, prune: bool = True) -> DataFrame:
+    """The state of the tenants' workspaces; with ``prune``, only in the
+    buckets that their source rows fall in."""
+    snapshot = snapshot or store.snapshot()
+    workspaces = {t.config.workspace_id for t in tenants}
+    held = [p for p in snapshot.of("state") if p[0] in workspaces]
+    if held and prune:
+        keys = union_all([keyed_tenant(t).select(*KEYS) for t in tenants])
+        return store.touched("state", store.with_bucket(keys), snapshot)
+    return store.read_partitions("state", held, snapshot)
 
 
-DETECT_KEYS = ("total", "n_rejected", "n_duplicates", "to_process", "skipped", "n_new", "n_changed", "n_hash", "n_stale")
+def in_parallel(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
+    """Run Spark jobs that do not depend on each other at the same time; the
+    first error is raised when all have ended."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        for running in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            running.result()
+
+
+DETECT_KEYS = ("total", "n_stock_lost", "n_rejected", "n_duplicates", "to_process", "skipped", "n_new", "n_changed", "n_hash", "n_stale")
 OUTCOME_KEYS = ("lookups_found", "with_embedding", "data_only", "embed_failed")
 
 
 def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
              embedder, titles=None, sink=None, as_of: dt.datetime | None = None,
              batch_id: int | None = None, stream_id: str | None = None, dedupe: bool = True,
-             spread_sources: int | None = None, prune_state: bool = False) -> dict:
+             spread_sources: int | None = None, prune_state: bool = False, snapshot: Snapshot | None = None) -> dict:
     """One sync run over ``tenants``; returns the run record (a small dict).
 
     Jobs: (1) detect + normalise → staged rows, counts observed;
     (2) enrich + embed → staged outcome, counts observed;
-    (3) vectors of upserts merged into touched vector partitions;
-    (4) target partitions merged and replaced (data columns only);
-    (5) state likewise; (6) run record appended.  Commit order is vectors,
-    target, state, run record.  With nothing to process, only (1) and (6) run.
+    (3) at the same time, into folders of this run's own: vectors of upserts
+    merged into touched vector partitions, target partitions merged (data
+    columns only), state likewise; (4) one commit that publishes all three
+    with the run record and the stream's batch id.  With nothing to write,
+    only (1), (2) and (4) run.  The whole run reads one version of the tables
+    (``snapshot``, by default the newest); if another run changes one of the
+    same workspaces meanwhile, this one raises
+    :class:`~shelfsync.sources.store.CommitConflict` and leaves no trace.
     ``spread_sources`` deals narrow sources out over so many tasks (see
     :func:`~shelfsync.sources.scan.spread`).
 
     ``titles`` is a ``(code, title)`` table or a lookup (see
     :func:`~shelfsync.operators.enrich.look_up_titles`).  ``sink`` is called
-    with the staged upserts and updates after the target and before the state
+    with the staged upserts and updates before the commit
     (e.g. :func:`~shelfsync.sources.jdbc.write_products_jdbc`), so a failing
     destination leaves its rows to the next run.  ``prune_state`` first asks
     which buckets the source rows fall in (one narrow job) and reads the state
@@ -249,7 +270,9 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
     if embedder is None:
         raise ValueError("a sync needs an embedder")
     configs = [t.config for t in tenants]
-    state = (source_state(store, tenants) if prune_state else store.read("state")).drop("bucket")
+    commit = store.begin(snapshot)
+    base = commit.base
+    state = source_state(store, tenants, base, prune_state).drop("bucket")
     processed, observations = plan_changes(tenants, state, as_of, dedupe, observe=True,
                                            spread_sources=spread_sources)
     stage1 = scratch_path(spark, "runs", run_id, "processed")
@@ -264,12 +287,13 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
               "modes": ",".join(sorted({t.config.mode for t in tenants})),
               "workspaces": ",".join(sorted({t.config.workspace_id for t in tenants})),
               **detected, **dict.fromkeys(OUTCOME_KEYS, 0), "orphans": 0}
+    workspaces = [t.config.workspace_id for t in tenants]
     ordered = any(t.config.order_by for t in tenants)
     if detected["to_process"] > 0 or ordered:
         staged = spark.read.parquet(stage1)
         repair = [t.config.workspace_id for t in tenants if t.config.repair_orphans]
         if repair:
-            staged = repair_orphans(store, staged, repair)
+            staged = repair_orphans(store, staged, repair, base)
         stage2 = scratch_path(spark, "runs", run_id, "outcome")
         counts = Observation(f"outcome_{run_id}")
         store.with_bucket(outcome(staged, titles, embedder, configs)).observe(
@@ -284,32 +308,29 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
         moved = merge.written(done)
         write = record["with_embedding"] + record["data_only"] > 0
         pairs, up_pairs = (store.touched_partitions_with(moved, F.col("action") == "upsert") if write or touched else ([], []))
+        jobs, orphans = [], Observation(f"orphans_{run_id}")
         if record["with_embedding"] > 0:
             ups = done.filter(F.col("action") == "upsert")
-            store.replace_partitions("vectors", merge.merge_vectors(
-                store.read_partitions("vectors", up_pairs), ups, ("bucket",)))
-            mark("merge_vectors")
+            vectors = merge.merge_vectors(store.read_partitions("vectors", up_pairs, base), ups, ("bucket",))
+            jobs.append(lambda: store.replace_partitions("vectors", vectors, commit=commit))
         if write:
-            orphans = Observation(f"orphans_{run_id}")
-            merged = merge.merge_products(store.read_partitions("target", pairs), live, ("bucket",),
+            merged = merge.merge_products(store.read_partitions("target", pairs, base), live, ("bucket",),
                                           with_vectors=False, mark_orphans=True)
-            store.replace_partitions("target", merged, finish=lambda d: merge.drop_orphans(d, orphans))
-            record["orphans"] = int(orphans.get.get("orphans") or 0)
-            mark("merge_target")
-            if sink is not None:
-                sink(live)
-                mark("sink")
+            jobs.append(lambda: store.replace_partitions("target", merged, commit=commit,
+                                                         finish=lambda d: merge.drop_orphans(d, orphans)))
         if write or touched:  # nothing to write starts no merge
-            store.replace_partitions("state", merge.merge_state(store.read_partitions("state", pairs), moved, as_of,
-                                                                ("bucket",)))
-            mark("merge_state")
+            advanced = merge.merge_state(store.read_partitions("state", pairs, base), moved, as_of, ("bucket",))
+            jobs.append(lambda: store.replace_partitions("state", advanced, commit=commit))
+        in_parallel(spark, jobs)
+        if write:
+            record["orphans"] = int(orphans.get.get("orphans") or 0)
+        mark("merge")
+        if write and sink is not None:
+            sink(live)
+            mark("sink")
     record["processed"] = record["to_process"]
     record["duration_s"] = round(time.time() - started, 3)
-    store.append_run(spark.createDataFrame([_run_row(record)], RUNS))
-    mark("log")
+    record["version"] = commit.publish({f.name: record.get(f.name) for f in RUNS.fields}, workspaces, stream_id, batch_id)
+    mark("commit")
     record["phases"] = phases
     return record
-
-
-def _run_row(r: dict) -> tuple:
-    return tuple(r.get(f.name) for f in RUNS.fields)

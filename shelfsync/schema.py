@@ -39,7 +39,7 @@ STATE = T.StructType([
 _RUN_FIELDS = [
     ("run_id", T.StringType()), ("batch_id", T.LongType()), ("stream_id", T.StringType()),
     ("as_of", T.TimestampNTZType()), ("modes", T.StringType()), ("workspaces", T.StringType()),
-    *[(n, T.LongType()) for n in ("total", "n_rejected", "n_duplicates", "to_process", "skipped", "n_new", "n_changed", "n_hash",
+    *[(n, T.LongType()) for n in ("total", "n_rejected", "n_duplicates", "n_stock_lost", "to_process", "skipped", "n_new", "n_changed", "n_hash",
                                   "n_stale", "lookups_found", "with_embedding", "data_only",
                                   "embed_failed", "orphans", "processed")],
     ("duration_s", T.DoubleType()),

@@ -3,9 +3,9 @@
 Each micro-batch is a set of source rows; ``foreachBatch`` runs the batch
 sync on it against the same table store, so a stream gives the same tables
 as calling the batch sync on each snapshot in order (T2).  The streaming
-checkpoint tracks which input was consumed; the run log records
-``(stream_id, batch_id)`` after the state commit, so a batch replayed after
-a crash is recognised and skipped (T3).  Scheduling is a trigger choice:
+checkpoint tracks which input was consumed; the batch id is part of the
+commit that publishes the batch's rows, so a batch replayed after a crash
+finds either all of itself or nothing (T3).  Scheduling is a trigger choice:
 ``availableNow`` for an external scheduler, ``processingTime`` for a
 long-running query (T1).
 """
@@ -15,12 +15,12 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfsync.config import SyncConfig
 from shelfsync.plans.sync import Tenant, run_sync
-from shelfsync.sources.store import STREAM_ID_RE, TableStore
+from shelfsync.sources.store import STREAM_ID_RE, Snapshot, TableStore
 
 
 def snapshot_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
@@ -29,29 +29,29 @@ def snapshot_stream(spark: SparkSession, path: str, schema, max_files_per_trigge
             .parquet(path))
 
 
-def already_committed(store: TableStore, stream_id: str, batch_id: int) -> bool:
-    """Whether the run log holds ``batch_id`` of ``stream_id``; only the
-    log's directory for that block of batch ids is listed and read."""
-    block = store.read_run_block(stream_id, batch_id)
-    return block is not None and block.filter(F.col("batch_id") == batch_id).limit(1).count() > 0
+def already_committed(snapshot: Snapshot, stream_id: str, batch_id: int) -> bool:
+    """Whether the version holds ``batch_id`` of ``stream_id``.  Batch ids of
+    one checkpoint rise one by one, so the last one says it."""
+    return snapshot.streams.get(stream_id, -1) >= batch_id
 
 
 def sync_batch(store: TableStore, config: SyncConfig, stream_id: str, *, titles=None, embedder=None,
                as_of_fn=None):
     """The ``foreachBatch`` function: one batch sync per micro-batch.
-    ``stream_id`` names a run-log directory, so it is a plain token."""
+    ``stream_id`` names the stream in the versions, so it is a plain token."""
     if not re.match(STREAM_ID_RE, stream_id):
         raise ValueError(f"stream_id must match {STREAM_ID_RE}: {stream_id!r}")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if already_committed(store, stream_id, batch_id):
+        snapshot = store.snapshot()
+        if already_committed(snapshot, stream_id, batch_id):
             return
         as_of = as_of_fn(batch_id) if as_of_fn else None
         # A micro-batch's parallelism is the stream's own setting (Kafka
         # ``minPartitions``, ``maxFilesPerTrigger``).
         run_sync(spark, store, [Tenant(batch, config)], titles=titles, embedder=embedder, as_of=as_of,
-                 batch_id=batch_id, stream_id=stream_id, prune_state=True)
+                 batch_id=batch_id, stream_id=stream_id, prune_state=True, snapshot=snapshot)
     return run
 
 

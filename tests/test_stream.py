@@ -11,7 +11,7 @@ from shelfsync.operators.embed import hashing_embedder
 from shelfsync.plans import fixtures as fx
 from shelfsync.plans.sync import FunctionEmbedder, Tenant, run_sync
 from shelfsync.sources.store import TableStore
-from shelfsync.streaming.stream import choose_mode, run_stream_to_end, sync_batch
+from shelfsync.streaming.stream import already_committed, choose_mode, run_stream_to_end, sync_batch
 
 from conftest import SF001
 
@@ -52,8 +52,9 @@ def test_replayed_batch_is_skipped(spark, tmp_path):
     fn = sync_batch(store, CFG, "s1", embedder=EMB)
     events = fx.table(spark, SF001, "events")
     fn(events, 0)
+    version = store.snapshot().version
     fn(events, 0)   # replay of the same batch id after a crash
-    assert store.read("runs").count() == 1
+    assert store.read("runs").count() == 1 and store.snapshot().version == version
 
 
 def test_choose_mode():
@@ -67,26 +68,17 @@ def test_choose_mode():
     assert choose_mode(t + 3000 * m, t, t, full_minutes=0) == "quick"
 
 
-def test_run_log_blocks(spark, tmp_path):
-    from shelfsync.schema import RUNS
-    from shelfsync.streaming.stream import already_committed
-
+def test_run_log_and_batches_are_in_the_versions(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "log"), 4)
-    assert not already_committed(store, "s1", 0)           # empty log
-    rec = [None] * len(RUNS.fields)
-    names = [f.name for f in RUNS.fields]
-
-    def row(run_id, stream_id, batch_id):
-        r = list(rec)
-        r[names.index("run_id")], r[names.index("stream_id")], r[names.index("batch_id")] = run_id, stream_id, batch_id
-        return tuple(r)
-
-    store.append_run(spark.createDataFrame([row("a", "s1", 3), row("b", "s1", 1001), row("c", None, None)], RUNS))
-    assert already_committed(store, "s1", 3) and already_committed(store, "s1", 1001)
-    assert not already_committed(store, "s1", 4) and not already_committed(store, "s1", 2001)
-    assert not already_committed(store, "s2", 3)
-    log = store.read("runs")
-    assert sorted((r.run_id, r.stream_id, r.batch_id, r.run_block) for r in log.collect()) == \
-        [("a", "s1", 3, 0), ("b", "s1", 1001, 1), ("c", None, None, None)]
+    assert not already_committed(store.snapshot(), "s1", 0) and store.read("runs").count() == 0
+    for run_id, stream_id, batch_id in (("a", "s1", 3), ("b", "s1", 1001), ("c", None, None)):
+        record = {"run_id": run_id, "stream_id": stream_id, "batch_id": batch_id, "as_of": dt.datetime(2024, 1, 1, 2, 3, 4, 5)}
+        store.begin().publish(record, stream_id=stream_id, batch_id=batch_id)
+    now = store.snapshot()
+    assert already_committed(now, "s1", 3) and already_committed(now, "s1", 1001)
+    assert not already_committed(now, "s1", 1002) and not already_committed(now, "s2", 3)
+    log = TableStore(spark, str(tmp_path / "log"), 4).read("runs")
+    assert sorted((r.run_id, r.stream_id, r.batch_id, r.version, r.as_of.microsecond) for r in log.collect()) == \
+        [("a", "s1", 3, 0, 5), ("b", "s1", 1001, 1, 5), ("c", None, None, 2, 5)]
     with pytest.raises(ValueError):
         sync_batch(store, CFG, "bad/id", embedder=EMB)
