@@ -15,7 +15,7 @@ from shelfsync.config import SyncConfig
 from shelfsync.functions.fingerprint import fingerprint, row_text
 from shelfsync.functions.text import extract_title, page_title, sanitize
 from shelfsync.operators import detect, embed, enrich, merge, quality, report
-from shelfsync.operators.dedupe import dedupe_keys
+from shelfsync.operators.dedupe import dedupe_keys, dedupe_repeated
 from shelfsync.operators.normalize import embedding_text, normalize
 from shelfsync.plans import fixtures as fx
 from shelfsync.plans import oracle as sql
@@ -385,7 +385,7 @@ def _li_keyed(spark, sf_dir) -> DataFrame:
 @register("dedupe_keys", LI_KEYED_SQL + "SELECT workspace_id, id, max(fingerprint) AS fingerprint, "
           "arg_max(r_price, fingerprint) AS price_raw, count(*) AS copies FROM keyed GROUP BY workspace_id, id")
 def q_dedupe_keys(spark, sf_dir):
-    d = dedupe_keys(_li_keyed(spark, sf_dir), count_col="copies")
+    d = dedupe_repeated(_li_keyed(spark, sf_dir), count_col="copies")
     return d.select("workspace_id", "id", "fingerprint", F.col("_r_price").alias("price_raw"), "copies")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shelfsync.config import SyncConfig, as_of_now
 from shelfsync.operators import detect, embed, enrich, merge, report
-from shelfsync.operators.dedupe import dedupe_keys
+from shelfsync.operators.dedupe import dedupe_keys, dedupe_repeated
 from shelfsync.operators.normalize import normalize, stock_lost
 from shelfsync.schema import KEYS, RUNS
 from shelfsync.session import scratch_path
@@ -109,7 +109,7 @@ def _group_key(cfg: SyncConfig, keyed: DataFrame) -> tuple:
 
 
 def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_of: dt.datetime,
-                  dedupe: bool = True, spread_sources: int | None = None, copies: str | None = None) -> DataFrame:
+                  dedupe: bool | str = True, spread_sources: int | None = None, copies: str | None = None) -> DataFrame:
     """Classified rows (lazy, skipped rows included) of tenants planned as one.
 
     Their keyed sources are unioned, spread if asked for,
@@ -118,7 +118,10 @@ def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_
     tenants it holds.  The state is read only for the group's workspaces
     (partition pruning on ``workspace_id``).  A group of one tenant keys on
     ``id`` alone, its workspace being a constant.  ``copies`` names a column
-    for the number of source rows that each row stands for.
+    for the number of source rows that each row stands for.  ``dedupe`` is
+    True (one pass, every row sorted), False (ids are declared unique) or
+    ``"staged"``: the keyed rows are written once to the scratch folder, so
+    that any source is read once, and only rows of repeated keys are sorted.
     """
     cfg = members[0][0].config
     workspaces = [t.config.workspace_id for t, _ in members]
@@ -130,21 +133,26 @@ def group_changes(members: list[tuple[Tenant, DataFrame]], state: DataFrame, as_
     else:
         keys = list(KEYS)
         st = state.filter(F.col("workspace_id").isin(workspaces))
+    resolve = dedupe_keys
+    if dedupe == "staged":
+        staged, schema = scratch_path(keyed.sparkSession, "keyed"), keyed.schema
+        keyed.write.parquet(staged)
+        keyed, resolve = keyed.sparkSession.read.schema(schema).parquet(staged), dedupe_repeated
     if cfg.order_by:
-        keyed = dedupe_keys(keyed, keys=keys, order_by=["_order", "fingerprint"], count_col=copies)
+        keyed = resolve(keyed, keys=keys, order_by=["_order", "fingerprint"], count_col=copies)
     elif dedupe:
-        keyed = dedupe_keys(keyed, keys=keys, count_col=copies)
+        keyed = resolve(keyed, keys=keys, count_col=copies)
     elif copies:
         keyed = keyed.withColumn(copies, F.lit(1))
     return detect.classify(keyed, st, cfg.mode, as_of, cfg.stale_minutes, keys=keys)
 
 
-def tenant_changes(tenant: Tenant, state: DataFrame, as_of: dt.datetime, dedupe: bool = True) -> DataFrame:
+def tenant_changes(tenant: Tenant, state: DataFrame, as_of: dt.datetime, dedupe: bool | str = True) -> DataFrame:
     """Classified rows of one tenant (lazy), skipped rows included."""
     return group_changes([(tenant, keyed_tenant(tenant))], state, as_of, dedupe)
 
 
-def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, dedupe: bool = True,
+def plan_changes(tenants: list[Tenant], state: DataFrame, as_of: dt.datetime, dedupe: bool | str = True,
                  observe: bool = False, spread_sources: int | None = None) -> tuple[DataFrame, list[tuple[str, Observation]]]:
     """Processed, normalised rows of all tenants, and (when ``observe``) one
     ``Observation`` of detection counts per group of tenants.
@@ -232,7 +240,7 @@ OUTCOME_KEYS = ("lookups_found", "with_embedding", "data_only", "embed_failed")
 
 def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
              embedder, titles=None, sink=None, as_of: dt.datetime | None = None,
-             batch_id: int | None = None, stream_id: str | None = None, dedupe: bool = True,
+             batch_id: int | None = None, stream_id: str | None = None, dedupe: bool | str = True,
              spread_sources: int | None = None, prune_state: bool = False, snapshot: Snapshot | None = None) -> dict:
     """One sync run over ``tenants``; returns the run record (a small dict).
 
