@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfsync.config import SyncConfig
 from shelfsync.functions.fingerprint import fingerprint, row_text
 from shelfsync.functions.text import extract_title, page_title, sanitize
-from shelfsync.operators import detect, embed, enrich, merge, quality, report
+from shelfsync.operators import detect, embed, enrich, merge, quality, report, schedule
+from shelfsync.operators.cache import CachedEmbedder, VectorCache
 from shelfsync.operators.dedupe import dedupe_keys, dedupe_repeated
 from shelfsync.operators.normalize import embedding_text, normalize
 from shelfsync.plans import fixtures as fx
 from shelfsync.plans import oracle as sql
 from shelfsync.plans.sync import FunctionEmbedder, TableEmbedder, outcome
 from shelfsync.session import scratch_path
+from shelfsync.sources.bucketed import BucketedTable
 from shelfsync.sources.scan import keyed_source, mapped_scan, source_count, spread
 from shelfsync.sources.store import TableStore
 from shelfsync.streaming.stream import run_stream_to_end
@@ -55,6 +57,10 @@ PART_CTES = (f"src AS ({sql.PART_SRC}), "
              f"cls AS ({sql.classified()})")
 
 
+WS_SQL = ("SELECT regexp_replace(md5(n_name), '(.{8})(.{4})(.{4})(.{4})(.{12})', '\\1-\\2-\\3-\\4-\\5') AS id, "
+          "n_name AS name FROM nation")
+
+
 # ---------------------------------------------------------------- S1, S2
 
 @register("scan_mapped", "SELECT p_partkey, p_name, p_retailprice, p_brand, p_size, p_promo, p_rx "
@@ -312,6 +318,74 @@ def state_merge(spark, sf_dir):
     return merge.merge_state(fx.prior_state(keyed), _part_outcome(spark, sf_dir), fx.AS_OF)
 
 
+@register("merge_bucketed", MERGE_SQL + sql.target_view(sql.merged_sql("SELECT * FROM outc WHERE action = 'upsert'")))
+def merge_bucketed(spark, sf_dir):
+    """The upserts of ``upsert_products`` into a target bucketed on the merge
+    key: only the changes are shuffled, and the next version is read back."""
+    prior = BucketedTable.create(_prior_target(spark, sf_dir), scratch_path(spark, "bucketed"), 8)
+    merged = prior.merge(_part_outcome(spark, sf_dir).filter(F.col("action") == "upsert"))
+    out = _target_view(merged.read())
+    for table in (prior, merged):
+        table.drop()
+    return out
+
+
+# ---------------------------------------------------------------- T1
+
+DUE_NOW = fx.AS_OF
+# Fixed rules of the fixture: which syncs the run log holds (minutes before DUE_NOW), and each workspace's schedule.
+
+
+def _due_log(spark, sf_dir):
+    """A run log over the workspaces of ``nation``: the one of key k had a full run
+    120 k minutes ago (none where k % 6 = 0), a quick one 3 k minutes ago where k is odd."""
+    ws = quality.workspaces(fx.table(spark, sf_dir, "nation")).select(F.col("id").alias("workspace_id"), "name")
+    k = fx.table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("k"))
+    ws = ws.join(k, "name").select("workspace_id", "k")
+
+    def at(minutes):
+        return detect.ts_literal(DUE_NOW) - F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"))
+
+    def log(rows, minutes, mode):
+        return rows.select(at(minutes).alias("as_of"), F.array(F.struct("workspace_id", F.lit(mode).alias("mode"))).alias("tenants"))
+
+    runs = log(ws.filter("k % 6 <> 0"), F.col("k") * 120, "full").unionByName(log(ws.filter("k % 2 = 1"), F.col("k") * 3, "quick"))
+    plan = ws.select("workspace_id", F.when(F.col("k") % 5 == 0, 0).otherwise(15).alias("quick_minutes"),
+                     F.when(F.col("k") % 7 == 0, 0).otherwise(1440).alias("full_minutes"))
+    return runs, plan
+
+
+@register("due_syncs", f"WITH ws AS (SELECT w.id AS workspace_id, n_nationkey AS k FROM ({WS_SQL}) w JOIN nation ON n_name = w.name), "
+          "l AS (SELECT workspace_id, k, CASE WHEN k % 6 <> 0 THEN k * 120 END AS f, CASE WHEN k % 2 = 1 THEN k * 3 END AS q, "
+          "CASE WHEN k % 5 = 0 THEN 0 ELSE 15 END AS qm, CASE WHEN k % 7 = 0 THEN 0 ELSE 1440 END AS fm FROM ws) "
+          "SELECT workspace_id, CASE WHEN f IS NULL THEN 'full' WHEN fm > 0 AND f >= fm THEN 'full' "
+          "WHEN qm > 0 AND COALESCE(q, f) >= qm THEN 'quick' END AS mode, "
+          f"{sql.AS_OF_SQL} - to_minutes(f) AS last_full, {sql.AS_OF_SQL} - to_minutes(q) AS last_quick FROM l")
+def q_due_syncs(spark, sf_dir):
+    return schedule.due_syncs(*_due_log(spark, sf_dir), DUE_NOW)
+
+
+# ---------------------------------------------------------------- M2, M5: vectors kept by content
+
+@register("embed_cached", f"WITH {PART_CTES}, new AS (SELECT id FROM cls WHERE NOT ({sql.SKIP['quick']}) AND NOT known) "
+          "SELECT 1 AS run, id, CAST(64 AS INTEGER) AS embedding_dim, false AS cached FROM new "
+          "UNION ALL SELECT 2, id, CAST(64 AS INTEGER), true FROM new")
+def embed_cached(spark, sf_dir):
+    """New rows embedded through the cache, twice: with other prices, and so
+    another fingerprint, the second run finds every vector in the cache."""
+    cache = VectorCache(spark, scratch_path(spark, "vector-cache"), "hashing-64")
+    out = None
+    for run in (1, 2):
+        src = fx.part_source(spark, sf_dir).withColumn("p_retailprice", F.col("p_retailprice") + run)
+        keyed = keyed_source(src, fx.PART_MAPPING, fx.WS_PART)
+        cls = detect.classify(keyed, fx.prior_state(keyed), "quick", fx.AS_OF, fx.STALE_MINUTES)
+        rows = normalize(detect.new_rows(cls), fx.AS_OF)
+        got = CachedEmbedder(embed.hashing_embedder(64), cache).apply(rows)
+        got = got.select(F.lit(run).alias("run"), "id", F.size("embedding").alias("embedding_dim"), "cached")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 # ---------------------------------------------------------------- G6
 
 @register("versions_merge", MERGE_SQL +
@@ -420,10 +494,6 @@ def tenant_union(spark, sf_dir):
 
 # ---------------------------------------------------------------- S7, A2, Q1–Q3, S8
 
-WS_SQL = ("SELECT regexp_replace(md5(n_name), '(.{8})(.{4})(.{4})(.{4})(.{12})', '\\1-\\2-\\3-\\4-\\5') AS id, "
-          "n_name AS name FROM nation")
-
-
 @register("workspaces_sorted", WS_SQL + " ORDER BY name")
 def workspaces_sorted(spark, sf_dir):
     return quality.workspaces(fx.table(spark, sf_dir, "nation"))

@@ -17,14 +17,14 @@ import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shelfsync.config import SyncConfig, as_of_now
-from shelfsync.operators import detect, embed, enrich, merge, report
+from shelfsync.operators import detect, embed, enrich, merge, report, schedule
 from shelfsync.operators.dedupe import dedupe_keys, dedupe_repeated
 from shelfsync.operators.normalize import normalize, stock_lost
 from shelfsync.schema import KEYS, RUNS
@@ -226,6 +226,19 @@ def source_state(store: TableStore, tenants: list[Tenant], snapshot: Snapshot |
     return store.read_partitions("state", held, snapshot)
 
 
+def run_due(spark: SparkSession, store: TableStore, tenants: list[Tenant], now: dt.datetime | None = None, *,
+            quick_minutes: int = 15, full_minutes: int = 1440, **options) -> dict | None:
+    """One turn of a periodic driver: asks the run log which tenants are due
+    for a quick or a full sync and runs them as one sync, each in its mode
+    (their own ``config.mode`` is not used).  None where nothing is due."""
+    now = now or as_of_now()
+    rows = [(t.config.workspace_id, quick_minutes, full_minutes) for t in tenants]
+    plan = spark.createDataFrame(rows, "workspace_id string, quick_minutes int, full_minutes int")
+    due = {r["workspace_id"]: r["mode"] for r in schedule.due_syncs(store.read("runs"), plan, now).filter("mode IS NOT NULL").collect()}
+    some = [Tenant(t.source, replace(t.config, mode=due[t.config.workspace_id])) for t in tenants if t.config.workspace_id in due]
+    return run_sync(spark, store, some, as_of=now, **options) if some else None
+
+
 def in_parallel(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
     """Run Spark jobs that do not depend on each other at the same time; the
     first error is raised when all have ended."""
@@ -294,6 +307,7 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
     record = {"run_id": run_id, "batch_id": batch_id, "stream_id": stream_id, "as_of": as_of,
               "modes": ",".join(sorted({t.config.mode for t in tenants})),
               "workspaces": ",".join(sorted({t.config.workspace_id for t in tenants})),
+              "tenants": [{"workspace_id": t.config.workspace_id, "mode": t.config.mode} for t in tenants],
               **detected, **dict.fromkeys(OUTCOME_KEYS, 0), "orphans": 0}
     workspaces = [t.config.workspace_id for t in tenants]
     ordered = any(t.config.order_by for t in tenants)

@@ -44,4 +44,5 @@ _RUN_FIELDS = [
                                   "embed_failed", "orphans", "processed")],
     ("duration_s", T.DoubleType()),
 ]
-RUNS = T.StructType([T.StructField(n, t) for n, t in _RUN_FIELDS])
+_TENANT = T.StructType([T.StructField("workspace_id", T.StringType()), T.StructField("mode", T.StringType())])
+RUNS = T.StructType([*(T.StructField(n, t) for n, t in _RUN_FIELDS), T.StructField("tenants", T.ArrayType(_TENANT))])
