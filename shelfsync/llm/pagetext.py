@@ -4,15 +4,20 @@ Each block of text hangs on a root-to-leaf tag path.  Text length and
 punctuation are summed per path and divided by the path's nodes; the two
 ratios are smoothed along the page, fused by their product, and paths whose
 fused ratio passes a threshold are content.  The content's container (the
-article or main element they lie in, else the deepest common ancestor of the
-blocks around them, never one text block, list, table or quote by itself)
-then gives the page's text: all its blocks, so short paragraphs and headings
-inside an article are not lost, less those under elements that are never
-article text (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, reader comments).  Some of these are known by words in
-class, id or role only.  Such a word excludes what stands beside the text,
-never an article or main element itself or what wraps the text
-(``class="has-sidebar"``): see :func:`_wrappers`.
+article or main elements they lie in, else the deepest common ancestor
+element of the blocks that pass the threshold by themselves, never one text
+block, list, table or quote by itself) then gives the page's text: all its
+blocks, so short paragraphs and headings inside an article are not lost, less
+those under elements that are never article text (menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles, reader comments).
+
+Some of these are known by their class, id or role only.  A name never
+excludes a part of a text (a heading, paragraph, list, table, quote; but for a
+list of readers' comments), an article or main element, or what wraps the
+text (``class="has-sidebar"``).  Inside article or main a name must be a whole
+class, not a word of one, an id counts on ``div`` alone (elsewhere ids are
+slugs of headings), and an element that holds content by the ratios stays
+where its names may be an article's subject (``SUBJECTS``): see :func:`_wrappers`.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by one space.  Broken markup is read
@@ -39,7 +44,7 @@ from shelfsync.llm.common import map_arrow
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*|[^>]*)>",
                     re.S)
 _CUT_OFF = re.compile(r"<[a-zA-Z/!][^>]*\Z")
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _PUNCT = re.compile(r"[.,;:!?…。，；：！？]")
 
@@ -56,20 +61,42 @@ NEVER_NAMED = frozenset(("ad ads advert advertisement adverts banner breadcrumb
                          "widget complementary contentinfo alert dialog").split())
 #: Of these, the words for readers' comments, which may well hold articles and long texts.
 REPLIES = frozenset("comment comments disqus".split())
+#: Of these, the words that may as well be an article's subject: inside article or main, the ratios decide.
+SUBJECTS = frozenset(("alert banner consent cookie cookies dialog newsletter notice notices popup promo related search share "
+                      "sharing signup social sponsor sponsored subscribe widget").split())
 ROOTS = frozenset(("article", "main"))
-#: Path id, text, allowed but for names, innermost named element, named element around the outermost article or main.
-Block = tuple[int, str, bool, int, int]
+#: Path id, text, allowed but for names, innermost named element, named element around the outermost article or main, element.
+Block = tuple[int, str, bool, int, int, int]
 #: Elements that are parts of a text: never its container.
 PARTS = frozenset("p pre h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote figure figcaption table thead tbody tfoot tr".split())
 CLOSED_BY_BLOCK = frozenset(("p",))
 SCOPES = frozenset("html body article main section div td th table ul ol blockquote".split())
 
 
-def _named(name: str, attrs: str) -> frozenset[str]:
-    """The words in an element's names that exclude it, unless it holds the text."""
+def _attributes(attrs: str) -> dict[str, str]:
+    """Attribute values by lower-cased name; of equal names the first counts."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attrs):
+        out.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+    return out
+
+
+def _named(name: str, attrs: str, rooted: bool) -> frozenset[str]:
+    """The words in an element's names that exclude it, unless it holds the
+    text; ``rooted``: inside article or main."""
     if not attrs or name in ROOTS or name in ("html", "body"):
         return frozenset()
-    return NEVER_NAMED.intersection(w for m in _NAMES.finditer(attrs) for w in _SPLIT.split((m[1] or m[2] or m[3] or "").lower()))
+    found = _attributes(attrs)
+    if name in PARTS:
+        words = {w for c in found.get("class", "").split() for w in _SPLIT.split(c)} if name in ("ul", "ol", "dl") else set()
+        return REPLIES.intersection(words)
+    values = [found.get("class", ""), found.get("role", "")]
+    if not rooted or name == "div" or found.get("id") in REPLIES:
+        values.append(found.get("id", ""))
+    if rooted:
+        words = {w for v in values for w in v.split()}
+        return NEVER_NAMED.intersection(words) or REPLIES.intersection(x for w in words for x in _SPLIT.split(w))
+    return NEVER_NAMED.intersection(w for v in values for w in _SPLIT.split(v))
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -83,11 +110,13 @@ def blocks_of(page: str) -> list[Block]:
 def _parse(page: str):
     paths: dict[tuple[int, str], int] = {}
     parents: list[int] = [-1]
-    names: list[str] = [""]
-    root_of: list[int] = [-1]  # the innermost article or main on the path
-    # Elements with an excluding name: (the one around it, its words).
-    named: list[tuple[int, frozenset[str]]] = [(-1, frozenset())]
-    stack: list[tuple[str, int, bool, int, int]] = [("", 0, True, 0, -1)]  # name, then as in a block
+    around: list[int] = [-1]  # of each element that is not inline: the one around it
+    kinds: list[str] = [""]
+    root_of: list[int] = [-1]  # the innermost article or main it lies in or is
+    # Elements with an excluding name: (the one around it, its words, inside article or main).
+    named: list[tuple[int, frozenset[str], bool]] = [(-1, frozenset(), False)]
+    # Name, path, allowed, named, outside, element: as in a block.
+    stack: list[tuple[str, int, bool, int, int, int]] = [("", 0, True, 0, -1, 0)]
     n_open: dict[str, int] = {}
     blocks: list[Block] = []
     buf: list[str] = []
@@ -98,7 +127,7 @@ def _parse(page: str):
             buf.clear()
             if text:
                 at = next(s for s in reversed(stack) if s[0] not in INLINE)
-                blocks.append((at[1], text, *stack[-1][2:]))
+                blocks.append((at[1], text, *stack[-1][2:5], at[5]))
 
     def pop_to(i: int) -> None:
         for name, *_ in stack[i:]:
@@ -135,7 +164,7 @@ def _parse(page: str):
                 while stack[i][0] != name:
                     i -= 1
                 if block or all(s[0] in INLINE for s in stack[i:]):
-                    if not block and stack[i][2:] != stack[i - 1][2:]:
+                    if not block and stack[i][2:5] != stack[i - 1][2:5]:
                         flush()
                     pop_to(i)
             continue
@@ -156,23 +185,26 @@ def _parse(page: str):
         if path is None:
             path = paths[(parent, name)] = len(parents)
             parents.append(parent)
-            names.append(name)
-            root_of.append(path if name in ROOTS else root_of[parent])
         allowed = stack[-1][2] and name not in NEVER
-        within, outside = stack[-1][3:]
+        within, outside, element = stack[-1][3:]
         if name in ROOTS and outside < 0:
             outside = within
-        if allowed and (words := _named(name, m[3])):
-            named.append((within, words))
+        if allowed and (words := _named(name, m[3], root_of[element] >= 0)):
+            named.append((within, words, root_of[element] >= 0))
             within = len(named) - 1
         if not block and (allowed, within) != stack[-1][2:4]:
             flush()
         if m[3].endswith("/") and not block:
             continue
-        stack.append((name, path, allowed, within, outside))
+        if block:
+            around.append(element)
+            kinds.append(name)
+            element = len(around) - 1
+            root_of.append(element if name in ROOTS else root_of[around[element]])
+        stack.append((name, path, allowed, within, outside, element))
         n_open[name] = n_open.get(name, 0) + 1
     flush()
-    return blocks, parents, root_of, names, named
+    return blocks, around, kinds, root_of, named
 
 
 def content_paths(blocks: list[Block]) -> set[int]:
@@ -206,17 +238,24 @@ def _content(blocks: list[Block]) -> tuple[set[int], float]:
     return {p for p, s in zip(order, score, strict=True) if s >= least}, least
 
 
-def _wrappers(blocks: list[Block], named: list[tuple[int, frozenset[str]]]) -> set[int]:
+def _strong(blocks: list[Block]) -> list[Block]:
+    """The blocks on content paths that pass the threshold by themselves."""
+    content, least = _content(blocks)
+    return [b for b in blocks if b[0] in content and len(b[1]) * (len(_PUNCT.findall(b[1])) + 1) >= least]
+
+
+def _wrappers(blocks: list[Block], named: list[tuple[int, frozenset[str], bool]]) -> set[int]:
     """The named elements that hold the page's text, so their names do not exclude.
 
     The text is the blocks that pass the threshold by themselves, names
     ignored, inside article or main where there is one (all its blocks if
-    none passes).  What wraps an article or main with such a block is kept, and what holds more than half
-    of the text; elements named for readers' comments, and any others, only
+    none passes).  What wraps an article or main with such a block is kept, and
+    what holds more than half of the text, or inside article or main any of it
+    under a name that may be its subject; elements named for readers' comments, and any others, only
     where no text would be left: then those around the least wrapped text.
     """
-    content, least = _content(blocks)
-    text = [b for b in blocks if b[0] in content and len(b[1]) * (len(_PUNCT.findall(b[1])) + 1) >= least]
+    content, _ = _content(blocks)
+    text = _strong(blocks)
     rooted = [b for b in text if b[4] >= 0] or [b for b in blocks if b[4] >= 0]
     text = rooted or text or [b for b in blocks if b[0] in content]
 
@@ -236,7 +275,7 @@ def _wrappers(blocks: list[Block], named: list[tuple[int, frozenset[str]]]) -> s
         for x in around[e]:
             held[x] = held.get(x, 0) + n
     half = sum(size.values()) / 2
-    kept = {e for e, n in held.items() if n > half}.union(*[line(e) for e in {b[4] for b in text}])
+    kept = {e for e, n in held.items() if n > half or named[e][2] and named[e][1] <= SUBJECTS}.union(*[line(e) for e in {b[4] for b in text}])
     kept = {e for e in kept if not named[e][1] <= REPLIES}
     if not any(kept >= x for x in around.values()):
         fewest = min(len(x - kept) for x in around.values())
@@ -248,66 +287,45 @@ def main_text(page: str | None) -> str:
     """The page's article as one line of text."""
     if not page:
         return ""
-    blocks, parents, root_of, names, named = _parse(page)
+    blocks, around, kinds, root_of, named = _parse(page)
     allowed = [b for b in blocks if b[2]]
     if not allowed:
         return ""
     if len(named) > 1:
         kept = _wrappers(allowed, named)
         out_of = [False]  # excluded by a name of its own or around it
-        for e, (outer, _) in enumerate(named[1:], 1):
+        for e, (outer, *_) in enumerate(named[1:], 1):
             out_of.append(out_of[outer] or e not in kept)
         allowed = [b for b in allowed if not out_of[b[3]]]
     content = content_paths(allowed)
-    roots = {root_of[p] for p in content if root_of[p] >= 0}
-    if roots:
-        inside = lambda p: root_of[p] in roots or _above(p, roots, parents)
-    else:
-        inner: set[int] = set()  # the paths with blocks below them
-        for p in {path for path, *_ in allowed}:
-            while (p := parents[p]) >= 0 and p not in inner:
-                inner.add(p)
-        above = {p if p in inner and names[p] not in PARTS else _holder(p, parents, names) for p in content}
-        container = {_common(above, parents)}
-        inside = lambda p: _above(p, container, parents)
-    seen: dict[int, bool] = {}
-    out = []
-    for path, text, *_ in allowed:
-        if path not in seen:
-            seen[path] = inside(path)
-        if seen[path]:
-            out.append(text)
-    return " ".join(out)
-
-
-def _above(path: int, targets: set[int], parents: list[int]) -> bool:
-    while path >= 0:
-        if path in targets:
-            return True
-        path = parents[path]
-    return False
-
-
-def _holder(path: int, parents: list[int], names: list[str]) -> int:
-    """The nearest path above ``path`` that can hold a whole text."""
-    path = max(parents[path], 0)
-    while path and (names[path] in PARTS or names[path] in INLINE):
-        path = parents[path]
-    return path
-
-
-def _common(paths: set[int], parents: list[int]) -> int:
-    """The deepest path above (or equal to) all of ``paths``."""
-    common: set[int] | None = None
-    deepest = 0
-    for p in paths:
-        line = []
-        while p >= 0:
-            line.append(p)
-            p = parents[p]
-        common = set(line) if common is None else common & set(line)
-    deepest = max(common or {0})  # a path is interned after its ancestors
-    return deepest
+    holders = {root_of[b[5]] for b in allowed if b[0] in content and root_of[b[5]] >= 0}
+    if not holders:
+        text = _strong(allowed) or [b for b in allowed if b[0] in content]
+        wide = {around[b[5]] for b in allowed}  # a block with none below it is never its own container
+        wide |= {around[e] for e in range(len(around) - 1, 0, -1) if e in wide}
+        holders = {_common({_holder(b[5], around, kinds, wide) for b in text}, around)}
+    inside: list[bool] = []  # an element comes after the one around it
+    for e, outer in enumerate(around):
+        inside.append(e in holders or (outer >= 0 and inside[outer]))
+    return " ".join(b[1] for b in allowed if inside[b[5]])
+
+
+def _holder(element: int, around: list[int], kinds: list[str], wide: set[int]) -> int:
+    """The nearest element that can hold a whole text."""
+    while element > 0 and (kinds[element] in PARTS or element not in wide):
+        element = around[element]
+    return element
+
+
+def _common(elements: set[int], around: list[int]) -> int:
+    """The deepest element above (or equal to) all of ``elements``.  Each step
+    replaces the youngest by the one around it, which came before it."""
+    left = set(elements)
+    while len(left) > 1:
+        youngest = max(left)
+        left.discard(youngest)
+        left.add(around[youngest])
+    return left.pop()
 
 
 def extract(pages: DataFrame) -> DataFrame:
