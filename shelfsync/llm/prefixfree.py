@@ -32,7 +32,7 @@ documents streams through.
 Edge cases: null text is empty; texts shorter than LENGTH lose nothing; rows
 with a null doc_id are kept whole and remove nothing; rows that share a doc_id
 are the same document and do not remove from each other, each row keeps its
-own text; an empty table gives an empty result; other columns are ignored.
+own text (their texts are told apart by 128-bit digests); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,7 +48,9 @@ _GRAMS = LENGTH - GRAM + 1
 _PIECE = 1 << 19
 _LOW = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
-_TEXT_BITS, _RUN_BITS = 24, 6
+_RUN_BITS = 6
+#: Rows of doc_ids that several rows share, which may be broadcast at most.
+BROADCAST_ROWS = 1 << 19
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -111,15 +113,32 @@ def phrases(values: np.ndarray, offsets: np.ndarray):
         yield gram[trigger[first]], digest, doc, at + first - offsets[doc], runs.astype(np.int64)
 
 
-def _text_key(raw: bytes) -> int:
+def _text_keys(texts: list[bytes], shared: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+    """The 128-bit digests of texts whose doc_id other rows share, in two
+    halves; 0 for the rest, which their doc_id tells apart."""
     import xxhash
 
-    return xxhash.xxh64_intdigest(raw) & ((1 << _TEXT_BITS) - 1)
+    out = np.zeros((len(texts), 2), np.int64)
+    for i, (t, s) in enumerate(zip(texts, shared, strict=True)):
+        if s:
+            out[i] = np.frombuffer(xxhash.xxh128_digest(t), np.int64)
+    return out[:, 0], out[:, 1]
+
+
+def _with_shared(docs: DataFrame) -> DataFrame:
+    """``doc, text, shared``: whether several rows have the doc_id (or it is null)."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    several = stage(rows.filter(F.col("doc").isNotNull()).groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
+                    .filter(F.col("n") > 1).select(F.col("doc").alias("twice")), "phrase-shared")
+    if several.count() <= BROADCAST_ROWS:
+        several = F.broadcast(several)
+    return (rows.join(several, F.col("doc") == F.col("twice"), "left")
+            .select("doc", "text", (F.col("doc").isNull() | F.col("twice").isNotNull()).alias("shared")))
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """``h, p, doc, at``: trigger, phrase digest, document, and packed place
-    (start, text key, windows) of each phrase."""
+    """``h, p, doc, at, k1, k2``: trigger, phrase digest, document, packed place
+    (start, windows) and text key of each phrase of ``doc, text, shared`` rows."""
 
     def run(batches):
         import pyarrow as pa
@@ -130,18 +149,17 @@ def parse(docs: DataFrame) -> DataFrame:
             offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
             values = np.frombuffer(raw.buffers()[2], np.uint8) if raw.buffers()[2] is not None else np.empty(0, np.uint8)
             values, offsets = values[offsets[0]:offsets[-1]], offsets - offsets[0]
-            keys = np.array([_text_key(x) for x in raw.to_pylist()], np.int64)
+            k1, k2 = _text_keys(raw.to_pylist(), b.column(2).to_pylist())
             ids = b.column(0).to_numpy()
             for h, p, doc, start, runs in phrases(values, offsets):
-                at = (start << (_TEXT_BITS + _RUN_BITS)) | (keys[doc] << _RUN_BITS) | runs
+                at = (start << _RUN_BITS) | runs
                 for lo in range(0, len(h), 65536):  # small batches on the way out
                     s = slice(lo, lo + 65536)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[s].view(np.int64)), pa.array(p[s].view(np.int64)), pa.array(ids[doc[s]]), pa.array(at[s])],
-                        names=["h", "p", "doc", "at"])
+                        [pa.array(h[s].view(np.int64)), pa.array(p[s].view(np.int64)), pa.array(ids[doc[s]]), pa.array(at[s]),
+                         pa.array(k1[doc[s]]), pa.array(k2[doc[s]])], names=["h", "p", "doc", "at", "k1", "k2"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").filter(F.col("doc").isNotNull())
-    return rows.transform(map_arrow, run, "h long, p long, doc long, at long")
+    return docs.filter(F.col("doc").isNotNull()).transform(map_arrow, run, "h long, p long, doc long, at long, k1 long, k2 long")
 
 
 def _verdicts(batches):
@@ -150,16 +168,16 @@ def _verdicts(batches):
     differ and begin in several documents (whole = false)."""
     import pyarrow as pa
 
-    names = ["doc", "at", "h", "whole"]
-    held = [np.empty(0, np.int64)] * 4
+    names = ["doc", "at", "h", "k1", "k2", "whole"]
+    held = [np.empty(0, np.int64)] * 6
 
     def table(rows, whole: bool):
-        h, _, doc, at = rows
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(at), pa.array(h), pa.array(np.full(len(h), whole))], names=names)
+        h, _, doc, at, k1, k2 = rows
+        return pa.RecordBatch.from_arrays([*map(pa.array, (doc, at, h, k1, k2)), pa.array(np.full(len(h), whole))], names=names)
 
     def differing(rows):
         """Rows of triggers with several phrases that do not all begin in one document."""
-        h, p, doc, _ = rows
+        h, p, doc = rows[:3]
         if not len(h):
             return np.empty(0, bool)
         new = np.append(True, h[1:] != h[:-1])
@@ -173,7 +191,7 @@ def _verdicts(batches):
         if not b.num_rows:
             continue
         rows = [np.concatenate([o, c.to_numpy()]) for o, c in zip(held, b.columns, strict=True)]
-        h, p, doc, _ = rows
+        h, p, doc = rows[:3]
         new = np.append(True, (h[1:] != h[:-1]) | (p[1:] != p[:-1]))
         first = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
         again = doc > first
@@ -192,7 +210,7 @@ def _verdicts(batches):
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """``doc, key, kind = 0, at = 0, z``: texts compressed for the shuffle."""
+    """``doc, k1, k2, kind = 0, at = 0, z``: texts compressed for the shuffle."""
 
     def run(batches):
         import pyarrow as pa
@@ -204,50 +222,47 @@ def _packed(docs: DataFrame) -> DataFrame:
                 part = b.slice(lo, 1024)
                 raw = [(t.as_py() or "").encode() for t in part.column(1)]
                 n = len(raw)
+                k1, k2 = _text_keys(raw, part.column(2).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([_text_key(r) for r in raw], pa.int64()), pa.array([0] * n, pa.int64()),
+                    [part.column(0), pa.array(k1), pa.array(k2), pa.array([0] * n, pa.int64()),
                      pa.array([0] * n, pa.int64()), pa.array([press.compress(r) for r in raw], pa.binary())],
-                    names=["doc", "key", "kind", "at", "z"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc"), "text").transform(map_arrow, 
-        run, "doc long, key long, kind long, at long, z binary")
-
+                    names=["doc", "k1", "k2", "kind", "at", "z"])
 
-def _key():
-    return F.shiftright(F.col("at"), _RUN_BITS).bitwiseAND(F.lit((1 << _TEXT_BITS) - 1))
+    return docs.transform(map_arrow, run, "doc long, k1 long, k2 long, kind long, at long, z binary")
 
 
 def _beside(texts: DataFrame, marks: DataFrame) -> DataFrame:
-    """Texts, each followed by its marks (``doc, key, at, to`` sorted by at); rows of one document meet in one task."""
+    """Texts, each followed by its marks (``doc, k1, k2, at, to`` sorted by at); rows of one document meet in one task."""
     both = texts.withColumn("to", F.lit(0).cast("long")).unionByName(
-        marks.select("doc", "key", F.lit(1).cast("long").alias("kind"), "at", F.lit(None).cast("binary").alias("z"), "to"))
+        marks.select("doc", "k1", "k2", F.lit(1).cast("long").alias("kind"), "at", F.lit(None).cast("binary").alias("z"), "to"))
     # Null ids have no marks; they are dealt by their text.
-    return (both.select("doc", "key", "kind", "at", "to", "z").repartition("doc", "key")
-            .sortWithinPartitions("doc", "key", "kind", "at"))
+    return (both.select("doc", "k1", "k2", "kind", "at", "to", "z").repartition("doc", "k1", "k2")
+            .sortWithinPartitions("doc", "k1", "k2", "kind", "at"))
 
 
 def _edge_texts(batches):
-    """(h, doc, at, text of the phrase) of the phrases to compare window by window."""
+    """(h, doc, at, k1, k2, text of the phrase) of the phrases to compare window by window."""
     import pyarrow as pa
     import zstandard
 
     open_ = zstandard.ZstdDecompressor()
     out: list[tuple] = []
-    for (doc, _), rows in grouped(rows_of(batches), lambda r: r[:2]):
+    names = ["h", "doc", "at", "k1", "k2", "phrase"]
+    for (doc, k1, k2), rows in grouped(rows_of(batches), lambda r: r[:3]):
         raw = z = None
-        for _, _, kind, at, h, text in rows:
+        for _, _, _, kind, at, h, text in rows:
             if kind == 0:
                 z = text
                 continue
             if raw is None:
                 raw = open_.decompress(z, max_output_size=1 << 31)
-            start, runs = at >> (_TEXT_BITS + _RUN_BITS), at & ((1 << _RUN_BITS) - 1)
-            out.append((h, doc, at, raw[start:start + runs + LENGTH - 1]))
+            start, runs = at >> _RUN_BITS, at & ((1 << _RUN_BITS) - 1)
+            out.append((h, doc, at, k1, k2, raw[start:start + runs + LENGTH - 1]))
         if len(out) >= 8192:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["h", "doc", "at", "phrase"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
             out = []
     if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["h", "doc", "at", "phrase"])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
 
 
 def _compare(batches):
@@ -255,10 +270,11 @@ def _compare(batches):
     import pyarrow as pa
 
     out: list[tuple] = []
+    names = ["doc", "k1", "k2", "at", "to"]
     for _, rows in grouped(rows_of(batches), lambda r: r[0]):
         first: dict[bytes, int] = {}
-        for _, doc, at, phrase in rows:  # in order of doc
-            start, key = at >> (_TEXT_BITS + _RUN_BITS), at >> _RUN_BITS & ((1 << _TEXT_BITS) - 1)
+        for _, doc, at, k1, k2, phrase in rows:  # in order of doc
+            start = at >> _RUN_BITS
             open_at = -1
             for i in range(len(phrase) - LENGTH + 2):
                 window = phrase[i:i + LENGTH] if i <= len(phrase) - LENGTH else None
@@ -266,13 +282,13 @@ def _compare(batches):
                 if met and open_at < 0:
                     open_at = i
                 elif not met and open_at >= 0:
-                    out.append((doc, key, start + open_at, start + i - 1 + LENGTH))
+                    out.append((doc, k1, k2, start + open_at, start + i - 1 + LENGTH))
                     open_at = -1
         if len(out) >= 8192:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc", "key", "at", "to"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
             out = []
     if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc", "key", "at", "to"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
 
 
 def _cut(batches):
@@ -291,10 +307,10 @@ def _cut(batches):
                                            pa.array(cols[2], pa.binary()), pa.array(cols[3], kind_of_span)],
                                           names=["doc_id", "n_bytes", "kept", "spans"])
 
-    for (doc, _), rows in grouped(rows_of(batches), lambda r: r[:2]):
+    for (doc, *_), rows in grouped(rows_of(batches), lambda r: r[:3]):
         texts: list[bytes] = []
         spans: list[list[int]] = []
-        for _, _, kind, at, to, z in rows:
+        for _, _, _, kind, at, to, z in rows:
             if kind == 0:
                 texts.append(z)
             elif spans and at <= spans[-1][1]:
@@ -320,19 +336,19 @@ def _cut(batches):
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, kept, spans`` for each row of ``docs``: the remaining
     bytes and the maximal removed intervals (byte offsets)."""
-    order = ["h", "p", "doc", "at"]
+    docs = _with_shared(docs)
+    order = ["h", "p", "doc", "at", "k1", "k2"]
     found = stage(parse(docs).repartition("h").sortWithinPartitions(*order)
-                  .transform(map_arrow, _verdicts, "doc long, at long, h long, whole boolean"), "phrase-verdicts")
-    edge = found.filter(~F.col("whole")).select("doc", _key().alias("key"), "at", F.col("h").alias("to"))
-    edges = _beside(_packed(docs), edge).transform(map_arrow, _edge_texts, "h long, doc long, at long, phrase binary")
-    met = stage(edges.repartition("h").sortWithinPartitions("h", "doc", "at")
-                .transform(map_arrow, _compare, "doc long, key long, at long, to long"), "phrase-edges")
-    start = F.shiftright(F.col("at"), _TEXT_BITS + _RUN_BITS)
+                  .transform(map_arrow, _verdicts, "doc long, at long, h long, k1 long, k2 long, whole boolean"), "phrase-verdicts")
+    edge = found.filter(~F.col("whole")).select("doc", "k1", "k2", "at", F.col("h").alias("to"))
+    edges = _beside(_packed(docs), edge).transform(map_arrow, _edge_texts, "h long, doc long, at long, k1 long, k2 long, phrase binary")
+    met = stage(edges.repartition("h").sortWithinPartitions("h", "doc", "at", "k1", "k2")
+                .transform(map_arrow, _compare, "doc long, k1 long, k2 long, at long, to long"), "phrase-edges")
+    start = F.shiftright(F.col("at"), _RUN_BITS)
     runs = F.col("at").bitwiseAND(F.lit((1 << _RUN_BITS) - 1))
-    whole = found.filter("whole").select("doc", _key().alias("key"), start.alias("at"),
-                                         (start + runs + F.lit(LENGTH - 1)).alias("to"))
-    return _beside(_packed(docs), whole.unionByName(met)).transform(map_arrow, 
-        _cut, "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
+    whole = found.filter("whole").select("doc", "k1", "k2", start.alias("at"), (start + runs + F.lit(LENGTH - 1)).alias("to"))
+    return _beside(_packed(docs), whole.unionByName(met)).transform(
+        map_arrow, _cut, "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
 
 
 def digests(removed: DataFrame) -> DataFrame:
