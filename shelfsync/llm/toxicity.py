@@ -9,15 +9,17 @@ length, is turned into a probability.
 The lexicon, the exceptions and the scale are learned from labelled rows: at
 most ``max_train`` of them, chosen by a hash of the doc_id (a documented bound;
 matching covers every row and whole texts).  Word beginnings and words are
-counted per document; a log-likelihood ratio test selects, the log ratio of
-token rates weighs.  Longer forms of a lexicon entry that belong to clean
-texts become exceptions.  A rising curve from the normalised sum to the share
-of toxic texts is fitted on a histogram (isotonic regression).
-
-Scale: one pass over the corpus to score, no shuffle.  The model is bounded
-by ``max_entries`` entries of each kind and travels in the task's closure.
-Labels of the bounded training sample are broadcast (``max_train`` rows of 16
-bytes); no text is shuffled.
+counted per document; a log-likelihood ratio test selects (its threshold grows
+with the number of candidates, so that few or many labels let in as few chance
+entries), the log ratio of token rates weighs.  Longer forms of a lexicon
+entry that belong to clean texts become exceptions.  A rising curve from the
+normalised sum to the share of toxic texts is fitted on a histogram (isotonic
+regression).
+
+Scale: one pass over the corpus to fetch the training sample, one to score, no
+shuffle of texts.  The model holds every entry that passes the test; it is
+bounded by the words of the sample and travels in the task's closure.  Labels
+of the bounded training sample are broadcast (``max_train`` rows of 16 bytes).
 
 Edge cases: null or empty text has no words and scores what a text without
 matches scores; rows with a null doc_id are scored but never trained on;
@@ -36,13 +38,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfsync.llm.common import map_arrow
+from shelfsync.llm.common import map_arrow, stage
 
 THRESHOLD = 0.3
-MAX_TRAIN, MAX_ENTRIES = 20_000, 2_000
-#: Word beginnings of these lengths are candidates for the lexicon, and whole words up to the last of them.
+MAX_TRAIN = 20_000
+#: Word beginnings of these lengths are candidates for the lexicon, and whole words of any.
 STEMS = range(4, 9)
-MIN_G2, MIN_RATIO = 24.0, 2.0
+#: Chance entries that the lexicon may be expected to hold: with m candidates, an
+#: entry's log-likelihood ratio must reach 2 ln(m / FALSE_ENTRIES).
+FALSE_ENTRIES, MIN_RATIO = 1.0, 2.0
 SMOOTH_WORDS = 20
 BINS = 400
 
@@ -171,8 +175,7 @@ def _stems(words: list[str]) -> Counter:
         for k in STEMS:
             if len(w) > k:
                 got[w[:k]] += n
-        if len(w) >= STEMS[0]:
-            got[f"{w} "] += n
+        got[f"{w} "] += n
     return got
 
 
@@ -185,10 +188,12 @@ def _ratio(tt, tc, words_t, words_c):
     return F.log((F.col(tt) + 0.5) / (words_t + 1.0)) - F.log((F.col(tc) + 0.5) / (words_c + 1.0))
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_entries: int = MAX_ENTRIES) -> Model:
-    """The model from the bounded training sample of ``labels``."""
-    train = training_rows(docs, labels, max_train)
-    sums = _sums(train, _stems)
+def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
+    """The model from the bounded training sample of ``labels``, read once and
+    kept.  Lexicon and exceptions hold all that pass: at most the sample's words."""
+    train = stage(training_rows(docs, labels, max_train), "toxicity-train")
+    sums = stage(_sums(train, _stems), "toxicity-sums")
+    least = 2 * math.log(max(sums.count(), 2) / FALSE_ENTRIES)
     total = sums.filter(F.col("f") == "").first()
     if total is None or not total["dt"] or not total["dc"]:
         return Model()
@@ -202,8 +207,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_en
               + cell(F.lit(nt) - F.col("dt"), F.lit(nt + nc) - both, F.lit(float(nt)))
               + cell(F.lit(nc) - F.col("dc"), F.lit(nt + nc) - both, F.lit(float(nc))))
     entries = (sums.filter(F.col("f") != "").withColumn("w", _ratio("tt", "tc", wt, wc)).withColumn("g2", g2)
-               .filter((F.col("w") >= MIN_RATIO) & (F.col("g2") >= MIN_G2) & (F.col("dt") * nc > F.col("dc") * nt))
-               .orderBy(F.desc("g2"), "f").limit(max_entries).select("f", "w").collect())
+               .filter((F.col("w") >= MIN_RATIO) & (F.col("g2") >= least) & (F.col("dt") * nc > F.col("dc") * nt))
+               .orderBy(F.desc("g2"), "f").select("f", "w").collect())
     lexicon = {r["f"]: float(r["w"]) for r in entries}
     if not lexicon:
         return Model()
@@ -226,7 +231,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_en
         return got
 
     spared = (_sums(train, phrases).filter((F.col("f") != "") & (F.col("dc") >= 5) & (_ratio("tt", "tc", wt, wc) < 0))
-              .orderBy(F.desc("dc"), "f").limit(max_entries).select("f").collect())
+              .orderBy(F.desc("dc"), "f").select("f").collect())
     model = Model(lexicon, tuple(r["f"] for r in spared))
     return _calibrated(train, model)
 
