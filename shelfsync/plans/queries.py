@@ -7,6 +7,7 @@ of streams and stored tables, which run their commits while they are built;
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,6 +23,7 @@ from shelfsync.plans import fixtures as fx
 from shelfsync.plans import oracle as sql
 from shelfsync.plans.sync import FunctionEmbedder, TableEmbedder, outcome
 from shelfsync.session import scratch_path
+from shelfsync.sources import catalog
 from shelfsync.sources.bucketed import BucketedTable
 from shelfsync.sources.scan import keyed_source, mapped_scan, source_count, spread
 from shelfsync.sources.store import TableStore
@@ -330,6 +332,33 @@ def merge_bucketed(spark, sf_dir):
     return out
 
 
+# ---------------------------------------------------------------- S8
+
+# The names of the given tables, and DuckDB's type names in Spark's words.
+GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TYPE_NAMES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "FLOAT": "float", "DATE": "date",
+              "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "FLOAT[]": "array<float>", "TIMESTAMP WITH TIME ZONE": "timestamp"}
+
+
+@register("catalog_columns", "WITH n AS (" + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in GIVEN) + ") "
+          "SELECT c.table_name, column_name, CAST(ordinal_position AS INTEGER) AS ordinal_position, CASE c.data_type "
+          + " ".join(f"WHEN '{d}' THEN '{s}'" for d, s in TYPE_NAMES.items()) + " ELSE c.data_type END AS data_type, n_rows "
+          "FROM information_schema.columns c JOIN n ON c.table_name = n.table_name ORDER BY c.table_name, ordinal_position")
+def catalog_columns(spark, sf_dir):
+    """Tables and columns of a session's catalog (views of the given tables), with each table's rows."""
+    views, counts = {}, None
+    for name in GIVEN:
+        t, views[name] = fx.table(spark, sf_dir, name), f"listed_{uuid.uuid4().hex}_{name}"
+        t.createTempView(views[name])
+        n = source_count(t).select(F.lit(name).alias("table_name"), F.col("total").alias("n_rows"))
+        counts = n if counts is None else counts.unionByName(n)
+    found = catalog.columns(spark, list(views.values()))
+    for view in views.values():
+        spark.catalog.dropTempView(view)
+    found = found.withColumn("table_name", F.regexp_extract("table_name", "^listed_[0-9a-f]+_(.*)$", 1))
+    return found.join(counts, "table_name").orderBy("table_name", "ordinal_position")
+
+
 # ---------------------------------------------------------------- T1
 
 DUE_NOW = fx.AS_OF

@@ -274,7 +274,8 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
     :func:`~shelfsync.operators.enrich.look_up_titles`).  ``sink`` is called
     with the staged upserts and updates before the commit
     (e.g. :func:`~shelfsync.sources.jdbc.write_products_jdbc`), so a failing
-    destination leaves its rows to the next run.  ``prune_state`` first asks
+    destination leaves its rows to the next run; a
+    :class:`~shelfsync.sources.jdbc.JdbcSink` also applies a replayed batch once.  ``prune_state`` first asks
     which buckets the source rows fall in (one narrow job) and reads the state
     of those alone: for small batches against a large state.
     """
@@ -348,7 +349,8 @@ def run_sync(spark: SparkSession, store: TableStore, tenants: list[Tenant], *,
             record["orphans"] = int(orphans.get.get("orphans") or 0)
         mark("merge")
         if write and sink is not None:
-            sink(live)
+            key = run_id if stream_id is None else f"{stream_id}-{batch_id}"
+            sink.apply(live, key) if hasattr(sink, "apply") else sink(live)
             mark("sink")
     record["processed"] = record["to_process"]
     record["duration_s"] = round(time.time() - started, 3)

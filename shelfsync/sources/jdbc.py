@@ -7,11 +7,17 @@ and the column list into the SQL sent to the database.
 The sink is set-based, like bulk array parameters: the change set is written
 in parallel into a staging table by Spark's JDBC writer (``batchsize`` rows
 per round trip), then one MERGE statement applies upserts and data-only
-updates inside the database.  Vectors travel as JSON text.
+updates inside the database.  Vectors travel as JSON text.  :class:`JdbcSink`
+adds a ledger: the key of a change set is inserted in the transaction that
+applies it, so one that is sent again changes nothing.
 """
 
 from __future__ import annotations
 
+import contextlib
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfsync.schema import UPDATE_COLUMNS
@@ -96,10 +102,10 @@ def merge_statements(dialect: str, table: str, staging: str) -> list[str]:
 
 def write_products_jdbc(changes: DataFrame, url: str, table: str, staging: str, *,
                         properties: dict | None = None, batch_size: int = 1000,
-                        text_type: str | None = None) -> list[int]:
+                        text_type: str | None = None, first: tuple[str, ...] = ()) -> list[int]:
     """Apply a staged change set (``action`` upsert/update) to a destination
     table over JDBC: parallel staging write, then the dialect's statements in
-    one transaction.  ``text_type`` is the staging table's type of text (a
+    one transaction, after those of ``first``.  ``text_type`` is the staging table's type of text (a
     value too long for it fails the write)."""
     dialect = dialect_of(url)
     # Update rows never write the vector, so they carry '' rather than NULL
@@ -116,4 +122,63 @@ def write_products_jdbc(changes: DataFrame, url: str, table: str, staging: str,
     opts = dict(properties or {})
     opts.update({"batchsize": str(batch_size), "createTableColumnTypes": ", ".join(f"{c} {kind}" for c in text_cols)})
     live.write.jdbc(url, staging, mode="overwrite", properties=opts)
-    return execute(changes.sparkSession, url, merge_statements(dialect, table, staging), properties)
+    return execute(changes.sparkSession, url, [*first, *merge_statements(dialect, table, staging)], properties)
+
+
+class JdbcSink:
+    """A destination table whose change sets are applied once each.
+
+    ``ledger`` is a table of the destination, ``(run_key, digest)`` its primary
+    key.  A change set's key is the run's (for a stream: its id and batch, so
+    a replayed batch has the same), its digest a sum over its rows' hashes.
+    The pair is inserted in the transaction that applies the rows: a change
+    set that is there already is left alone, and of two senders at once one
+    transaction fails as a whole.  Each run has a staging table of its own,
+    dropped at the end.
+    """
+
+    def __init__(self, url: str, table: str, staging: str, *, ledger: str = "sync_ledger", properties: dict | None = None,
+                 batch_size: int = 1000, text_type: str | None = None):
+        self.url, self.table, self.staging, self.ledger = url, table, staging, ledger
+        self.properties, self.batch_size, self.text_type = properties, batch_size, text_type
+
+    def _applied(self, spark: SparkSession, key: str, digest: str) -> bool:
+        found = spark.read.jdbc(self.url, f"(SELECT digest FROM {self.ledger} WHERE run_key = '{key}' AND digest = '{digest}') applied",
+                                properties=self.properties or {})
+        return found.count() > 0
+
+    def create_ledger(self, spark: SparkSession) -> None:
+        """Make the ledger where it is missing."""
+        from py4j.protocol import Py4JJavaError
+
+        try:
+            execute(spark, self.url, [f"CREATE TABLE {self.ledger} (run_key VARCHAR(200) NOT NULL, digest VARCHAR(64) NOT NULL, "
+                                      "PRIMARY KEY (run_key, digest))"], self.properties)
+        except Py4JJavaError:
+            self._applied(spark, "", "")  # it was there; anything else fails here too
+
+    def apply(self, changes: DataFrame, key: str) -> bool:
+        """Apply a change set; False where it had been applied before."""
+        from py4j.protocol import Py4JJavaError
+
+        spark = changes.sparkSession
+        key = re.sub(r"[^A-Za-z0-9_.-]", "_", key)
+        rows = F.xxhash64("workspace_id", "id", "action", *UPDATE_COLUMNS, F.to_json("embedding")).cast("decimal(38,0)")
+        summed = changes.agg(F.count(F.lit(1)).alias("n"), F.sum(rows).alias("s")).first()
+        digest = f"{summed['n']}:{summed['s'] or 0}"
+        self.create_ledger(spark)
+        if self._applied(spark, key, digest):
+            return False
+        staging = f"{self.staging}_{uuid.uuid4().hex[:12]}"
+        try:
+            write_products_jdbc(changes, self.url, self.table, staging, properties=self.properties, batch_size=self.batch_size,
+                                text_type=self.text_type,
+                                first=(f"INSERT INTO {self.ledger} (run_key, digest) VALUES ('{key}', '{digest}')",))
+        except Py4JJavaError:
+            if not self._applied(spark, key, digest):  # not another sender of the same rows
+                raise
+            return False
+        finally:
+            with contextlib.suppress(Py4JJavaError):  # it may never have been written
+                execute(spark, self.url, [f"DROP TABLE {staging}"], self.properties)
+        return True
