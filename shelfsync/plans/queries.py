@@ -25,6 +25,7 @@ from shelfsync.plans.sync import FunctionEmbedder, TableEmbedder, outcome
 from shelfsync.session import scratch_path
 from shelfsync.sources import catalog
 from shelfsync.sources.bucketed import BucketedTable
+from shelfsync.sources.jdbc import vector_text
 from shelfsync.sources.scan import keyed_source, mapped_scan, source_count, spread
 from shelfsync.sources.store import TableStore
 from shelfsync.streaming.stream import run_stream_to_end
@@ -235,6 +236,53 @@ def title_enrich(spark, sf_dir):
     return _part_outcome(spark, sf_dir).select("id", "status", "code", "title", "display_name")
 
 
+# Fixed rules of the fixture: what stands around a page's title, by page_id % 8.
+NOISE = ["{t}", "{t} - Go-UPC", "EAN 7891234 – {t}", "{t} product not found", "ACCESS DENIED", "{t} — new-{t}", "", " EAN 12 -  Go-UPC "]
+
+
+@register("title_noise", "WITH t AS (SELECT CAST(page_id AS VARCHAR) AS code, page_id % 8 AS k, "
+          "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS t FROM pages), "
+          "p AS (SELECT code, CASE k " + " ".join(f"WHEN {k} THEN 'Title: ' || replace('{n}', '{{t}}', t) || chr(10)" if n else
+                                                  f"WHEN {k} THEN 'A title: ' || t || chr(10)" for k, n in enumerate(NOISE))
+          + " END AS page FROM t) "
+          f"SELECT code, CASE WHEN regexp_extract(page, '{sql.TITLE_LINE_RE}', 1) <> '' THEN "
+          f"{sql.js_trim(f"regexp_extract(page, '{sql.TITLE_LINE_RE}', 1)")} END AS raw_title, {sql.title_sql('page')} AS title FROM p")
+def title_noise(spark, sf_dir):
+    """Titles with site names, barcodes, dashes, rejections, nothing left, or no title line at all."""
+    pages = fx.table(spark, sf_dir, "pages")
+    t, k = F.regexp_extract("html", enrich.HTML_TITLE_RE, 1), F.col("page_id") % 8
+    page = F.lit(None).cast("string")
+    for i, n in enumerate(NOISE):
+        line = F.concat(F.lit("Title: "), F.replace(F.lit(n), F.lit("{t}"), F.col("t")), F.lit("\n"))
+        page = F.when(F.col("k") == i, line if n else F.concat(F.lit("A title: "), F.col("t"), F.lit("\n"))).otherwise(page)
+    rows = pages.select(F.col("page_id").cast("string").alias("code"), k.alias("k"), t.alias("t")).withColumn("page", page)
+    return rows.select("code", extract_title(F.col("page")).alias("raw_title"), page_title(F.col("page")).alias("title"))
+
+
+PROC_SQL = (f"WITH {PART_CTES}, proc AS (SELECT *, {sql.STATUS} AS status FROM cls WHERE NOT ({sql.SKIP['quick']})), "
+            f"norm AS ({sql.normalized(fx.PART_MAPPING, sql.PART_TYPES, 'proc', keep='workspace_id, id, k, fingerprint, status')}) ")
+
+
+def _client():
+    """A page client that fails for a third of the codes and is refused for
+    another (a nested function travels to the tasks by value)."""
+    def fetch(code: str) -> str:
+        n = int(code)
+        if n % 3 == 0:
+            raise ValueError("no connection")
+        return f"Title: Item {code} - Go-UPC\n" if n % 3 == 1 else "Title: Access denied\n"
+    return fetch
+
+
+@register("client_titles", PROC_SQL + ", looked AS (SELECT *, CASE WHEN status = 'new' AND TRY_CAST(code AS BIGINT) % 3 = 1 "
+          "THEN 'Item ' || code END AS title FROM norm) "
+          "SELECT id, status, code, title, COALESCE(title, display_name) AS display_name FROM looked")
+def client_titles(spark, sf_dir):
+    """New rows' titles asked of a client, one call a code; a failed call is no title, not a failed run."""
+    rows = normalize(detect.to_process(_part_classified(spark, sf_dir, "quick")), fx.AS_OF)
+    return enrich.look_up_titles(rows, enrich.ClientTitles(_client())).select("id", "status", "code", "title", "display_name")
+
+
 # ---------------------------------------------------------------- M1–M5, D9
 
 def _vec_cols(df: DataFrame) -> list:
@@ -266,6 +314,34 @@ def embed_batched(spark, sf_dir):
     return out.select("id", "status", "action", _vec_cols(out)[0])
 
 
+def _unsteady():
+    """An embedder that fails for a fifth of the texts and gives a short reply for another."""
+    def embed_texts(texts: list[str]) -> list:
+        if len(texts[0]) % 5 == 0:
+            raise ValueError("no answer")
+        return [] if len(texts[0]) % 5 == 1 else [[float(len(t)), 0.5] for t in texts]
+    return embed_texts
+
+
+@register("embed_failures", PROC_SQL + ", e AS (SELECT *, length(CASE WHEN display_name <> '' THEN display_name ELSE description END) AS n "
+          "FROM norm) SELECT id, status, CASE WHEN status <> 'new' THEN 'update' WHEN n % 5 < 2 THEN 'drop' ELSE 'upsert' END AS action, "
+          "CASE WHEN status = 'new' AND n % 5 = 0 THEN 'ValueError: no answer' WHEN status = 'new' AND n % 5 = 1 THEN 'short reply' END "
+          "AS embed_error, CAST(CASE WHEN status = 'new' AND n % 5 >= 2 THEN n END AS FLOAT) AS first FROM e")
+def embed_failures(spark, sf_dir):
+    """One text a call: failed calls and short replies drop their rows to the next run, the rest is paired by position."""
+    rows = normalize(detect.to_process(_part_classified(spark, sf_dir, "quick")), fx.AS_OF)
+    out = outcome(rows, None, FunctionEmbedder(_unsteady(), 1))
+    return out.select("id", "status", "action", "embed_error", F.get("embedding", F.lit(0)).alias("first"))
+
+
+@register("vector_text", f"SELECT vec_id, CAST(len(embedding) AS INTEGER) AS embedding_dim, {sql.VECTOR_DIGEST} AS embedding_sha256 FROM embeddings")
+def q_vector_text(spark, sf_dir):
+    """Vectors as the sink's text and read back from it: the digests are those of the vectors themselves."""
+    text = fx.table(spark, sf_dir, "embeddings").select("vec_id", vector_text(F.col("embedding")).alias("text"))
+    back = text.select("vec_id", F.from_json("text", "array<float>").alias("embedding"))
+    return back.select("vec_id", *_vec_cols(back))
+
+
 # ---------------------------------------------------------------- G1–G5
 
 def _prior_target(spark, sf_dir) -> DataFrame:

@@ -18,7 +18,7 @@ import contextlib
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfsync.schema import UPDATE_COLUMNS
 
@@ -100,6 +100,11 @@ def merge_statements(dialect: str, table: str, staging: str) -> list[str]:
             f"WHEN NOT MATCHED AND s.action = 'upsert' THEN INSERT ({names}) VALUES ({values})"]
 
 
+def vector_text(vector: Column) -> Column:
+    """A vector as text (P19): a JSON array, which reads back to the same floats."""
+    return F.to_json(vector)
+
+
 def write_products_jdbc(changes: DataFrame, url: str, table: str, staging: str, *,
                         properties: dict | None = None, batch_size: int = 1000,
                         text_type: str | None = None, first: tuple[str, ...] = ()) -> list[int]:
@@ -110,7 +115,7 @@ def write_products_jdbc(changes: DataFrame, url: str, table: str, staging: str,
     dialect = dialect_of(url)
     # Update rows never write the vector, so they carry '' rather than NULL
     # (some dialects bind NULL text as CLOB, which VARCHAR columns refuse).
-    vec = F.coalesce(F.to_json(F.col("embedding")), F.lit(""))
+    vec = F.coalesce(vector_text(F.col("embedding")), F.lit(""))
     live = changes.filter(F.col("action").isin("upsert", "update")).select(
         "id", "workspace_id", *UPDATE_COLUMNS, vec.alias("embedding"), "action")
     if dialect == "standard":
