@@ -18,11 +18,12 @@ runs of two or more lines: no boundaries, no anchors to extend.  Pairs are
 found by digest, counted before the shuffle; only the text of repeated pairs
 moves, for the byte comparison.
 
-Scale: only 40-byte rows (chunk digest and place) of multi-line chunks are
-shuffled to find repeated digests, pre-aggregated before the shuffle, so a
-passage that a third of the documents share is no hot group.  Texts move for
-repeated chunks only (byte comparison), and once for the documents when the
-removals come back.  The joins are ordinary equi-joins, so the adaptive skew
+Scale: repeated digests are found on 40-byte rows (chunk digest and place) of
+multi-line chunks, pre-aggregated before the shuffle, so a passage that a third
+of the documents share is no hot group.  The join that keeps the repeated ones
+for the byte comparison shuffles the chunks with their text (unless the
+repeated digests are few enough to broadcast): about the size of the input.
+Documents move once more when the removals come back.  The joins are ordinary equi-joins, so the adaptive skew
 join splits hot keys.
 
 Edge cases: a null text has no lines, stays null and removes nothing; an
