@@ -28,7 +28,8 @@ from shelfsync.sources.bucketed import BucketedTable
 from shelfsync.sources.jdbc import vector_text
 from shelfsync.sources.scan import keyed_source, mapped_scan, source_count, spread
 from shelfsync.sources.store import TableStore
-from shelfsync.streaming.stream import run_stream_to_end
+from shelfsync.streaming.keyed import keyed_changes, latest_changes, write_changes
+from shelfsync.streaming.stream import run_stream_to_end, snapshot_stream, write_snapshots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -687,3 +688,17 @@ def stream_sync(spark, sf_dir):
     state = store.read("state").select("workspace_id", "id", "fingerprint")
     target = store.read("target").select("workspace_id", "id", "description", "code", "price")
     return state.join(target, ["workspace_id", "id"])
+
+
+@register("stream_keyed", ORACLE["stream_sync"])
+def stream_keyed(spark, sf_dir):
+    """The same events through the stream that keeps each key's state itself:
+    the newest change of every key, normalised, is what the sync holds."""
+    cfg = SyncConfig(fx.WS_EVENTS, fx.EVENTS_MAPPING, mode="full", order_by=fx.EVENTS_ORDER)
+    base, events = scratch_path(spark, "stream"), fx.table(spark, sf_dir, "events")
+    write_snapshots(events, f"{base}/in")
+    q = write_changes(keyed_changes(snapshot_stream(spark, f"{base}/in", events.schema), cfg), f"{base}/out", f"{base}/checkpoint")
+    q.awaitTermination()
+    rows = latest_changes(spark.read.parquet(f"{base}/out"))
+    return (normalize(rows, fx.AS_OF, keep=("workspace_id", "id", "fingerprint"))
+            .select("workspace_id", "id", "fingerprint", "description", "code", "price"))
