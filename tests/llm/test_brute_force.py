@@ -467,7 +467,7 @@ def test_line_chunks_against_brute_force(spark, docs):
     out = linechunks.dedup_lines(docs(rows)).collect()
     key = lambda x: (str(x[0]), *x[1:])
     assert sorted(((r["doc_id"], r["n_removed"], r["text"]) for r in out), key=key) == sorted(((d, *want[d, t]) for d, t in rows), key=key)
-    # Nine of ten passages of three or more lines lose their inner lines where they repeat (sf0.01 of the given tables: 0.98).
+    # Nine of ten passages of three or more lines lose their inner lines where they repeat (sf0.01 of the given tables: all).
     texts = {i: "\n".join([f"x{i}", *passages[i % 15], f"y{i}"]) for i in range(300)}
     left = {r["doc_id"]: r["text"] for r in linechunks.dedup_lines(docs(texts)).collect()}
     long = [i for i in range(15, 300) if len(passages[i % 15]) > 2]
