@@ -302,6 +302,33 @@ def test_chat(spark):
         assert not any(c in inner for c in chat.CONTROLS)
 
 
+@pytest.mark.parametrize("block", [None, chat.BLOCK, 60, 1])
+def test_chat_is_read_back_from_expanded_examples(spark, monkeypatch, block):
+    """One text per assistant turn, every turn before it in it; with blocks, from the block's start."""
+    close = chat.CLOSE
+    rows = [(c, t, "assistant" if t % 3 == 1 else "user", f"{close * (t % 2)}é<|im_end|\\ {t}" * (t % 4)) for c in (1, None) for t in range(9)]
+    rows += [(2, 0, "user", "no reply <|im_end|>\n<"), (2, 1, "a<|im_end|>\n", "neither")]
+    script = chat.transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    segments = {(r["conv_id"], r["seq"]): r for r in script.collect()}
+    made = [r for r in chat.examples(script, block).collect() if r["example_id"] is not None]
+    assert sorted((r["conv_id"] or 0, r["seq"], r["example_id"]) for r in made) == [(c, t, t // 3) for c in (0, 1) for t in (1, 4, 7)]
+    for r in made:
+        whole = "".join(segments[r["conv_id"], k]["segment"] for k in range(r["seq"] + 1))
+        begin = min(s["char_start"] for (c, k), s in segments.items() if c == r["conv_id"] and k <= r["seq"]
+                    and (block is None or s["char_start"] // block == segments[c, r["seq"]]["char_start"] // block))
+        assert (r["text_start"], r["text"]) == (begin, whole[begin:])
+    got = {r["conv_id"]: r for r in chat.digests(script, block).collect()}
+    for c in (1, 2, None):
+        turns = [(r, t) for k, _, r, t in rows if k == c]
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert (got[c]["n_turns"], got[c]["loss_sha256"]) == (len(turns), hashlib.sha256(loss.encode()).hexdigest())
+        assert got[c]["formatted_chars"] == sum(len(s["segment"]) for (k, _), s in segments.items() if k == c)
+    expand = chat.examples
+    monkeypatch.setattr(chat, "examples", lambda *a: expand(*a).filter("example_id IS NULL OR example_id <> 1"))
+    assert {r["n_examples"] for r in chat.digests(script, block).collect()} == {2, 0}
+
+
 def test_pages():
     page = ("<html><head><title>T</title><style>p{}</style></head><body><nav><a href='x'>menu</a></nav><div class='ad'>buy</div>"
             "<article><h1>Head &amp; line</h1><p>One <b>bo</b>ld,\n two.<br>three<p>Four&nbsp;five.<div class='comments'><p>no</p></div>"
