@@ -2,8 +2,8 @@
 
 Two forms with one result: ``dedupe_keys`` reads its rows once and sorts them
 all (struct buffers rule out hash aggregation); ``dedupe_repeated`` reads them
-twice and sorts only the rows of repeated keys, for sources that give the same
-rows again (files, staged tables).
+again and sorts only the rows of repeated keys, for sources that give the same
+rows each time (files, staged tables).
 
 One row per (workspace_id, id) is kept: the one with the greatest
 fingerprint, a choice that does not depend on scan order.  The aggregate is
@@ -39,8 +39,11 @@ def dedupe_repeated(df: DataFrame, keys: list[str] = KEYS, order_by: str | list[
     and a key that holds a third of the rows collapses before the shuffle).
     The repeated ones are the small side of a hash join on the key, which
     tells their rows apart; only those are aggregated at full width, and rows of
-    a null key, which no join meets.  ``df`` is evaluated twice, so it must
-    give the same rows both times.
+    a null key, which no join meets and which are taken from ``df`` by
+    themselves.  Both sides of the split then read the same rows, so one
+    shuffle serves them; none is made where ``df`` is already dealt by the last
+    key (``spread``).  ``df`` is evaluated more than once, so it must give the
+    same rows each time.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     repeated = (df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.count(F.lit(1)).alias("_n"))
@@ -48,10 +51,10 @@ def dedupe_repeated(df: DataFrame, keys: list[str] = KEYS, order_by: str | list[
     same, whole = F.lit(True), F.lit(True)
     for k, n in zip(keys, names, strict=True):
         same, whole = same & (F.col(k) == F.col(n)), whole & F.col(k).isNotNull()
-    rows = df.join(repeated.hint("shuffle_hash"), same, "left").drop(*names)
-    alone = F.col("_n").isNull() & whole
-    unique = rows.filter(alone).drop("_n")
+    rows = df.filter(whole).join(repeated.hint("shuffle_hash"), same, "left").drop(*names)
+    unique = rows.filter(F.col("_n").isNull()).drop("_n")
     if count_col:
         unique = unique.withColumn(count_col, F.lit(1).cast("bigint"))
-    resolved = dedupe_keys(rows.filter(~alone).drop("_n"), keys, order_by, count_col)
-    return unique.unionByName(resolved)
+    for several in (rows.filter(F.col("_n").isNotNull()).drop("_n"), df.filter(~whole)):
+        unique = unique.unionByName(dedupe_keys(several, keys, order_by, count_col))
+    return unique

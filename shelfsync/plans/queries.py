@@ -559,7 +559,7 @@ LI_KEYED_SQL = (f"WITH src AS ({sql.LINEITEM_SRC}), "
 
 
 def _li_keyed(spark, sf_dir) -> DataFrame:
-    return keyed_source(spread(fx.lineitem_source(spark, sf_dir), spark.sparkContext.defaultParallelism), fx.LINEITEM_MAPPING, fx.WS_LINEITEM)
+    return keyed_source(spread(fx.lineitem_source(spark, sf_dir), by=fx.LINEITEM_MAPPING.id), fx.LINEITEM_MAPPING, fx.WS_LINEITEM)
 
 
 @register("dedupe_keys", LI_KEYED_SQL + "SELECT workspace_id, id, max(fingerprint) AS fingerprint, "

@@ -38,8 +38,9 @@ def mapped_scan(df: DataFrame, mapping: ColumnMapping) -> DataFrame:
     return df.select(*mapping.source_columns())
 
 
-def spread(df: DataFrame, partitions: int | None) -> DataFrame:
-    """Deal the rows out over ``partitions`` tasks (None: leave them).
+def spread(df: DataFrame, partitions: int | None = None, by: str | None = None) -> DataFrame:
+    """Deal the rows out over ``partitions`` tasks (None: leave them), or by
+    the hash of the column ``by`` over as many as a shuffle has.
 
     An unpartitioned JDBC read is one task, and so is one large file with a
     single row group; the per-row work after the scan (fingerprint, text
@@ -50,7 +51,14 @@ def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     split evenly too; Spark sorts each split before dealing its rows out
     (``spark.sql.execution.sortBeforeRepartition``), so a task retried after
     an executor loss sends the same rows to the same places.
+
+    ``by`` is for a source that is grouped or joined by one column next: its
+    raw rows are dealt out once, and what is computed from them (fingerprints
+    do not compress) need not be shuffled.  The rows of one key meet in one
+    task, as the grouping or join would have it.
     """
+    if by:
+        return df.repartition(by)
     return df.repartition(partitions) if partitions else df
 
 
