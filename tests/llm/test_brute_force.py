@@ -329,6 +329,31 @@ def test_chat_is_read_back_from_expanded_examples(spark, monkeypatch, block):
     assert {r["n_examples"] for r in chat.digests(script, block).collect()} == {2, 0}
 
 
+def test_chat_examples_are_whole_however_long(spark, monkeypatch):
+    """Every example begins with its conversation, also beyond 2^18 code points and where pieces of few examples are dealt out."""
+    monkeypatch.setattr(chat, "PIECE", 2)
+    rows = [(c, t, "assistant" if t % 2 else "user", f"é{t}\\" * (20_000 if c == 1 else 2)) for c in (1, None) for t in range(13)]
+    rows += [(2, t, "user", f"no reply {t}") for t in range(3)] + [(3, t, "assistant", f"{t}") for t in range(4)] + [(3, 4, "user", "end")]
+    script = chat.transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    segments = {(r["conv_id"], r["seq"]): r["segment"] for r in script.collect()}
+    assert sum(len(s) for (c, _), s in segments.items() if c == 1) > 2 * chat.BLOCK
+    made = []
+    expand = chat.examples
+    monkeypatch.setattr(chat, "examples", lambda *a: made.extend(expand(*a).collect()) or expand(*a))
+    got = {r["conv_id"]: r for r in chat.digests(script).collect()}
+    trained = [r for r in made if r["example_id"] is not None]
+    assert sorted((r["conv_id"] or 0, r["seq"], r["example_id"]) for r in trained) == sorted(
+        [(c, t, t // 2) for c in (0, 1) for t in range(1, 13, 2)] + [(3, t, t) for t in range(4)])
+    for r in trained:
+        assert (r["text_start"], r["text"]) == (0, "".join(segments[r["conv_id"], k] for k in range(r["seq"] + 1)))
+    assert sorted((r["conv_id"] or 0, r["seq"]) for r in made if r["example_id"] is None) == [(0, 12), (1, 12), (2, 0), (2, 1), (2, 2), (3, 4)]
+    for c in (1, 2, 3, None):
+        turns = [(r, t) for k, _, r, t in rows if k == c]
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert (got[c]["n_turns"], got[c]["loss_sha256"]) == (len(turns), hashlib.sha256(loss.encode()).hexdigest())
+
+
 def test_pages():
     page = ("<html><head><title>T</title><style>p{}</style></head><body><nav><a href='x'>menu</a></nav><div class='ad'>buy</div>"
             "<article><h1>Head &amp; line</h1><p>One <b>bo</b>ld,\n two.<br>three<p>Four&nbsp;five.<div class='comments'><p>no</p></div>"
